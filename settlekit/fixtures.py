@@ -42,51 +42,62 @@ def load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcome(orders: DataFrame) -> DataFrame:
-    """fx_outcome: one fully simulated transaction per order (both sides' truth)."""
-    k, c, d = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    """fx_outcome: one fully simulated transaction per order (both sides' truth).
+
+    Two projections: the first computes the draws once per row, the second
+    builds the columns from them (Catalyst keeps the split instead of
+    duplicating the non-trivial terms into every column).
+    """
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
     pi, bi = c % 6, (k * 7 + c) % 4
-    auth_pct = _pick(PARTNER_AUTH_PCT, pi) + _pick(BANK_AUTH_ADJUST, bi)
-    settle_pct = _pick(PARTNER_SETTLE_PCT, pi)
-    r_auth = (k * 31 + c * 7) % 100
-    r_settle = (k * 17 + c * 3) % 100
-    r_refund = k % 25
-    authorized = r_auth < auth_pct
-    captured = authorized & (r_settle < settle_pct)
+    draws = orders.select(
+        k.alias("k"), c.alias("c"), F.col("o_orderdate").alias("d"), F.col("o_totalprice").alias("price"),
+        pi.alias("pi"), bi.alias("bi"),
+        ((k * 31 + c * 7) % 100 < _pick(PARTNER_AUTH_PCT, pi) + _pick(BANK_AUTH_ADJUST, bi)).alias("authorized"),
+        ((k * 17 + c * 3) % 100 < _pick(PARTNER_SETTLE_PCT, pi)).alias("settle_ok"),
+        (k % 25 == 0).alias("refund"),
+        ((k * 13 + c) % 20).alias("r_orphan"),
+        ((k * 11 + c) % 50).alias("r_dup"),
+    ).withColumn("captured", F.col("authorized") & F.col("settle_ok"))
+    k, d = F.col("k"), F.col("d")
+    captured, authorized = F.col("captured"), F.col("authorized")
     base = k % 80000
-    return orders.select(
+    return draws.select(
         F.concat(F.lit("txn-"), k.cast("string")).alias("transaction_id"),
-        _pick(PARTNER_CYCLE, pi).alias("partner_id"),
-        _pick(BANK_CYCLE, bi).alias("bank_id"),
-        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("amount_cents"),
+        _pick(PARTNER_CYCLE, F.col("pi")).alias("partner_id"),
+        _pick(BANK_CYCLE, F.col("bi")).alias("bank_id"),
+        F.round(F.col("price") * 100).cast("bigint").alias("amount_cents"),
         F.lit("USD").alias("currency"),
-        F.when(~captured, "failed").when(r_refund == 0, "refunded").otherwise("settled").alias("state"),
-        F.when(~captured, _pick(DECLINE_REASONS, (k + c) % 4)).alias("decline_reason"),
+        F.when(~captured, "failed").when(F.col("refund"), "refunded").otherwise("settled").alias("state"),
+        F.when(~captured, _pick(DECLINE_REASONS, (k + F.col("c")) % 4)).alias("decline_reason"),
         (d + _sec(base)).alias("initiated_at"),
         F.when(authorized, d + _sec(base + 1 + k % 30)).alias("authorized_at"),
         F.when(captured, d + _sec(base + 40 + k % 60)).alias("captured_at"),
         F.when(captured, d + _sec(base + 160 + 60 * (k % 90))).alias("settled_at"),
         F.when(~captured, d + _sec(base + 35 + k % 60)).alias("failed_at"),
-        F.when(captured & (r_refund == 0), d + _sec(base + 90000)).alias("refunded_at"),
-        k.alias("k"),
-        ((k * 13 + c) % 20).alias("r_orphan"),
-        ((k * 11 + c) % 50).alias("r_dup"),
+        F.when(captured & F.col("refund"), d + _sec(base + 90000)).alias("refunded_at"),
+        k, F.col("r_orphan"), F.col("r_dup"),
     )
 
 
 _PARTNER_TS = ("initiated_at", "authorized_at", "captured_at", "settled_at", "failed_at", "refunded_at")
 
 
-def _partner_rows(o: DataFrame, shift_seconds: int = 0) -> DataFrame:
+def _partner_rows(o: DataFrame, shift_seconds: int | str = 0) -> DataFrame:
     updated = F.greatest(*[F.col(c) for c in _PARTNER_TS])
-    if shift_seconds:
+    if isinstance(shift_seconds, str):
+        updated = updated + _sec(F.col(shift_seconds))
+    elif shift_seconds:
         updated = updated + _sec(F.lit(shift_seconds))
     return o.select(*[F.col(c) for c in PARTNER_COLUMNS[:-1]], updated.alias("updated_at"))
 
 
-def _bank_rows(o: DataFrame, shift_seconds: int = 0) -> DataFrame:
+def _bank_rows(o: DataFrame, shift_seconds: int | str = 0) -> DataFrame:
     lag = _sec(F.col("k") % 6)
     updated = F.greatest(*[F.col(c) for c in _PARTNER_TS]) + lag
-    if shift_seconds:
+    if isinstance(shift_seconds, str):
+        updated = updated + _sec(F.col(shift_seconds))
+    elif shift_seconds:
         updated = updated + _sec(F.lit(shift_seconds))
     cols = []
     for c in BANK_COLUMNS[:-1]:
@@ -94,6 +105,13 @@ def _bank_rows(o: DataFrame, shift_seconds: int = 0) -> DataFrame:
     return o.select(*cols, updated.alias("updated_at"))
 
 
+def _with_copies(o: DataFrame, again) -> DataFrame:
+    """Each row once (_copy 0); rows matching ``again`` a second time (_copy 1),
+    from the same scan."""
+    copies = F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return o.withColumn("_copy", F.explode(copies))
+
+
 def partner_feed(orders: DataFrame) -> DataFrame:
     """fx_partner: the partner's view; 5 % of transactions never reach it."""
     return _partner_rows(outcome(orders).filter(F.col("r_orphan") != 0))
@@ -120,18 +138,16 @@ def partner_bronze(orders: DataFrame) -> DataFrame:
     """fx_partner_bronze: every channel's rows, plus 2 % re-deliveries (updated_at + 1 s)
     on the file and queue channels."""
     o = outcome(orders).filter(F.col("r_orphan") != 0)
-    firsts = _partner_rows(o)
-    again = _partner_rows(o.filter((F.col("r_dup") == 0) & ~F.col("partner_id").isin(*DB_PARTNERS)), 1)
-    both = firsts.unionByName(again)
+    again = (F.col("r_dup") == 0) & ~F.col("partner_id").isin(*DB_PARTNERS)
+    both = _partner_rows(_with_copies(o, again), "_copy")
     return both.select(partner_channel(F.col("partner_id")).alias("channel"), *PARTNER_COLUMNS)
 
 
 def bank_bronze(orders: DataFrame) -> DataFrame:
     """fx_bank_bronze: same construction from the bank's view, channel by bank."""
     o = outcome(orders).filter(F.col("r_orphan") != 1)
-    firsts = _bank_rows(o)
-    again = _bank_rows(o.filter((F.col("r_dup") == 0) & ~F.col("bank_id").isin(*DB_BANKS)), 1)
-    both = firsts.unionByName(again)
+    again = (F.col("r_dup") == 0) & ~F.col("bank_id").isin(*DB_BANKS)
+    both = _bank_rows(_with_copies(o, again), "_copy")
     return both.select(bank_channel(F.col("bank_id")).alias("channel"), *BANK_COLUMNS)
 
 

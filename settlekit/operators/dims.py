@@ -77,3 +77,32 @@ def dim_date_covering(fact: DataFrame) -> DataFrame:
                                               F.date_add(F.add_months(F.trunc("hi", "year"), 12), -1)))
                          .alias("date_day"))
     return _calendar(days)
+
+
+DIMENSION_SOURCES = {
+    "partner": ("partner_id",),
+    "bank": ("bank_id",),
+    "decline_reason": ("decline_reason", "bank_decline_reason"),
+}
+
+
+def dimension_values(fact: DataFrame, with_days: bool = True) -> DataFrame:
+    """Every dimension's natural keys from ONE scan of the fact: (dim, value).
+
+    Each row contributes its partner, bank, both decline reasons (and its
+    activity day, ISO text) through a single ``explode``; one DISTINCT (partial
+    per map task) reduces them. The result has one row per distinct key, so it
+    is as small as the dimensions (days: bounded by the calendar span).
+    """
+    entries = [F.struct(F.lit(dim).alias("dim"), F.col(c).cast("string").alias("value"))
+               for dim, cols in DIMENSION_SOURCES.items() for c in cols]
+    if with_days:
+        entries.append(F.struct(F.lit("day").alias("dim"), activity_day(fact).cast("string").alias("value")))
+    keyed = fact.select(F.explode(F.array(*entries)).alias("e")).select("e.dim", "e.value")
+    return keyed.filter(F.col("value").isNotNull()).distinct()
+
+
+def dimension_from_values(values: DataFrame, dim: str) -> DataFrame:
+    key, natural = f"{dim}_key", f"{dim}_id" if dim in ("partner", "bank") else dim
+    return (values.filter(F.col("dim") == dim)
+                  .select(surrogate_key("value").alias(key), F.col("value").alias(natural)))

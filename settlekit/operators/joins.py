@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only if it provably holds at most ``max_rows`` rows.
 
     The bound is measured (``limit(max_rows + 1).count()``), not assumed; a
+    ``known_rows`` passes a count measured elsewhere (one aggregate for many
+    sides, or a literal table's length). A
     larger side is returned unmarked and Spark shuffles it (AQE may still
     demote to a broadcast from runtime statistics).
     """
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

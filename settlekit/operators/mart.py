@@ -15,22 +15,24 @@ MART_COLUMNS = (*FACT_COLUMNS, *MART_EXTRA)
 
 
 def mart(current: DataFrame, dim_date: DataFrame, dim_partner: DataFrame,
-         dim_bank: DataFrame, dim_decline_reason: DataFrame) -> DataFrame:
+         dim_bank: DataFrame, dim_decline_reason: DataFrame, checked: bool = False) -> DataFrame:
     """LEFT JOIN the current fact to every dimension (unmatched keys stay NULL).
 
     Two join keys are expressions: the calendar day of
     coalesce(initiated_at, updated_at) (bank-only rows have no initiated_at)
     and the effective decline reason coalesce(partner, bank). Dimensions are
-    broadcast once their row count is measured to be small.
+    broadcast once their row count is measured to be small (``checked=True``:
+    the caller already measured and marked them).
     """
+    bb = (lambda df: df) if checked else bounded_broadcast
     f = current.select(*FACT_COLUMNS,
                        activity_day(current).alias("_day"),
                        F.coalesce("decline_reason", "bank_decline_reason").alias("effective_decline_reason"))
-    d = bounded_broadcast(dim_date.select(F.col("date_day").alias("_day"), "date_key", "week_start",
+    d = bb(dim_date.select(F.col("date_day").alias("_day"), "date_key", "week_start",
                                           "month_start", "quarter", "year"))
-    p = bounded_broadcast(dim_partner.select(F.col("partner_id").alias("_pid"), "partner_key"))
-    b = bounded_broadcast(dim_bank.select(F.col("bank_id").alias("_bid"), "bank_key"))
-    r = bounded_broadcast(dim_decline_reason.select(F.col("decline_reason").alias("_reason"),
+    p = bb(dim_partner.select(F.col("partner_id").alias("_pid"), "partner_key"))
+    b = bb(dim_bank.select(F.col("bank_id").alias("_bid"), "bank_key"))
+    r = bb(dim_decline_reason.select(F.col("decline_reason").alias("_reason"),
                                                     "decline_reason_key"))
     out = (f.join(d, "_day", "left")
             .join(p, F.col("partner_id") == F.col("_pid"), "left")

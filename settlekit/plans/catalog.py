@@ -18,7 +18,7 @@ from settlekit.operators.dims import DATE_DIM_COLUMNS
 from settlekit.operators.mart import MART_COLUMNS
 from settlekit.operators.promote import promote
 from settlekit.operators.reconcile import (FACT_COLUMNS, RECONCILED_COLUMNS,
-                                           current_latest_nonnull, current_latest_row)
+                                           current_latest_nonnull, current_latest_row, reconcile)
 from settlekit.plans import oracle as O
 from settlekit.plans.model import Model
 
@@ -59,17 +59,18 @@ def promote_skip_dedup(spark, sf):
 
 @query("stg_partner", O.with_fixture(f"SELECT {_cols(PARTNER_COLUMNS)} FROM silver_partner", O.SILVER))
 def stg_partner(spark, sf):
-    return Model(spark, sf).partner_silver.select(*PARTNER_COLUMNS)
+    return Model.shared(spark, sf).partner_silver.select(*PARTNER_COLUMNS)
 
 
 @query("stg_bank", O.with_fixture(f"SELECT {_cols(BANK_COLUMNS)} FROM silver_bank", O.SILVER))
 def stg_bank(spark, sf):
-    return Model(spark, sf).bank_silver.select(*BANK_COLUMNS)
+    return Model.shared(spark, sf).bank_silver.select(*BANK_COLUMNS)
 
 
 @query("reconcile", O.with_fixture(f"SELECT {_cols(RECONCILED_COLUMNS)} FROM reconciled", O.SILVER, O.RECONCILED))
 def reconcile_q(spark, sf):
-    return Model(spark, sf, materialized=False).reconciled
+    m = Model(spark, sf, materialized=False)
+    return reconcile(m.partner_silver, m.bank_silver)
 
 
 @query("fct_transactions", O.with_fixture(f"SELECT {_cols(FACT_COLUMNS)} FROM fact",
@@ -90,40 +91,40 @@ def fct_current_row(spark, sf):
 
 @query("fct_current", O.on_model(f"SELECT {_cols(FACT_COLUMNS)} FROM current_fact"))
 def fct_current(spark, sf):
-    return Model(spark, sf).current
+    return Model.shared(spark, sf).current
 
 
 # --- dimensions and mart ------------------------------------------------------------
 
 @query("dim_partner", O.on_model("SELECT partner_key, partner_id FROM dim_partner"))
 def dim_partner(spark, sf):
-    return Model(spark, sf).dim_partner
+    return Model.shared(spark, sf).dim_partner
 
 
 @query("dim_bank", O.on_model("SELECT bank_key, bank_id FROM dim_bank"))
 def dim_bank(spark, sf):
-    return Model(spark, sf).dim_bank
+    return Model.shared(spark, sf).dim_bank
 
 
 @query("dim_decline_reason", O.on_model("SELECT decline_reason_key, decline_reason FROM dim_decline_reason"))
 def dim_decline_reason(spark, sf):
-    return Model(spark, sf).dim_decline_reason
+    return Model.shared(spark, sf).dim_decline_reason
 
 
 @query("dim_date", O.on_model(f"SELECT {_cols(DATE_DIM_COLUMNS)} FROM dim_date"))
 def dim_date(spark, sf):
-    return Model(spark, sf).dim_date
+    return Model.shared(spark, sf).dim_date
 
 
 @query("mart_transactions", O.on_model(f"SELECT {_cols(MART_COLUMNS)} FROM mart"))
 def mart_transactions(spark, sf):
-    return Model(spark, sf).mart
+    return Model.shared(spark, sf).mart
 
 
 # --- KPI charts -----------------------------------------------------------------------
 
 def _mart(spark, sf) -> DataFrame:
-    return Model(spark, sf).mart
+    return Model.shared(spark, sf).mart
 
 
 @query("kpi_volume_by_day", O.on_model(

@@ -1,23 +1,33 @@
-"""The lakehouse model as lazy DataFrames: bronze -> silver -> reconciled -> fact
+"""The lakehouse model as DataFrames: bronze -> silver -> reconciled -> fact
 -> current -> dimensions -> mart.
 
-Tables that the warehouse materialises (reconciled, fact) are materialised
-here too with a reliable ``checkpoint()`` into the shared checkpoint folder, so
-the dimensions, the current view and every chart read them instead of
-re-running the full outer join. Views (current, mart) stay lazy.
+The fact table (reconciliation + fee, one row per transaction version) is
+materialised once with a reliable ``checkpoint()`` into the shared checkpoint
+folder, as the warehouse materialises it; ``reconciled`` is a projection of
+it. All dimension keys come from one more pass over the fact into one small
+materialised table, whose sizes are checked by a single aggregate before any
+dimension is broadcast. The current state (the warehouse's argMax view) is
+materialised once as well, because every chart re-reads it; the mart stays a
+lazy view (broadcast joins to the dimensions).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from settlekit.contracts import FEE_SCHEDULE_ROWS
 from settlekit.fixtures import Feed
 from settlekit.operators import dims as D
+from settlekit.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 from settlekit.operators.mart import mart
 from settlekit.operators.promote import promote
-from settlekit.operators.reconcile import current_latest_nonnull, reconcile, with_fee
+from settlekit.operators.reconcile import (RECONCILED_COLUMNS, current_latest_nonnull,
+                                           reconcile, with_fee)
 from settlekit.session import checkpoint_root
 from settlekit.sources.seeds import fee_schedule
 
@@ -33,11 +43,24 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 class Model:
+    _shared: dict = {}
+    _lock = threading.Lock()
+
     def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool = True):
         self.spark, self.sf_dir = spark, sf_dir
         self.feed = Feed(spark, sf_dir)
         self._materialized = materialized
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Model":
+        """One built model per (Spark application, input folder): the warehouse
+        tables that every chart reads, built on first use."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        with cls._lock:
+            if key not in cls._shared:
+                cls._shared[key] = cls(spark, sf_dir)
+            return cls._shared[key]
+
     def _table(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self._materialized else df
 
@@ -54,37 +77,75 @@ class Model:
         return promote(self.feed.bank_bronze(), "bank_transactions")
 
     @cached_property
-    def reconciled_view(self) -> DataFrame:
-        return reconcile(self.partner_silver, self.bank_silver)
+    def fact(self) -> DataFrame:
+        reconciled = reconcile(self.partner_silver, self.bank_silver)
+        fee = bounded_broadcast(self.fee_schedule, known_rows=len(FEE_SCHEDULE_ROWS))
+        return self._table(with_fee(reconciled, fee))
 
     @cached_property
     def reconciled(self) -> DataFrame:
-        return self._table(self.reconciled_view)
+        return self.fact.select(*RECONCILED_COLUMNS)
 
     @cached_property
-    def fact(self) -> DataFrame:
-        return self._table(with_fee(self.reconciled, self.fee_schedule))
+    def current(self) -> DataFrame:
+        """Latest non-NULL value per column and transaction. Materialised once:
+        every chart reads it, so the per-key aggregation (a shuffle on
+        transaction_id) is not repeated per chart."""
+        return self._table(current_latest_nonnull(self.fact))
+
+    # dimensions -------------------------------------------------------------------
 
     @cached_property
-    def current(self) -> DataFrame:
-        return current_latest_nonnull(self.fact)
+    def _dim_values(self) -> DataFrame:
+        return self._table(D.dimension_values(self.fact))
+
+    @cached_property
+    def _dim_stats(self) -> dict:
+        rows = (self._dim_values.groupBy("dim")
+                .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+                .collect())
+        return {r["dim"]: r for r in rows}
+
+    def _dim(self, dim: str) -> DataFrame:
+        return D.dimension_from_values(self._dim_values, dim)
+
+    def _rows(self, dim: str) -> int:
+        r = self._dim_stats.get(dim)
+        return r["n"] if r else 0
 
     @cached_property
     def dim_partner(self) -> DataFrame:
-        return D.dim_partner(self.reconciled)
+        return self._dim("partner")
 
     @cached_property
     def dim_bank(self) -> DataFrame:
-        return D.dim_bank(self.reconciled)
+        return self._dim("bank")
 
     @cached_property
     def dim_decline_reason(self) -> DataFrame:
-        return D.dim_decline_reason(self.reconciled)
+        return self._dim("decline_reason")
+
+    @cached_property
+    def _calendar_span(self) -> tuple[dt.date, int]:
+        r = self._dim_stats.get("day")
+        if r is None:
+            return dt.date(1970, 1, 1), 0
+        lo, hi = dt.date.fromisoformat(r["lo"]), dt.date.fromisoformat(r["hi"])
+        start, end = dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31)
+        return start, (end - start).days + 1
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return D.dim_date_covering(self.reconciled)
+        """Whole years covering every activity day of the fact."""
+        start, n_days = self._calendar_span
+        return D.dim_date(self.spark, start, n_days)
 
     @cached_property
     def mart(self) -> DataFrame:
-        return mart(self.current, self.dim_date, self.dim_partner, self.dim_bank, self.dim_decline_reason)
+        b = BROADCAST_MAX_ROWS
+        return mart(self.current,
+                    bounded_broadcast(self.dim_date, b, known_rows=self._calendar_span[1]),
+                    bounded_broadcast(self.dim_partner, b, known_rows=self._rows("partner")),
+                    bounded_broadcast(self.dim_bank, b, known_rows=self._rows("bank")),
+                    bounded_broadcast(self.dim_decline_reason, b, known_rows=self._rows("decline_reason")),
+                    checked=True)
