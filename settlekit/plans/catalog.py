@@ -232,3 +232,228 @@ def chart_query(spark, sf):
     return K.chart_query(_mart(spark, sf), {"count": K.count_rows(), "gross_revenue_usd": K.metric_gross_revenue()},
                          x_axis="initiated_at", time_grain="P1M", groupby=["bank_id"],
                          filters=[{"col": "initiated_at", "op": "IS NOT NULL"}])
+
+
+# --- audits ------------------------------------------------------------------------------
+
+from settlekit.contracts import BANK_STATES, DECLINE_REASONS  # noqa: E402
+from settlekit.operators import audit as A  # noqa: E402
+from settlekit.operators import quality as Q  # noqa: E402
+from settlekit.plans import suite as S  # noqa: E402
+
+
+@query("audit_reconciliation", O.on_model("""
+SELECT count(*) AS total_rows,
+  count(*) - count(DISTINCT transaction_id) AS duplicate_transaction_ids,
+  count_if(initiated_at IS NULL AND bank_id IS NOT NULL) AS bank_only_rows,
+  count_if(initiated_at IS NOT NULL AND bank_state IS NULL) AS partner_only_rows,
+  count_if((captured_at IS NOT NULL OR bank_captured_at IS NOT NULL) AND fee_amount_cents IS NULL) AS captured_without_fee,
+  count_if(fee_amount_cents IS NOT NULL) AS rows_with_fee
+FROM current_fact"""))
+def audit_reconciliation(spark, sf):
+    return A.reconciliation_audit(Model.shared(spark, sf).current)
+
+
+@query("audit_catalog", O.on_model("""
+SELECT count(DISTINCT CAST(initiated_at AS DATE)) AS distinct_days,
+  count(DISTINCT partner_id) AS partners, count(DISTINCT bank_id) AS banks
+FROM current_fact"""))
+def audit_catalog(spark, sf):
+    return A.catalog_audit(Model.shared(spark, sf).current)
+
+
+@query("audit_rate_spread", O.on_model("""
+SELECT count(*) AS partners, round(min(rate), 6) AS min_rate, round(max(rate), 6) AS max_rate,
+  round(max(rate) - min(rate), 3) AS rate_spread
+FROM (SELECT partner_id, CAST(count_if(state <> 'failed' OR bank_state <> 'failed') AS DOUBLE) / count(*) AS rate
+      FROM current_fact GROUP BY partner_id)"""))
+def audit_rate_spread(spark, sf):
+    return A.rate_spread_audit(Model.shared(spark, sf).current)
+
+
+@query("audit_fee_coverage", O.on_model("""
+SELECT count(*) AS pairs, count_if(f.fixed_fee_cents IS NULL OR f.fixed_fee_cents = 0) AS missing_pairs
+FROM (SELECT DISTINCT partner_id, bank_id FROM current_fact) p
+LEFT JOIN fee_schedule f ON p.partner_id = f.partner_id AND p.bank_id = f.bank_id"""))
+def audit_fee_coverage(spark, sf):
+    m = Model.shared(spark, sf)
+    return A.fee_coverage_audit(m.current, m.fee_schedule)
+
+
+@query("orphans_except", O.with_fixture("""
+SELECT 'partner_only' AS side, count(*) AS orphans FROM (
+  SELECT transaction_id FROM fx_partner EXCEPT SELECT transaction_id FROM fx_bank)
+UNION ALL
+SELECT 'bank_only' AS side, count(*) AS orphans FROM (
+  SELECT transaction_id FROM fx_bank EXCEPT SELECT transaction_id FROM fx_partner)"""))
+def orphans_except(spark, sf):
+    f = Feed(spark, sf)
+    return A.orphans_except(f.partner(), f.bank())
+
+
+def _baseline_sql(side: str, this: str, other: str) -> str:
+    return f"""SELECT '{side}' AS side, count(*) AS rows,
+  count(*) - count(DISTINCT transaction_id) AS duplicate_ids,
+  count_if(transaction_id IN (SELECT transaction_id FROM {other})) AS matched_ids,
+  count_if(bank_id IS NOT NULL AND transaction_id IN (SELECT transaction_id FROM {other})) AS matched_nonnull_bank_id,
+  count_if(decline_reason IS NOT NULL AND transaction_id IN (SELECT transaction_id FROM {other})) AS matched_nonnull_decline_reason
+FROM {this}"""
+
+
+@query("audit_match_baseline", O.with_fixture(
+    _baseline_sql("partner", "silver_partner", "silver_bank") + "\nUNION ALL\n"
+    + _baseline_sql("bank", "silver_bank", "silver_partner"), O.SILVER))
+def audit_match_baseline(spark, sf):
+    m = Model.shared(spark, sf)
+    return A.match_baseline(m.partner_silver, m.bank_silver)
+
+
+@query("audit_join_integrity", O.with_fixture("""
+SELECT j.*, (total_rows = expected_total_rows AND matched_nonnull_p_bank_id = expected_nonnull_p_bank_id
+    AND matched_nonnull_b_bank_id = expected_nonnull_b_bank_id
+    AND matched_nonnull_decline_reason = expected_nonnull_decline_reason
+    AND matched_nonnull_bank_decline_reason = expected_nonnull_bank_decline_reason) AS integrity_ok
+FROM (SELECT
+  count(*) AS total_rows,
+  count_if(p.transaction_id IS NOT NULL AND b.transaction_id IS NOT NULL) AS matched_rows,
+  (SELECT count(*) FROM silver_partner) + (SELECT count(*) FROM silver_bank)
+    - (SELECT count(*) FROM silver_partner WHERE transaction_id IN (SELECT transaction_id FROM silver_bank)) AS expected_total_rows,
+  count_if(p.transaction_id IS NOT NULL AND b.transaction_id IS NOT NULL AND p.bank_id IS NOT NULL) AS matched_nonnull_p_bank_id,
+  (SELECT count(*) FROM silver_partner WHERE bank_id IS NOT NULL AND transaction_id IN (SELECT transaction_id FROM silver_bank)) AS expected_nonnull_p_bank_id,
+  count_if(p.transaction_id IS NOT NULL AND b.transaction_id IS NOT NULL AND b.bank_id IS NOT NULL) AS matched_nonnull_b_bank_id,
+  (SELECT count(*) FROM silver_bank WHERE bank_id IS NOT NULL AND transaction_id IN (SELECT transaction_id FROM silver_partner)) AS expected_nonnull_b_bank_id,
+  count_if(p.transaction_id IS NOT NULL AND b.transaction_id IS NOT NULL AND p.decline_reason IS NOT NULL) AS matched_nonnull_decline_reason,
+  (SELECT count(*) FROM silver_partner WHERE decline_reason IS NOT NULL AND transaction_id IN (SELECT transaction_id FROM silver_bank)) AS expected_nonnull_decline_reason,
+  count_if(p.transaction_id IS NOT NULL AND b.transaction_id IS NOT NULL AND b.decline_reason IS NOT NULL) AS matched_nonnull_bank_decline_reason,
+  (SELECT count(*) FROM silver_bank WHERE decline_reason IS NOT NULL AND transaction_id IN (SELECT transaction_id FROM silver_partner)) AS expected_nonnull_bank_decline_reason
+FROM silver_partner p FULL OUTER JOIN silver_bank b ON p.transaction_id = b.transaction_id) j""", O.SILVER))
+def audit_join_integrity(spark, sf):
+    m = Model.shared(spark, sf)
+    return A.join_integrity(m.partner_silver, m.bank_silver)
+
+
+@query("audit_null_keys", O.with_fixture("""
+SELECT 'partner_transactions' AS table_name, count(*) AS rows,
+  count_if(transaction_id IS NULL OR state IS NULL) AS null_key_rows,
+  count(*) > 0 AND count_if(transaction_id IS NULL OR state IS NULL) = 0 AS ok FROM fx_partner
+UNION ALL
+SELECT 'bank_transactions', count(*), count_if(transaction_id IS NULL OR state IS NULL),
+  count(*) > 0 AND count_if(transaction_id IS NULL OR state IS NULL) = 0 FROM fx_bank"""))
+def audit_null_keys(spark, sf):
+    f = Feed(spark, sf)
+    return A.null_keys_audit({"partner_transactions": f.partner(), "bank_transactions": f.bank()})
+
+
+@query("audit_chart_total", O.on_model("""
+SELECT CAST((SELECT sum(cnt) FROM (SELECT date_trunc('day', initiated_at) AS d, count(*) AS cnt FROM mart GROUP BY 1)) AS BIGINT) AS chart_total,
+  CAST((SELECT count(*) FROM current_fact) AS BIGINT) AS fact_total,
+  (SELECT sum(cnt) FROM (SELECT date_trunc('day', initiated_at) AS d, count(*) AS cnt FROM mart GROUP BY 1))
+    = (SELECT count(*) FROM current_fact) AS matches"""))
+def audit_chart_total(spark, sf):
+    m = Model.shared(spark, sf)
+    return A.chart_total_audit(K.volume_by_day(m.mart), "count", m.current)
+
+
+@query("audit_channel_coverage", O.with_fixture("""
+SELECT table_name, channel, rows, count(*) OVER (PARTITION BY table_name) AS table_channels,
+  count(*) OVER (PARTITION BY table_name) >= 2 AS ok
+FROM (SELECT 'partner_transactions' AS table_name, channel, count(*) AS rows FROM fx_partner_bronze GROUP BY channel
+      UNION ALL
+      SELECT 'bank_transactions', channel, count(*) FROM fx_bank_bronze GROUP BY channel)"""))
+def audit_channel_coverage(spark, sf):
+    f = Feed(spark, sf)
+    return A.channel_coverage_audit({"partner_transactions": f.partner_bronze(),
+                                     "bank_transactions": f.bank_bronze()})
+
+
+# --- data-quality checks ----------------------------------------------------------------------
+
+@query("dq_not_null", O.with_fixture(
+    "SELECT transaction_id, state FROM reconciled WHERE state IS NULL", O.SILVER, O.RECONCILED))
+def dq_not_null(spark, sf):
+    """not_null on the partner state of the reconciled table: the bank-only rows."""
+    return Q.not_null(Model.shared(spark, sf).reconciled, "state").select("transaction_id", "state")
+
+
+@query("dq_unique", O.with_fixture(
+    "SELECT transaction_id, count(*) AS n_records FROM fx_partner_bronze WHERE transaction_id IS NOT NULL "
+    "GROUP BY transaction_id HAVING count(*) > 1"))
+def dq_unique(spark, sf):
+    """unique on bronze transaction ids: the re-delivered ids (before promotion)."""
+    return Q.unique(Feed(spark, sf).partner_bronze(), "transaction_id")
+
+
+@query("dq_accepted_values", O.with_fixture(
+    "SELECT state, count(*) AS n_records FROM fx_versions WHERE state IS NOT NULL AND state NOT IN ("
+    + ", ".join(f"'{v}'" for v in BANK_STATES) + ") GROUP BY state"))
+def dq_accepted_values(spark, sf):
+    """accepted_values (bank vocabulary) over all versions: the 'initiated' rows fail."""
+    return Q.accepted_values(Feed(spark, sf).versions(), "state", BANK_STATES)
+
+
+@query("dq_relationships", O.with_fixture(
+    "SELECT transaction_id FROM fx_bank b WHERE transaction_id IS NOT NULL AND NOT EXISTS "
+    "(SELECT 1 FROM fx_partner p WHERE p.transaction_id = b.transaction_id)"))
+def dq_relationships(spark, sf):
+    """relationships: bank transaction ids with no partner transaction."""
+    f = Feed(spark, sf)
+    return Q.relationships(f.bank(), "transaction_id", f.partner(), "transaction_id")
+
+
+@query("dq_no_digit_run", "SELECT doc_id, text FROM documents WHERE regexp_matches(text, "
+       r"'(^|[^0-9])[0-9]{13,19}([^0-9]|$)')")
+def dq_no_digit_run(spark, sf):
+    """no_pan_like_values over whole document texts."""
+    return Q.no_digit_run(Feed(spark, sf).table("documents").select("doc_id", "text"), "text")
+
+
+FRESHNESS_NOW = "2001-08-03 06:00:00"
+
+
+@query("dq_freshness", O.with_fixture(f"""
+SELECT table_name, max_loaded_at, snapshotted_at, round(age_hours, 6) AS age_hours,
+  CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_hours > 8 THEN 'error'
+       WHEN age_hours > 4 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT table_name, max_loaded_at, TIMESTAMP '{FRESHNESS_NOW}' AS snapshotted_at,
+        (epoch_us(TIMESTAMP '{FRESHNESS_NOW}') - epoch_us(max_loaded_at)) / 3.6e9 AS age_hours
+      FROM (SELECT 'silver_partner_transactions' AS table_name, max(updated_at) AS max_loaded_at FROM silver_partner
+            UNION ALL
+            SELECT 'silver_bank_transactions', max(updated_at) FROM silver_bank))""", O.SILVER))
+def dq_freshness(spark, sf):
+    m = Model.shared(spark, sf)
+    p = Q.freshness(m.partner_silver, "updated_at", FRESHNESS_NOW)
+    b = Q.freshness(m.bank_silver, "updated_at", FRESHNESS_NOW)
+    return (p.select(F.lit("silver_partner_transactions").alias("table_name"), "*")
+             .unionByName(b.select(F.lit("silver_bank_transactions").alias("table_name"), "*")))
+
+
+@query("dq_suite", O.on_model(S.suite_sql()))
+def dq_suite(spark, sf):
+    return S.declared_suite(Model.shared(spark, sf))
+
+
+@query("dq_severity", O.on_model(f"""
+SELECT alert_level, count(*) AS checks, CAST(sum(failures) AS BIGINT) AS failing_rows FROM (
+  SELECT failures, CASE WHEN status = 'fail' THEN 'critical' WHEN status = 'warn' THEN 'warning' ELSE 'ok' END AS alert_level
+  FROM ({S.suite_sql()})) GROUP BY alert_level"""))
+def dq_severity(spark, sf):
+    return Q.severity_rollup(S.declared_suite(Model.shared(spark, sf)))
+
+
+@query("dq_dup_caught", O.with_fixture("""
+SELECT 'dedup_off' AS variant, count(*) AS unique_failures, CASE WHEN count(*) > 0 THEN 'fail' ELSE 'pass' END AS status
+FROM (SELECT transaction_id FROM fx_partner_bronze GROUP BY transaction_id HAVING count(*) > 1)
+UNION ALL
+SELECT 'dedup_on', count(*), CASE WHEN count(*) > 0 THEN 'fail' ELSE 'pass' END
+FROM (SELECT transaction_id FROM silver_partner GROUP BY transaction_id HAVING count(*) > 1)""", O.SILVER))
+def dq_dup_caught(spark, sf):
+    """Regression proof: the unique check fails with dedup off and passes with it on."""
+    bronze = Feed(spark, sf).partner_bronze()
+    out = None
+    for variant, dedup in (("dedup_off", False), ("dedup_on", True)):
+        silver = promote(bronze, "partner_transactions", dedup=dedup)
+        one = Q.unique(silver, "transaction_id").agg(F.count(F.lit(1)).alias("unique_failures")).select(
+            F.lit(variant).alias("variant"), "unique_failures",
+            F.when(F.col("unique_failures") > 0, "fail").otherwise("pass").alias("status"))
+        out = one if out is None else out.unionByName(one)
+    return out
