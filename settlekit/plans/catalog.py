@@ -457,3 +457,108 @@ def dq_dup_caught(spark, sf):
             F.when(F.col("unique_failures") > 0, "fail").otherwise("pass").alias("status"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# --- sources, canonicalisation, guard, contract --------------------------------------------
+
+from pyspark.sql import types as T  # noqa: E402
+
+from settlekit.contracts import FEE_SCHEMA, FEE_SCHEDULE_ROWS, PARTNER_SCHEMA  # noqa: E402
+from settlekit.operators import canonical as C  # noqa: E402
+from settlekit.session import scratch_folder  # noqa: E402
+from settlekit.sources import bronze as B  # noqa: E402
+from settlekit.sources import csv_drop as CSV  # noqa: E402
+from settlekit.sources.seeds import read_seed_csv  # noqa: E402
+
+_CONTRACT_SELECT = _cols(PARTNER_COLUMNS)
+
+
+def as_transport_text(df: DataFrame) -> DataFrame:
+    """Rows as a file or queue channel carries them: every field text, NULL as
+    '', timestamps ISO-8601."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.TimestampNTZType):
+            c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        out.append(F.coalesce(c.cast("string"), F.lit("")).alias(f.name))
+    return df.select(*out)
+
+
+@query("canonicalize_rows", O.with_fixture(f"SELECT {_CONTRACT_SELECT} FROM fx_partner_bronze"))
+def canonicalize_rows(spark, sf):
+    """Transport text of every bronze row -> contract types (round trip is exact)."""
+    text = as_transport_text(Feed(spark, sf).partner_bronze().select(*PARTNER_COLUMNS))
+    return C.canonicalize(text, "partner_transactions")
+
+
+@query("csv_drop_roundtrip", O.with_fixture(
+    f"SELECT {_CONTRACT_SELECT} FROM fx_partner_bronze WHERE channel = 'sftp_drop'"))
+def csv_drop_roundtrip(spark, sf):
+    """File channel: write the sftp partners' rows as CSV drops in two column
+    orders, read them back by header name, canonicalise."""
+    folder = scratch_folder(spark, "csv-drop")
+    import os
+    from urllib.parse import urlparse
+    os.makedirs(urlparse(folder).path if folder.startswith("file:") else folder, exist_ok=True)
+    rows = Feed(spark, sf).partner_bronze().filter(F.col("channel") == "sftp_drop").select(*PARTNER_COLUMNS)
+    CSV.write_csv_drop(rows.filter(F.col("partner_id") == "partner_globex"), folder,
+                       "partner_transactions", "20010801_020000000000", PARTNER_COLUMNS)
+    CSV.write_csv_drop(rows.filter(F.col("partner_id") != "partner_globex"), folder,
+                       "partner_transactions", "20010801_021500000000", tuple(reversed(PARTNER_COLUMNS)))
+    text = CSV.read_csv_drops(spark, folder, "partner_transactions")
+    return C.canonicalize(text, "partner_transactions").select(*PARTNER_COLUMNS)
+
+
+_DIGIT_RUN = r"'(^|[^0-9])[0-9]{13,19}([^0-9]|$)'"
+
+
+@query("digit_run_scan", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count_if(regexp_matches({c}, {_DIGIT_RUN})) AS matches FROM documents"
+    for c in ("text", "lang", "source")))
+def digit_run_scan(spark, sf):
+    """Identifier guard's scan: every string column of the documents, one aggregation."""
+    return C.digit_run_counts(Feed(spark, sf).table("documents"), ["text", "lang", "source"])
+
+
+@query("schema_drift_report")
+def schema_drift_report(spark, sf):
+    """Contract comparison of three observed channel schemas (clean, extra column,
+    retyped + missing column)."""
+    f = Feed(spark, sf)
+    clean = f.partner()
+    drifted = clean.withColumn("surprise_risk_score", (F.col("amount_cents") % 100) / 100.0)
+    retyped = clean.drop("initiated_at").withColumn("amount_cents", F.col("amount_cents").cast("string"))
+    return C.drift_report(spark, PARTNER_SCHEMA, {"partner_db": clean.schema, "sftp_drop": drifted.schema,
+                                                  "kafka_drain": retyped.schema})
+
+
+@query("bronze_union_by_name", O.with_fixture(f"SELECT channel, {_CONTRACT_SELECT} FROM fx_partner_bronze"))
+def bronze_union_by_name(spark, sf):
+    """Channels with different metadata columns, unioned by name, contract kept."""
+    bronze = Feed(spark, sf).partner_bronze()
+    by = lambda ch: bronze.filter(F.col("channel") == ch).select(*PARTNER_COLUMNS)
+    frames = {
+        "partner_db": by("partner_db"),
+        "sftp_drop": by("sftp_drop").withColumn(
+            "_source_file", F.concat(F.lit("partner_transactions_"), F.date_format("updated_at", "yyyyMMdd"), F.lit(".csv"))),
+        "kafka_drain": by("kafka_drain").withColumn(
+            "_kafka_msg_id", F.md5(F.concat(F.lit("partner-transactions"), F.lit("0"), F.col("transaction_id")))),
+    }
+    return B.union_channels(frames, "partner_transactions")
+
+
+@query("fee_schedule_seed", O.with_fixture("""
+SELECT f.partner_id, f.bank_id, f.fixed_fee_cents, f.percentage_bps, count(p.transaction_id) AS transactions
+FROM fee_schedule f LEFT JOIN fx_partner p ON f.partner_id = p.partner_id AND f.bank_id = p.bank_id
+GROUP BY f.partner_id, f.bank_id, f.fixed_fee_cents, f.percentage_bps"""))
+def fee_schedule_seed(spark, sf):
+    """The typed CSV seed, with the partner-side volume each fee row prices."""
+    folder = scratch_folder(spark, "seed")
+    spark.createDataFrame(list(FEE_SCHEDULE_ROWS), FEE_SCHEMA).write.option("header", True).csv(folder)
+    seed = read_seed_csv(spark, folder)
+    volume = (Feed(spark, sf).partner().groupBy("partner_id", "bank_id")
+              .agg(F.count(F.lit(1)).alias("transactions")))
+    return (seed.join(volume, ["partner_id", "bank_id"], "left")
+                .select("partner_id", "bank_id", "fixed_fee_cents", "percentage_bps",
+                        F.coalesce("transactions", F.lit(0)).alias("transactions")))
