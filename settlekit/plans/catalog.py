@@ -562,3 +562,153 @@ def fee_schedule_seed(spark, sf):
     return (seed.join(volume, ["partner_id", "bank_id"], "left")
                 .select("partner_id", "bank_id", "fixed_fee_cents", "percentage_bps",
                         F.coalesce("transactions", F.lit(0)).alias("transactions")))
+
+
+# --- queue drains (Structured Streaming) -------------------------------------------------------
+
+from settlekit.operators.promote import merge_lookback  # noqa: E402
+from settlekit.streaming import drain as DR  # noqa: E402
+from settlekit.streaming import messages as MSG  # noqa: E402
+from settlekit.streaming import upsert as UP  # noqa: E402
+
+_EVENT_OUT = ("event_id", "ts", "user_id", "event_type", "value", "props", "k")
+_EVENT_SQL = "event_id, ts, user_id, event_type, value, props, CAST(json_extract(props, '$.k') AS INTEGER) AS k"
+DRAIN_SPLIT = "2024-01-16 00:00:00"
+RANGE_START, RANGE_END = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
+
+
+def _events(spark, sf) -> DataFrame:
+    return Feed(spark, sf).table("events")
+
+
+@query("message_envelope", """
+SELECT CAST(user_id % 4 AS INTEGER) AS partition, 'events.' || event_type AS topic,
+  CASE WHEN user_id % 10 <> 0 THEN CAST(user_id AS VARCHAR) END AS key, event_id AS "offset",
+  0 AS ts_type, ts AS ts_value,
+  md5('events.' || event_type || CAST(CAST(user_id % 4 AS INTEGER) AS VARCHAR)
+      || coalesce(CASE WHEN user_id % 10 <> 0 THEN CAST(user_id AS VARCHAR) END, 'None')) AS _kafka_msg_id
+FROM events""")
+def message_envelope(spark, sf):
+    """Default message record of every event message (body omitted from the
+    comparison; it is checked by json_decode)."""
+    env = DR.envelope(MSG.event_messages(_events(spark, sf)))
+    return env.select("_kafka.partition", "_kafka.topic", "_kafka.key", "_kafka.offset",
+                      F.col("_kafka.ts.type").alias("ts_type"), F.col("_kafka.ts.value").alias("ts_value"),
+                      "_kafka_msg_id")
+
+
+@query("json_decode", f"SELECT {_EVENT_SQL} FROM events")
+def json_decode(spark, sf):
+    """Message bodies (JSON objects) -> typed event rows, nested JSON props too."""
+    return MSG.decoded_events(MSG.event_messages(_events(spark, sf))).select(*_EVENT_OUT)
+
+
+def _log(spark, sf, name: str, segments=None) -> tuple[str, str]:
+    """Write the events' message log (optionally in time segments); return
+    (log folder, scratch root)."""
+    root = scratch_folder(spark, name)
+    log = f"{root}/log"
+    msgs = MSG.event_messages(_events(spark, sf))
+    if segments is None:
+        MSG.write_segment(msgs, log)
+    else:
+        MSG.write_segment(msgs.filter(segments), log)
+    return log, root
+
+
+@query("drain_available_now", f"""
+SELECT {_EVENT_SQL}, CASE WHEN ts < TIMESTAMP '{DRAIN_SPLIT}' THEN 1 ELSE 3 END AS drain_run FROM events""")
+def drain_available_now(spark, sf):
+    """Three bounded drains of a growing log: run 1 reads the first segment, run 2
+    finds nothing new and writes nothing, run 3 reads only the appended segment."""
+    early = F.col("timestamp") < F.lit(DRAIN_SPLIT).cast("timestamp_ntz")
+    log, root = _log(spark, sf, "drain", early)
+    bronze, ckpt = f"{root}/bronze", f"{root}/checkpoint"
+    decode = lambda b: MSG.decoded_events(b)
+    counts = []
+    for run in (1, 2, 3):
+        if run == 3:
+            MSG.write_segment(MSG.event_messages(_events(spark, sf)).filter(~early), log)
+        stream = DR.read_log(spark, log, files_per_batch=2)
+        counts.append(DR.drain(stream, DR.append_sink(bronze, decode, {"drain_run": run}), ckpt))
+    if counts[1] != 0:
+        raise AssertionError(f"second drain read {counts[1]} messages; expected none")
+    return DR.read_sink(spark, bronze).select(*_EVENT_OUT, "drain_run")
+
+
+@query("drain_time_range", f"""
+SELECT {_EVENT_SQL} FROM events WHERE ts >= TIMESTAMP '{RANGE_START}' AND ts < TIMESTAMP '{RANGE_END}'""")
+def drain_time_range(spark, sf):
+    """Drain bounded by start_from <= message time < end_time."""
+    log, root = _log(spark, sf, "drain-range")
+    stream = DR.time_range(DR.read_log(spark, log), RANGE_START, RANGE_END)
+    DR.drain(stream, DR.append_sink(f"{root}/bronze", MSG.decoded_events), f"{root}/checkpoint")
+    return DR.read_sink(spark, f"{root}/bronze").select(*_EVENT_OUT)
+
+
+ROUTES = {"events.click": "click_events", "events.view": "view_events", "events.purchase": "purchases",
+          "events.signup": "signups", "events.error": "error_log"}
+
+
+@query("drain_route_topics", """
+SELECT CASE event_type WHEN 'click' THEN 'click_events' WHEN 'view' THEN 'view_events'
+  WHEN 'purchase' THEN 'purchases' WHEN 'signup' THEN 'signups' WHEN 'error' THEN 'error_log' END AS table_name,
+  event_id, event_type FROM events""")
+def drain_route_topics(spark, sf):
+    """Each topic lands in its own table (names overridden per topic)."""
+    log, root = _log(spark, sf, "drain-route")
+    sink = DR.routing_sink(f"{root}/tables", ROUTES, MSG.decoded_events)
+    DR.drain(DR.read_log(spark, log), sink, f"{root}/checkpoint")
+    out = None
+    for table in ROUTES.values():
+        t = DR.read_sink(spark, f"{root}/tables/{table}").select(
+            F.lit(table).alias("table_name"), "event_id", "event_type")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query("drain_replay_dedup", f"SELECT {_EVENT_SQL} FROM events")
+def drain_replay_dedup(spark, sf):
+    """State loss: the second drain restarts from the earliest message; the
+    duplicates are absorbed by dedup on the message coordinates."""
+    log, root = _log(spark, sf, "drain-replay")
+    bronze = f"{root}/bronze"
+    keep = ("topic", "partition", "offset")
+    mapper = lambda b: MSG.decoded_events(b, keep=keep)
+    for run, ckpt in ((1, "checkpoint-a"), (2, "checkpoint-b")):
+        DR.drain(DR.read_log(spark, log), DR.append_sink(bronze, mapper, {"drain_run": run}), f"{root}/{ckpt}")
+    landed = DR.read_sink(spark, bronze)
+    return landed.dropDuplicates(list(keep)).select(*_EVENT_OUT)
+
+
+@query("late_update_wins", O.with_fixture(O.latest_sql("fx_versions", VERSION_COLUMNS)))
+def late_update_wins(spark, sf):
+    """Milestone versions arrive newest first, older ones a run later; the
+    upserted table still holds the newest version of every transaction."""
+    root = scratch_folder(spark, "late-updates")
+    versions = Feed(spark, sf).versions()
+    newest = versions.filter(F.col("state") != "initiated")
+    versions_schema = versions.schema
+    newest.write.parquet(f"{root}/arrivals/run=1")
+    table, ckpt = f"{root}/silver", f"{root}/checkpoint"
+    for run in (1, 2):
+        if run == 2:
+            versions.filter(F.col("state") == "initiated").write.parquet(f"{root}/arrivals/run=2")
+        stream = spark.readStream.schema(versions_schema).parquet(f"{root}/arrivals/run=*")
+        DR.drain(stream, UP.upsert_sink(table), ckpt)
+    return UP.read_latest(spark, table).select(*VERSION_COLUMNS)
+
+
+MERGE_CUTOFF, LOOKBACK_DAYS = "1998-01-01 00:00:00", 7
+
+
+@query("merge_lookback", O.with_fixture(f"SELECT {_cols(PARTNER_COLUMNS)} FROM silver_partner", O.SILVER))
+def merge_lookback_q(spark, sf):
+    """Incremental merge: silver built before the cutoff, then the last
+    LOOKBACK_DAYS + new rows merged in; equal to the full rebuild."""
+    bronze = Feed(spark, sf).partner_bronze()
+    cutoff = F.lit(MERGE_CUTOFF).cast("timestamp_ntz")
+    old = promote(bronze.filter(F.col("updated_at") < cutoff), "partner_transactions")
+    window_start = F.lit(MERGE_CUTOFF).cast("timestamp_ntz") - F.make_dt_interval(F.lit(LOOKBACK_DAYS))
+    increment = bronze.filter(F.col("updated_at") >= window_start).select(*PARTNER_COLUMNS)
+    return merge_lookback(old, increment)
