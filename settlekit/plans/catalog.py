@@ -712,3 +712,41 @@ def merge_lookback_q(spark, sf):
     window_start = F.lit(MERGE_CUTOFF).cast("timestamp_ntz") - F.make_dt_interval(F.lit(LOOKBACK_DAYS))
     increment = bronze.filter(F.col("updated_at") >= window_start).select(*PARTNER_COLUMNS)
     return merge_lookback(old, increment)
+
+
+# --- the daily job ------------------------------------------------------------------------------
+
+from settlekit.plans.pipeline import run_pipeline  # noqa: E402
+
+
+@query("pipeline_run", O.on_model(f"""
+SELECT * FROM (VALUES ('extract', 'partner_transactions'), ('extract', 'bank_transactions'),
+  ('promote', 'partner_transactions'), ('promote', 'bank_transactions'),
+  ('build', 'fct_transactions'), ('build', 'fct_transactions_current'), ('build', 'dim_partner'),
+  ('build', 'dim_bank'), ('build', 'dim_decline_reason'), ('build', 'dim_date'),
+  ('test', 'declared_checks'), ('freshness', 'partner_transactions'), ('freshness', 'bank_transactions')) s(step, table_name)
+JOIN (
+  SELECT 'extract' AS st, 'partner_transactions' AS tn, CAST(count(*) AS BIGINT) AS rows, 'ok' AS status FROM fx_partner_bronze
+  UNION ALL SELECT 'extract', 'bank_transactions', count(*), 'ok' FROM fx_bank_bronze
+  UNION ALL SELECT 'promote', 'partner_transactions', count(*), 'ok' FROM silver_partner
+  UNION ALL SELECT 'promote', 'bank_transactions', count(*), 'ok' FROM silver_bank
+  UNION ALL SELECT 'build', 'fct_transactions', count(*), 'ok' FROM fact
+  UNION ALL SELECT 'build', 'fct_transactions_current', count(*), 'ok' FROM current_fact
+  UNION ALL SELECT 'build', 'dim_partner', count(*), 'ok' FROM dim_partner
+  UNION ALL SELECT 'build', 'dim_bank', count(*), 'ok' FROM dim_bank
+  UNION ALL SELECT 'build', 'dim_decline_reason', count(*), 'ok' FROM dim_decline_reason
+  UNION ALL SELECT 'build', 'dim_date', count(*), 'ok' FROM dim_date
+  UNION ALL SELECT 'test', 'declared_checks', 42, 'ok'
+  UNION ALL SELECT 'freshness', 'partner_transactions', 1,
+    CASE WHEN (epoch_us(TIMESTAMP '{FRESHNESS_NOW}') - epoch_us(max(updated_at))) / 3.6e9 > 8 THEN 'error'
+         WHEN (epoch_us(TIMESTAMP '{FRESHNESS_NOW}') - epoch_us(max(updated_at))) / 3.6e9 > 4 THEN 'warn' ELSE 'pass' END
+    FROM silver_partner
+  UNION ALL SELECT 'freshness', 'bank_transactions', 1,
+    CASE WHEN (epoch_us(TIMESTAMP '{FRESHNESS_NOW}') - epoch_us(max(updated_at))) / 3.6e9 > 8 THEN 'error'
+         WHEN (epoch_us(TIMESTAMP '{FRESHNESS_NOW}') - epoch_us(max(updated_at))) / 3.6e9 > 4 THEN 'warn' ELSE 'pass' END
+    FROM silver_bank
+) r ON s.step = r.st AND s.table_name = r.tn""".replace("SELECT * FROM (VALUES", "SELECT s.step, s.table_name, r.rows, r.status FROM (VALUES")))
+def pipeline_run(spark, sf):
+    """The whole daily job end to end (four channels, promote, build, test gate,
+    freshness) into a fresh folder; one summary row per step and table."""
+    return run_pipeline(spark, sf, scratch_folder(spark, "pipeline"), FRESHNESS_NOW)

@@ -57,8 +57,10 @@ def union_channels(frames: Mapping[str, DataFrame], table: str, keep_channel: bo
 def read_bronze(spark: SparkSession, root: str, table: str, keep_channel: bool = True) -> DataFrame:
     """All channels of ``table`` in ONE scan: ``bronze/*/<table>`` with schema
     merging (union by name; a column a channel lacks reads as NULL), the
-    channel taken from the file path, then the contract projection."""
-    df = (spark.read.option("mergeSchema", "true")
+    channel taken from the file path, then the contract projection. Files
+    below a channel folder are found recursively (the queue channel appends
+    one folder per micro-batch), without partition inference."""
+    df = (spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
           .parquet(f"{root.rstrip('/')}/bronze/*/{table}")
           .withColumn("channel", F.regexp_extract(F.col("_metadata.file_path"), r"/bronze/([^/]+)/", 1)))
     cols = (["channel"] if keep_channel else []) + list(TABLE_COLUMNS[table])
