@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from settlekit.operators.joins import bounded_broadcast
 
 
 def _n(cond: Column) -> Column:
@@ -53,14 +54,16 @@ def fee_coverage_audit(current: DataFrame, fee_schedule: DataFrame) -> DataFrame
     """Observed (partner, bank) pairs without a usable fee row (missing or 0)."""
     pairs = current.select("partner_id", "bank_id").distinct()
     fee = fee_schedule.select("partner_id", "bank_id", "fixed_fee_cents")
-    j = pairs.join(F.broadcast(fee), ["partner_id", "bank_id"], "left")
+    j = pairs.join(bounded_broadcast(fee), ["partner_id", "bank_id"], "left")
     return j.agg(F.count(F.lit(1)).alias("pairs"),
                  _n(F.col("fixed_fee_cents").isNull() | (F.col("fixed_fee_cents") == 0)).alias("missing_pairs"))
 
 
 def orphans_except(partner: DataFrame, bank: DataFrame) -> DataFrame:
     """Ids only one side reported, via EXCEPT both ways, glued with UNION ALL."""
-    p, b = partner.select("transaction_id"), bank.select("transaction_id")
+    # DISTINCT first: partial aggregation collapses a hot id in every map task
+    # before the anti-join's shuffle.
+    p, b = partner.select("transaction_id").distinct(), bank.select("transaction_id").distinct()
     p_only = p.subtract(b).agg(F.count(F.lit(1)).alias("orphans")).select(F.lit("partner_only").alias("side"), "orphans")
     b_only = b.subtract(p).agg(F.count(F.lit(1)).alias("orphans")).select(F.lit("bank_only").alias("side"), "orphans")
     return p_only.unionByName(b_only)

@@ -33,7 +33,7 @@ def accepted_values(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, field_: str) -> DataFrame:
     """Non-NULL child keys without a parent row (NULL keys are exempt)."""
-    parents = parent.select(F.col(field_).alias(col))
+    parents = parent.select(F.col(field_).alias(col)).distinct()
     return child.filter(F.col(col).isNotNull()).join(parents, col, "left_anti").select(col)
 
 

@@ -1,8 +1,9 @@
 """The lakehouse model as DataFrames: bronze -> silver -> reconciled -> fact
 -> current -> dimensions -> mart.
 
-The fact table (reconciliation + fee, one row per transaction version) is
-materialised once with a reliable ``checkpoint()`` into the shared checkpoint
+Silver (latest version per transaction and side) is materialised like the
+lake's silver files. The fact table (reconciliation + fee, one row per
+transaction version) is materialised once with a reliable ``checkpoint()`` into the shared checkpoint
 folder, as the warehouse materialises it; ``reconciled`` is a projection of
 it. All dimension keys come from one more pass over the fact into one small
 materialised table, whose sizes are checked by a single aggregate before any
@@ -70,11 +71,11 @@ class Model:
 
     @cached_property
     def partner_silver(self) -> DataFrame:
-        return promote(self.feed.partner_bronze(), "partner_transactions")
+        return self._table(promote(self.feed.partner_bronze(), "partner_transactions"))
 
     @cached_property
     def bank_silver(self) -> DataFrame:
-        return promote(self.feed.bank_bronze(), "bank_transactions")
+        return self._table(promote(self.feed.bank_bronze(), "bank_transactions"))
 
     @cached_property
     def fact(self) -> DataFrame:
