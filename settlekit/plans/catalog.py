@@ -498,9 +498,6 @@ def csv_drop_roundtrip(spark, sf):
     """File channel: write the sftp partners' rows as CSV drops in two column
     orders, read them back by header name, canonicalise."""
     folder = scratch_folder(spark, "csv-drop")
-    import os
-    from urllib.parse import urlparse
-    os.makedirs(urlparse(folder).path if folder.startswith("file:") else folder, exist_ok=True)
     rows = Feed(spark, sf).partner_bronze().filter(F.col("channel") == "sftp_drop").select(*PARTNER_COLUMNS)
     CSV.write_csv_drop(rows.filter(F.col("partner_id") == "partner_globex"), folder,
                        "partner_transactions", "20010801_020000000000", PARTNER_COLUMNS)

@@ -77,8 +77,6 @@ class DailyPipeline:
 
     def extract_sftp(self) -> None:
         landing = f"{self.root}/landing/sftp"
-        import os
-        os.makedirs(landing, exist_ok=True)
         for table in TABLES:
             CSV.write_csv_drop(_text(self._channel_rows(table, "sftp_drop")), landing, table, "20010801_020000000000")
             rows = canonicalize(CSV.read_csv_drops(self.spark, landing, table), table)

@@ -1,7 +1,8 @@
-"""CSV drops: files ``{table}_*.csv`` with a header, columns matched BY NAME.
+"""CSV drops: ``{table}_*.csv`` files (or ``{table}_*`` folders of part files
+written by Spark) with a header, columns matched BY NAME.
 
-Files of one feed may come with different column orders. Each file's header
-line is read (first line only), files are grouped by header, and each group
+Files of one feed may come with different column orders. Each drop's header
+line is read (first line only), drops are grouped by header, and each group
 is read by Spark's CSV reader with an all-string schema in that group's order
 and ``enforceSchema=False`` (Spark re-checks every file's header against it;
 the default would map columns by position and silently swap reordered ones).
@@ -12,55 +13,49 @@ drifted contract before any data is read.
 from __future__ import annotations
 
 import csv
-import glob as _glob
 import io
-import os
 from collections import defaultdict
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from settlekit.contracts import TABLE_SCHEMAS
 from settlekit.operators.canonical import SchemaDriftError, schema_drift
+from settlekit.sources.fs import first_line, list_files
 
 CSV_OPTIONS = {"encoding": "UTF-8", "mode": "FAILFAST", "enforceSchema": "false",
                "nullValue": "", "emptyValue": ""}
 
 
-def _local(path: str) -> str | None:
-    u = urlparse(path)
-    return u.path if u.scheme in ("", "file") else None
-
-
-def list_drop_files(spark: SparkSession, folder: str, table: str) -> list[str]:
-    pattern = f"{table}_*.csv"
-    local = _local(folder)
-    if local is not None:
-        return sorted(_glob.glob(os.path.join(local, pattern)))
-    # Remote stores: let Spark's file index list them (no data is read).
-    df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    return sorted(r["path"] for r in df.collect())
+def drop_entries(spark: SparkSession, folder: str, table: str) -> dict[str, list[str]]:
+    """Drops of ``table`` below ``folder``: entry name -> its CSV files."""
+    root = folder.rstrip("/")
+    out: dict[str, list[str]] = defaultdict(list)
+    for f in list_files(spark, root, "*.csv"):
+        rel = f.split(root.split(":", 1)[-1].rstrip("/") + "/", 1)[-1]
+        entry = rel.split("/", 1)[0]
+        if entry.startswith(f"{table}_"):
+            out[entry].append(f)
+    return dict(out)
 
 
 def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    local = _local(path)
-    if local is not None:
-        with open(local, encoding="utf-8", newline="") as fh:
-            first = fh.readline()
-    else:
-        first = spark.read.text(path).first()["value"]
-    return tuple(next(csv.reader(io.StringIO(first))))
+    line = first_line(spark, path)
+    return tuple(next(csv.reader(io.StringIO(line)))) if line.strip() else ()
 
 
 def read_csv_drops(spark: SparkSession, folder: str, table: str, check_contract: bool = True) -> DataFrame:
-    """All drops of ``table`` as all-string columns named from each file's header."""
-    files = list_drop_files(spark, folder, table)
-    if not files:
-        raise FileNotFoundError(f"no {table}_*.csv files in {folder}")
+    """All drops of ``table`` as all-string columns named from each drop's header."""
+    entries = drop_entries(spark, folder, table)
+    if not entries:
+        raise FileNotFoundError(f"no {table}_* drops in {folder}")
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for f in files:
-        groups[read_header(spark, f)].append(f)
+    for files in entries.values():
+        for f in files:
+            header = read_header(spark, f)
+            if header:
+                groups[header].extend(files)
+                break
     frozen = TABLE_SCHEMAS[table]
     out = None
     for header, paths in groups.items():
@@ -77,14 +72,12 @@ def read_csv_drops(spark: SparkSession, folder: str, table: str, check_contract:
     return out
 
 
-def write_csv_drop(df: DataFrame, folder: str, table: str, stamp: str, columns=None) -> None:
-    """Write ``df`` as drop files of ``table`` (Spark writes part files in a
-    staging folder; they are then named ``{table}_{stamp}_{n}.csv``)."""
+def write_csv_drop(df: DataFrame, folder: str, table: str, stamp: str, columns=None) -> str:
+    """Write ``df`` as one drop of ``table``: folder ``{table}_{stamp}`` of CSV
+    part files with header (timestamps ISO-8601 with microseconds, NULL as '')."""
     cols = list(columns) if columns is not None else df.columns
-    staging = f"{folder.rstrip('/')}/_staging_{table}_{stamp}"
+    path = f"{folder.rstrip('/')}/{table}_{stamp}"
     (df.select(*cols).write.mode("overwrite")
        .option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-       .option("nullValue", "").option("emptyValue", "").csv(staging))
-    local = _local(staging)
-    for i, part in enumerate(sorted(_glob.glob(os.path.join(local, "part-*.csv")))):
-        os.replace(part, os.path.join(_local(folder), f"{table}_{stamp}_{i:04d}.csv"))
+       .option("nullValue", "").option("emptyValue", "").csv(path))
+    return path

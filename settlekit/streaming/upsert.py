@@ -9,33 +9,31 @@ committed version. A retried batch rewrites its own version folder.
 
 from __future__ import annotations
 
-import glob as _glob
-import os
 import re
 from collections.abc import Callable
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 from settlekit.operators.promote import KEY, VERSION, merge_lookback
-
-
-def _local(path: str) -> str:
-    u = urlparse(path)
-    return u.path if u.scheme in ("", "file") else path
-
-
-def committed_versions(root: str) -> list[int]:
-    out = []
-    for d in _glob.glob(os.path.join(_local(root), "v=*")):
-        m = re.search(r"v=(\d+)$", d)
-        if m and os.path.exists(os.path.join(d, "_SUCCESS")):
-            out.append(int(m.group(1)))
+from settlekit.sources.fs import list_files
+
+
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions with data files (files of a Parquet write appear at job commit)."""
+    out = set()
+    try:
+        files = list_files(spark, root, "*.parquet")
+    except Exception:  # noqa: BLE001 - no table yet
+        return []
+    for f in files:
+        m = re.search(r"/v=(\d+)/", f)
+        if m:
+            out.add(int(m.group(1)))
     return sorted(out)
 
 
 def read_latest(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    vs = committed_versions(root)
+    vs = committed_versions(spark, root)
     if not vs:
         return None
     r = spark.read if schema is None else spark.read.schema(schema)
@@ -48,7 +46,7 @@ def upsert_sink(root: str, key: str = KEY, version: str = VERSION,
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = mapper(batch) if mapper else batch
         spark = rows.sparkSession
-        vs = [v for v in committed_versions(root) if v <= batch_id]
+        vs = [v for v in committed_versions(spark, root) if v <= batch_id]
         if vs:
             current = spark.read.schema(rows.schema).parquet(f"{root.rstrip('/')}/v={vs[-1]}")
             merged = merge_lookback(current, rows, key, version)
