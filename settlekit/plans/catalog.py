@@ -10,17 +10,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from settlekit.contracts import BANK_COLUMNS, PARTNER_COLUMNS
+from settlekit.contracts import (BANK_COLUMNS, BANK_STATES, FEE_SCHEDULE_ROWS, FEE_SCHEMA,
+                                 PARTNER_COLUMNS, PARTNER_SCHEMA)
 from settlekit.fixtures import VERSION_COLUMNS, Feed
+from settlekit.operators import audit as A
+from settlekit.operators import canonical as C
 from settlekit.operators import metrics as K
+from settlekit.operators import quality as Q
 from settlekit.operators.dims import DATE_DIM_COLUMNS
 from settlekit.operators.mart import MART_COLUMNS
-from settlekit.operators.promote import promote
+from settlekit.operators.promote import merge_lookback, promote
 from settlekit.operators.reconcile import (FACT_COLUMNS, RECONCILED_COLUMNS,
                                            current_latest_nonnull, current_latest_row, reconcile)
 from settlekit.plans import oracle as O
+from settlekit.plans import suite as S
 from settlekit.plans.model import Model
+from settlekit.plans.pipeline import run_pipeline
+from settlekit.session import scratch_folder
+from settlekit.sources import bronze as B
+from settlekit.sources import csv_drop as CSV
+from settlekit.sources.seeds import read_seed_csv
+from settlekit.streaming import drain as DR
+from settlekit.streaming import messages as MSG
+from settlekit.streaming import upsert as UP
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -236,10 +250,6 @@ def chart_query(spark, sf):
 
 # --- audits ------------------------------------------------------------------------------
 
-from settlekit.contracts import BANK_STATES, DECLINE_REASONS  # noqa: E402
-from settlekit.operators import audit as A  # noqa: E402
-from settlekit.operators import quality as Q  # noqa: E402
-from settlekit.plans import suite as S  # noqa: E402
 
 
 @query("audit_reconciliation", O.on_model("""
@@ -461,14 +471,7 @@ def dq_dup_caught(spark, sf):
 
 # --- sources, canonicalisation, guard, contract --------------------------------------------
 
-from pyspark.sql import types as T  # noqa: E402
 
-from settlekit.contracts import FEE_SCHEMA, FEE_SCHEDULE_ROWS, PARTNER_SCHEMA  # noqa: E402
-from settlekit.operators import canonical as C  # noqa: E402
-from settlekit.session import scratch_folder  # noqa: E402
-from settlekit.sources import bronze as B  # noqa: E402
-from settlekit.sources import csv_drop as CSV  # noqa: E402
-from settlekit.sources.seeds import read_seed_csv  # noqa: E402
 
 _CONTRACT_SELECT = _cols(PARTNER_COLUMNS)
 
@@ -563,10 +566,6 @@ def fee_schedule_seed(spark, sf):
 
 # --- queue drains (Structured Streaming) -------------------------------------------------------
 
-from settlekit.operators.promote import merge_lookback  # noqa: E402
-from settlekit.streaming import drain as DR  # noqa: E402
-from settlekit.streaming import messages as MSG  # noqa: E402
-from settlekit.streaming import upsert as UP  # noqa: E402
 
 _EVENT_OUT = ("event_id", "ts", "user_id", "event_type", "value", "props", "k")
 _EVENT_SQL = "event_id, ts, user_id, event_type, value, props, CAST(json_extract(props, '$.k') AS INTEGER) AS k"
@@ -713,7 +712,6 @@ def merge_lookback_q(spark, sf):
 
 # --- the daily job ------------------------------------------------------------------------------
 
-from settlekit.plans.pipeline import run_pipeline  # noqa: E402
 
 
 @query("pipeline_run", O.on_model(f"""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,13 +34,20 @@ def write_bronze(df: DataFrame, root: str, channel: str, table: str, disposition
     Validation runs before the write, so a refused batch writes nothing; the
     write itself goes through Spark's commit protocol (all files or none).
     """
-    if validate:
-        contract_cols = set(TABLE_COLUMNS[table])
-        business = df.select(*[c for c in df.columns if c in contract_cols or not c.startswith("_")])
-        enforce_contract(business, TABLE_SCHEMAS[table], source=f"{channel}/{table}")
-        guard_identifiers(business)
     path = bronze_path(root, channel, table)
-    df.write.mode(DISPOSITION_MODES[disposition]).parquet(path)
+    if not validate:
+        df.write.mode(DISPOSITION_MODES[disposition]).parquet(path)
+        return path
+    contract_cols = set(TABLE_COLUMNS[table])
+    business = df.select(*[c for c in df.columns if c in contract_cols or not c.startswith("_")])
+    enforce_contract(business, TABLE_SCHEMAS[table], source=f"{channel}/{table}")
+    # The batch is computed once for the guard pass and the write (spills to disk if large).
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        guard_identifiers(business)
+        df.write.mode(DISPOSITION_MODES[disposition]).parquet(path)
+    finally:
+        df.unpersist()
     return path
 
 

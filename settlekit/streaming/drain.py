@@ -9,6 +9,10 @@ The operators take any streaming DataFrame with the message-log columns of
 Spark's Kafka source (topic, partition, offset, timestamp, timestampType, key,
 value); locally the log is a folder of Parquet files read with the file
 source, on a cluster it would be ``readStream.format("kafka")``.
+
+Wiping or recreating a topic must also drop the drain's checkpoint folder:
+stored offsets past the new end would otherwise skip (or, with
+``failOnDataLoss``, fail on) the new messages.
 """
 
 from __future__ import annotations
@@ -98,7 +102,9 @@ def read_topics(spark: SparkSession, bootstrap_servers: str, topics: list[str],
                 options: Mapping[str, str] | None = None) -> DataFrame:
     """Streaming read of queue topics (needs the Spark Kafka connector on the
     classpath): at most ``batch_size`` messages per micro-batch, optionally
-    bounded by message time, columns as in MESSAGE_SCHEMA."""
+    bounded by message time, columns as in MESSAGE_SCHEMA. Retriable consumer
+    errors are retried by the source; lost offsets are reported and skipped
+    (``failOnDataLoss=false``); any other failure fails the drain."""
     check_time_range(start_from, end_time)
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", ",".join(topics)).option("maxOffsetsPerTrigger", batch_size)
