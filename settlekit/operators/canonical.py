@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,18 +107,31 @@ def schema_drift(frozen: T.StructType, observed: T.StructType) -> list[Drift]:
     return out
 
 
-DRIFT_SCHEMA = T.StructType([
-    T.StructField("source", T.StringType()), T.StructField("column_name", T.StringType()),
-    T.StructField("kind", T.StringType()), T.StructField("frozen_type", T.StringType()),
-    T.StructField("observed_type", T.StringType()), T.StructField("violation", T.BooleanType()),
-])
+def drift_report(frozen: T.StructType, observed: dict[str, DataFrame]) -> DataFrame:
+    """Contract comparison of several sources, with the rows each drift affects.
 
-
-def drift_report(spark: SparkSession, frozen: T.StructType, observed: dict[str, T.StructType]) -> DataFrame:
-    """Schema comparison of several sources as a DataFrame (metadata only)."""
-    rows = [(src, d.column_name, d.kind, d.frozen_type, d.observed_type, d.kind != "missing_ok")
-            for src, schema in observed.items() for d in schema_drift(frozen, schema)]
-    return spark.createDataFrame(rows, DRIFT_SCHEMA)
+    Per source ONE aggregation: non-NULL values of every new or retyped
+    column and the row count (a missing column affects every row); the drift
+    metadata rides along as literals. Sources without drift contribute no rows.
+    """
+    out = None
+    for source, df in observed.items():
+        drifts = schema_drift(frozen, df.schema)
+        if not drifts:
+            continue
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        aggs += [F.count(F.col(d.column_name)).alias(f"_n{i}") for i, d in enumerate(drifts) if d.kind != "missing_ok"]
+        counts = df.agg(*aggs)
+        entries = [F.struct(
+            F.lit(d.column_name).alias("column_name"), F.lit(d.kind).alias("kind"),
+            F.lit(d.frozen_type).cast("string").alias("frozen_type"),
+            F.lit(d.observed_type).cast("string").alias("observed_type"),
+            F.lit(d.kind != "missing_ok").alias("violation"),
+            (F.col("_rows") if d.kind == "missing_ok" else F.col(f"_n{i}")).alias("rows_affected"))
+            for i, d in enumerate(drifts)]
+        one = counts.select(F.explode(F.array(*entries)).alias("d")).select(F.lit(source).alias("source"), "d.*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def enforce_contract(df: DataFrame, frozen: T.StructType, source: str = "source") -> DataFrame:

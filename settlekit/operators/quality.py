@@ -48,7 +48,8 @@ def freshness(df: DataFrame, ts_col: str, now: str, warn_hours: float = 4,
     A newest value ahead of ``now`` (negative age) passes."""
     now_ts = F.lit(now).cast("timestamp_ntz")
     newest = df.agg(F.max(ts_col).alias("max_loaded_at"))
-    age_h = (F.unix_micros(now_ts.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / 3.6e9
+    # NTZ arithmetic: independent of the session time zone.
+    age_h = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now_ts) / 3.6e9
     return newest.select(
         "max_loaded_at", now_ts.alias("snapshotted_at"), F.round(age_h, 6).alias("age_hours"),
         F.when(F.col("max_loaded_at").isNull(), "error")

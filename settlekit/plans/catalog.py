@@ -521,16 +521,22 @@ def digit_run_scan(spark, sf):
     return C.digit_run_counts(Feed(spark, sf).table("documents"), ["text", "lang", "source"])
 
 
-@query("schema_drift_report")
+@query("schema_drift_report", O.with_fixture("""
+SELECT 'sftp_drop' AS source, 'surprise_risk_score' AS column_name, 'new_column' AS kind,
+  CAST(NULL AS VARCHAR) AS frozen_type, 'double' AS observed_type, true AS violation,
+  count(*) FILTER (WHERE amount_cents % 100 <> 0) AS rows_affected FROM fx_partner
+UNION ALL
+SELECT 'kafka_drain', 'amount_cents', 'type_changed', 'bigint', 'string', true, count(amount_cents) FROM fx_partner
+UNION ALL
+SELECT 'kafka_drain', 'initiated_at', 'missing_ok', 'timestamp_ntz', NULL, false, count(*) FROM fx_partner"""))
 def schema_drift_report(spark, sf):
-    """Contract comparison of three observed channel schemas (clean, extra column,
-    retyped + missing column)."""
-    f = Feed(spark, sf)
-    clean = f.partner()
-    drifted = clean.withColumn("surprise_risk_score", (F.col("amount_cents") % 100) / 100.0)
+    """Contract comparison of three channel feeds (clean; an extra column; a
+    retyped and a missing column) with the rows each drift affects."""
+    clean = Feed(spark, sf).partner()
+    drifted = clean.withColumn("surprise_risk_score",
+                               F.when(F.col("amount_cents") % 100 != 0, (F.col("amount_cents") % 100) / 100.0))
     retyped = clean.drop("initiated_at").withColumn("amount_cents", F.col("amount_cents").cast("string"))
-    return C.drift_report(spark, PARTNER_SCHEMA, {"partner_db": clean.schema, "sftp_drop": drifted.schema,
-                                                  "kafka_drain": retyped.schema})
+    return C.drift_report(PARTNER_SCHEMA, {"partner_db": clean, "sftp_drop": drifted, "kafka_drain": retyped})
 
 
 @query("bronze_union_by_name", O.with_fixture(f"SELECT channel, {_CONTRACT_SELECT} FROM fx_partner_bronze"))
