@@ -7,9 +7,10 @@ transaction version) is materialised once as a Parquet table in the shared
 checkpoint folder, as the warehouse materialises it; ``reconciled`` is a projection of
 it. All dimension keys come from one more pass over the fact into one small
 materialised table, whose sizes are checked by a single aggregate before any
-dimension is broadcast. The current state (the warehouse's argMax view) is
-materialised once as well, because every chart re-reads it; the mart stays a
-lazy view (broadcast joins to the dimensions).
+dimension is broadcast. The current state (the warehouse's argMax view) is the
+fact itself when the fact has one version per key (a full rebuild), else the
+aggregation materialised once; the mart stays a lazy view (broadcast joins to
+the dimensions).
 """
 
 from __future__ import annotations
@@ -49,10 +50,12 @@ class Model:
     _shared: dict = {}
     _lock = threading.Lock()
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool = True,
+                 multi_version: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
         self.feed = Feed(spark, sf_dir)
         self._materialized = materialized
+        self.multi_version = multi_version
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Model":
@@ -93,9 +96,18 @@ class Model:
 
     @cached_property
     def current(self) -> DataFrame:
-        """Latest non-NULL value per column and transaction. Materialised once:
-        every chart reads it, so the per-key aggregation (a shuffle on
-        transaction_id) is not repeated per chart."""
+        """Latest non-NULL value per column and transaction.
+
+        The fact built here joins two sides that were each reduced to one row
+        per transaction, so it holds exactly one version per key and the
+        per-column argMax is the identity: the fact is returned as is (no
+        shuffle and sort of the whole fact). The declared ``unique`` check on
+        this table verifies the invariant on every run. A fact assembled from
+        several versions (``multi_version=True``, e.g. after incremental
+        merges) gets the aggregation, materialised once for all charts.
+        """
+        if not self.multi_version:
+            return self.fact
         return self._table(current_latest_nonnull(self.fact), "fct_transactions_current", ("transaction_id",))
 
     # dimensions -------------------------------------------------------------------

@@ -77,3 +77,12 @@ def test_hot_key_with_a_third_of_rows_is_reduced_correctly(spark):
     cur = {r["transaction_id"]: r for r in current_latest_nonnull(df).collect()}
     assert cur["hot"]["state"] == "29997" and cur["hot"]["updated_at"] == latest["hot"]["updated_at"]
     assert "partial_max_by" in plan(current_latest_nonnull(df))
+
+
+def test_single_version_fact_is_its_own_current_state(spark):
+    fast = Model(spark, SF_SMALL).current
+    slow = Model(spark, SF_SMALL, multi_version=True).current
+    cols = sorted(fast.columns)
+    assert cols == sorted(slow.columns)
+    assert fast.select(*cols).exceptAll(slow.select(*cols)).count() == 0
+    assert slow.select(*cols).exceptAll(fast.select(*cols)).count() == 0
