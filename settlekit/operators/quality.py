@@ -134,10 +134,25 @@ def run_checks(models: dict[str, DataFrame], specs: Sequence[ModelChecks]) -> Da
                           .otherwise(F.when(F.col("severity") == "warn", "warn").otherwise("fail")))
 
 
+def freshness_results(tables: dict[str, DataFrame], ts_col: str, now: str, warn_hours: float = 4,
+                      error_hours: float = 8) -> DataFrame:
+    """Freshness of several tables as suite result rows (test 'freshness';
+    status pass / warn / error, failures 1 when not passing)."""
+    out = None
+    for name, df in tables.items():
+        one = freshness(df, ts_col, now, warn_hours, error_hours).select(
+            F.lit(name).alias("model"), F.lit(ts_col).alias("column_name"), F.lit("freshness").alias("test"),
+            F.when(F.col("status") == "pass", 0).otherwise(1).cast("bigint").alias("failures"),
+            F.when(F.col("status") == "error", "error").otherwise("warn").alias("severity"), "status")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def severity_rollup(results: DataFrame) -> DataFrame:
-    """Alert level per result: failed error-level checks -> critical,
-    warn-level ones -> warning; counted per level."""
-    level = (F.when(F.col("status") == "fail", "critical")
+    """Alert level per result: a failed error-level check or a freshness error
+    -> critical; a warn-level failure or a freshness warning -> warning;
+    counted per level."""
+    level = (F.when(F.col("status").isin("fail", "error"), "critical")
               .when(F.col("status") == "warn", "warning").otherwise("ok"))
     return (results.groupBy(level.alias("alert_level"))
                    .agg(F.count(F.lit(1)).alias("checks"), F.sum("failures").cast("bigint").alias("failing_rows")))

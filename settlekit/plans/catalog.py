@@ -442,12 +442,27 @@ def dq_suite(spark, sf):
     return S.declared_suite(Model.shared(spark, sf))
 
 
+def _freshness_rows_sql(name: str, source: str) -> str:
+    age = f"(epoch_us(TIMESTAMP '{FRESHNESS_NOW}') - epoch_us(max(updated_at))) / 3.6e9"
+    status = f"CASE WHEN max(updated_at) IS NULL OR {age} > 8 THEN 'error' WHEN {age} > 4 THEN 'warn' ELSE 'pass' END"
+    return (f"SELECT '{name}' AS model, 'updated_at' AS column_name, 'freshness' AS test, "
+            f"CAST(CASE WHEN {status} = 'pass' THEN 0 ELSE 1 END AS BIGINT) AS failures, "
+            f"CASE WHEN {status} = 'error' THEN 'error' ELSE 'warn' END AS severity, {status} AS status FROM {source}")
+
+
 @query("dq_severity", O.on_model(f"""
 SELECT alert_level, count(*) AS checks, CAST(sum(failures) AS BIGINT) AS failing_rows FROM (
-  SELECT failures, CASE WHEN status = 'fail' THEN 'critical' WHEN status = 'warn' THEN 'warning' ELSE 'ok' END AS alert_level
-  FROM ({S.suite_sql()})) GROUP BY alert_level"""))
+  SELECT failures, CASE WHEN status IN ('fail', 'error') THEN 'critical' WHEN status = 'warn' THEN 'warning'
+                        ELSE 'ok' END AS alert_level
+  FROM ({S.suite_sql()}
+        UNION ALL {_freshness_rows_sql('silver_partner_transactions', 'silver_partner')}
+        UNION ALL {_freshness_rows_sql('silver_bank_transactions', 'silver_bank')})) GROUP BY alert_level"""))
 def dq_severity(spark, sf):
-    return Q.severity_rollup(S.declared_suite(Model.shared(spark, sf)))
+    """Alert levels over the declared checks plus the silver freshness checks."""
+    m = Model.shared(spark, sf)
+    fresh = Q.freshness_results({"silver_partner_transactions": m.partner_silver,
+                                 "silver_bank_transactions": m.bank_silver}, "updated_at", FRESHNESS_NOW)
+    return Q.severity_rollup(S.declared_suite(m).unionByName(fresh))
 
 
 @query("dq_dup_caught", O.with_fixture("""
@@ -648,25 +663,19 @@ def drain_time_range(spark, sf):
     return DR.read_sink(spark, f"{root}/bronze").select(*_EVENT_OUT)
 
 
-ROUTES = {"events.click": "click_events", "events.view": "view_events", "events.purchase": "purchases",
-          "events.signup": "signups", "events.error": "error_log"}
+# Table-name overrides of the routing drain (other topics keep their own name).
+ROUTES = {"events.purchase": "purchases", "events.error": "error_log"}
 
 
 @query("drain_route_topics", """
-SELECT CASE event_type WHEN 'click' THEN 'click_events' WHEN 'view' THEN 'view_events'
-  WHEN 'purchase' THEN 'purchases' WHEN 'signup' THEN 'signups' WHEN 'error' THEN 'error_log' END AS table_name,
-  event_id, event_type FROM events""")
+SELECT CASE event_type WHEN 'purchase' THEN 'purchases' WHEN 'error' THEN 'error_log'
+  ELSE 'events_' || event_type END AS table_name, event_id, event_type FROM events""")
 def drain_route_topics(spark, sf):
-    """Each topic lands in its own table (names overridden per topic)."""
+    """Each topic lands in its own table: the topic's name, or an override."""
     log, root = _log(spark, sf, "drain-route")
-    sink = DR.routing_sink(f"{root}/tables", ROUTES, MSG.decoded_events)
-    DR.drain(DR.read_log(spark, log), sink, f"{root}/checkpoint")
-    out = None
-    for table in ROUTES.values():
-        t = DR.read_sink(spark, f"{root}/tables/{table}").select(
-            F.lit(table).alias("table_name"), "event_id", "event_type")
-        out = t if out is None else out.unionByName(t)
-    return out
+    mapper = lambda b: MSG.decoded_events(b, keep=("table_name",))
+    DR.drain(DR.read_log(spark, log), DR.routing_sink(f"{root}/tables", ROUTES, mapper), f"{root}/checkpoint")
+    return DR.read_routed(spark, f"{root}/tables").select("table_name", "event_id", "event_type")
 
 
 @query("drain_replay_dedup", f"SELECT {_EVENT_SQL} FROM events")

@@ -156,22 +156,38 @@ def _batch_tag(tag, batch_id: int) -> str:
     return f"{run:04d}-{batch_id:08d}"
 
 
-def routing_sink(root: str, table_of: Mapping[str, str],
+def topic_table(topic: Column, overrides: Mapping[str, str]) -> Column:
+    """Table name of a topic: the override if one is given, else the topic name
+    with every character outside [A-Za-z0-9_] replaced by '_'."""
+    default = F.regexp_replace(topic, "[^A-Za-z0-9_]", "_")
+    if not overrides:
+        return default
+    mapping = F.create_map(*[F.lit(x) for kv in overrides.items() for x in kv])
+    return F.coalesce(F.element_at(mapping, topic), default)
+
+
+def routing_sink(root: str, overrides: Mapping[str, str] | None = None,
                  mapper: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink routing each topic to its own table (name per topic,
-    overridable); one pass over the batch per topic, batch cached meanwhile."""
+    """foreachBatch sink landing every topic in its own table
+    (``<root>/table_name=<table>/batch=<id>/``), in ONE partitioned write per
+    batch; dynamic partition overwrite makes a retried batch replace only its
+    own folders."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for topic, table in table_of.items():
-                part = batch.filter(F.col("topic") == topic)
-                out = mapper(part) if mapper else part
-                out.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{table}/batch={batch_id:08d}")
-        finally:
-            batch.unpersist()
+        table = topic_table(F.col("topic"), overrides or {})
+        routed = batch.withColumn("table_name", table)
+        out = mapper(routed) if mapper else routed
+        (out.withColumn("batch", F.lit(batch_id))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("table_name", "batch").parquet(root))
     return sink
 
 
+def read_routed(spark: SparkSession, root: str, table: str | None = None) -> DataFrame:
+    """Routed tables (all, or one via partition pruning on ``table_name``)."""
+    df = spark.read.parquet(root).drop("batch")
+    return df if table is None else df.filter(F.col("table_name") == table)
+
+
 def read_sink(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     r = spark.read
     if schema is not None:

@@ -71,3 +71,15 @@ def test_late_older_versions_do_not_override_newer(spark, tmp_dir):
     final = UP.read_latest(spark, table)
     assert final.count() == v.select("transaction_id").distinct().count()
     assert final.filter(F.col("state") == "initiated").count() == 0
+
+
+def test_every_topic_lands_in_its_own_table_with_overrides(spark, tmp_dir):
+    log = f"{tmp_dir}/log"
+    MSG.write_segment(MSG.event_messages(_events(spark)), log)
+    root = f"{tmp_dir}/tables"
+    DR.drain(DR.read_log(spark, log), DR.routing_sink(root, {"events.error": "error_log"}), f"{tmp_dir}/ckpt")
+    tables = {r["table_name"]: r["n"] for r in
+              DR.read_routed(spark, root).groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(tables) == {"error_log", "events_click", "events_view", "events_purchase", "events_signup"}
+    assert sum(tables.values()) == _events(spark).count()
+    assert DR.read_routed(spark, root, "error_log").filter(F.col("topic") != "events.error").count() == 0
