@@ -89,49 +89,59 @@ def _row_predicate(c: Check) -> Column:
     raise ValueError(c.kind)
 
 
-def _result_rows(model: str, named: list[tuple[Check, str]], agg_df: DataFrame) -> DataFrame:
-    """One aggregate row with a column per check -> one row per check."""
-    parts = []
-    for c, alias in named:
-        parts += [F.lit(c.kind), F.lit(c.column), F.lit(c.severity), F.col(alias).cast("bigint")]
-    n = len(named)
-    stacked = agg_df.select(F.explode(F.array(*[
-        F.struct(parts[4 * i].alias("test"), parts[4 * i + 1].alias("column_name"),
-                 parts[4 * i + 2].alias("severity"), parts[4 * i + 3].alias("failures"))
-        for i in range(n)])).alias("r")).select("r.*")
-    return stacked.select(F.lit(model).alias("model"), "column_name", "test", "failures", "severity")
+def _entry(check_id: int, value, child: int, parent: int):
+    return F.struct(F.lit(check_id).alias("check_id"), value.cast("string").alias("value"),
+                    F.lit(child).cast("int").alias("child"), F.lit(parent).cast("int").alias("parent"))
 
 
 def run_checks(models: dict[str, DataFrame], specs: Sequence[ModelChecks]) -> DataFrame:
     """Every declared check -> (model, column_name, test, failures, severity, status).
 
-    Row-level checks of a model (not_null, accepted_values, no_digit_run) are
-    evaluated together in ONE aggregation per model (``count_if`` per check).
-    ``unique`` counts duplicated values with a group-by; ``relationships``
-    counts orphan keys with a left-anti join. Results are unioned.
+    Each model is scanned ONCE: every row emits, through one ``explode``, an
+    entry per check it concerns -- a failing row-level check (not_null,
+    accepted_values, no_digit_run), its non-NULL value for ``unique``, its
+    non-NULL key for ``relationships`` -- and each relationship's parent
+    contributes its distinct keys. One aggregation by (check id, value),
+    partial on the map side, then gives failing rows, values seen more than
+    once, and child rows whose key no parent has. The check list itself (one
+    row per declared check, bounded by the suite) supplies the names and a
+    zero row for checks without failures.
     """
-    results: list[DataFrame] = []
+    checks = [(spec.name, c) for spec in specs for c in spec.checks]
+    streams: list[DataFrame] = []
+    i = 0
     for spec in specs:
-        df = models[spec.name]
-        row_checks = [c for c in spec.checks if c.kind in ROW_CHECKS]
-        if row_checks:
-            named = [(c, f"_c{i}") for i, c in enumerate(row_checks)]
-            agg = df.agg(*[F.count_if(_row_predicate(c)).alias(a) for c, a in named])
-            results.append(_result_rows(spec.name, named, agg))
+        entries = []
         for c in spec.checks:
-            if c.kind == "unique":
-                failing = unique(df, c.column)
-            elif c.kind == "relationships":
-                failing = relationships(df, c.column, models[c.parent], c.parent_field)
-            else:
-                continue
-            agg = failing.agg(F.count(F.lit(1)).alias("_c0"))
-            results.append(_result_rows(spec.name, [(c, "_c0")], agg))
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass")
-                          .otherwise(F.when(F.col("severity") == "warn", "warn").otherwise("fail")))
+            col = F.col(c.column)
+            if c.kind in ROW_CHECKS:
+                entries.append(F.when(_row_predicate(c), _entry(i, F.lit(None), 1, 0)))
+            else:  # unique, relationships: the non-NULL value itself
+                entries.append(F.when(col.isNotNull(), _entry(i, col, 1, 0)))
+            if c.kind == "relationships":
+                parent_keys = models[c.parent].select(F.col(c.parent_field).alias("_k")).distinct()
+                streams.append(parent_keys.select(_entry(i, F.col("_k"), 0, 1).alias("e")))
+            i += 1
+        rows = models[spec.name].select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull())
+        streams.append(rows)
+    allrows = streams[0]
+    for st in streams[1:]:
+        allrows = allrows.unionByName(st)
+    kind = F.element_at(F.array(*[F.lit(c.kind) for _, c in checks]), F.col("check_id") + 1)
+    per_value = (allrows.select("e.*").groupBy("check_id", "value")
+                 .agg(F.sum("child").alias("n_child"), F.max("parent").alias("has_parent")))
+    failing = (F.when(kind == "unique", F.when(F.col("n_child") > 1, 1).otherwise(0))
+                .when(kind == "relationships", F.when(F.col("has_parent") == 0, F.col("n_child")).otherwise(0))
+                .otherwise(F.col("n_child")))
+    counts = per_value.groupBy("check_id").agg(F.sum(failing).cast("bigint").alias("failures"))
+    spark = next(iter(models.values())).sparkSession
+    meta = spark.createDataFrame([(j, m, c.column, c.kind, c.severity) for j, (m, c) in enumerate(checks)],
+                                 "check_id int, model string, column_name string, test string, severity string")
+    out = F.broadcast(meta).join(counts, "check_id", "left")
+    return out.select("model", "column_name", "test", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
+                      "severity").withColumn(
+        "status", F.when(F.col("failures") == 0, "pass")
+                   .otherwise(F.when(F.col("severity") == "warn", "warn").otherwise("fail")))
 
 
 def freshness_results(tables: dict[str, DataFrame], ts_col: str, now: str, warn_hours: float = 4,
