@@ -14,6 +14,7 @@ partner and bank databases as DataFrames (a JDBC snapshot in production, see
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,8 +60,10 @@ def _text(df: DataFrame) -> DataFrame:
 
 
 class DailyPipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str, out_root: str, now: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, out_root: str, now: str, buckets: int | None = None):
         self.spark, self.sf_dir, self.root, self.now = spark, sf_dir, out_root.rstrip("/"), now
+        self.buckets = buckets
+        self.run_id = uuid.uuid4().hex[:10]
         self.feed = Feed(spark, sf_dir)
         self.results: list[StepResult] = []
 
@@ -113,13 +116,14 @@ class DailyPipeline:
     # promote / build ------------------------------------------------------------------------
 
     def promote_all(self) -> dict[str, DataFrame]:
+        """Silver tables bucketed by transaction_id (same bucket count), so the
+        build's full outer join reads both without a shuffle."""
         out = {}
         for table in TABLES:
             bronze = B.read_bronze(self.spark, self.root, table)
             self.results.append(StepResult("extract", table, bronze.count(), "ok"))
-            path = B.silver_path(self.root, table)
-            promote(bronze, table).write.mode("overwrite").parquet(path)
-            out[table] = self.spark.read.parquet(path)
+            out[table] = B.write_bucketed(promote(bronze, table), B.silver_path(self.root, table),
+                                          f"silver_{table}_{self.run_id}", buckets=self.buckets)
             self.results.append(StepResult("promote", table, out[table].count(), "ok"))
         return out
 

@@ -25,6 +25,9 @@ def local_session(cores: int | str = 8, app: str = "settlekit",
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(LOCAL_CONF)
     conf.setdefault("spark.driver.memory", os.environ.get("SETTLEKIT_DRIVER_MEMORY", "16g"))
+    # Catalog entries (bucketed tables) are external; keep the default database
+    # folder out of the working directory.
+    conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="settlekit-warehouse-"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -51,6 +51,22 @@ def write_bronze(df: DataFrame, root: str, channel: str, table: str, disposition
     return path
 
 
+def write_bucketed(df: DataFrame, path: str, table_name: str, key: str = "transaction_id",
+                   buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as an external table at ``path`` bucketed and sorted by ``key``.
+
+    Two tables bucketed the same way join on ``key`` without any shuffle or
+    sort (the bucketed scans already have the join's distribution and order).
+    The table is registered in the session catalog under ``table_name``; its
+    files stay in ``path``.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.mode("overwrite").bucketBy(n, key).sortBy(key).format("parquet")
+       .option("path", path).saveAsTable(table_name))
+    return spark.table(table_name)
+
+
 def union_channels(frames: Mapping[str, DataFrame], table: str, keep_channel: bool = True) -> DataFrame:
     """Union every channel's rows BY NAME (channels differ in metadata columns),
     then keep the contract's business columns (plus the channel name)."""

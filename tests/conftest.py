@@ -19,6 +19,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="settlekit-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from settlekit.session import checkpoint_root
