@@ -128,18 +128,28 @@ class DailyPipeline:
         return out
 
     def build(self, silver: dict[str, DataFrame]) -> Model:
-        m = Model(self.spark, self.sf_dir)
+        """Gold tables, each written once; later tables read the written fact."""
+        m = Model(self.spark, self.sf_dir, materialized=False)
         m.partner_silver = silver["partner_transactions"].select(*TABLE_COLUMNS["partner_transactions"])
         m.bank_silver = silver["bank_transactions"].select(*TABLE_COLUMNS["bank_transactions"])
-        tables = {"fct_transactions": m.fact, "fct_transactions_current": m.current,
-                  "dim_partner": m.dim_partner, "dim_bank": m.dim_bank,
-                  "dim_decline_reason": m.dim_decline_reason, "dim_date": m.dim_date}
-        for name, df in tables.items():
-            path = f"{self.root}/gold/{name}"
-            df.write.mode("overwrite").parquet(path)
-            self.results.append(StepResult("build", name, self.spark.read.parquet(path).count(), "ok"))
+        m.fact = self._write_gold("fct_transactions", m.fact)
+        if m.multi_version:
+            m.current = self._write_gold("fct_transactions_current", m.current)
+        else:  # one version per key: the current-state view is the fact itself
+            self.results.append(StepResult("build", "fct_transactions_current", m.current.count(), "ok"))
+        m._dim_values = self._write_gold("dimension_values", m._dim_values, record=False)
+        for name in ("dim_partner", "dim_bank", "dim_decline_reason", "dim_date"):
+            setattr(m, name, self._write_gold(name, getattr(m, name)))
         return m
 
+    def _write_gold(self, name: str, df: DataFrame, record: bool = True) -> DataFrame:
+        path = f"{self.root}/gold/{name}"
+        df.write.mode("overwrite").parquet(path)
+        out = self.spark.read.parquet(path)
+        if record:
+            self.results.append(StepResult("build", name, out.count(), "ok"))
+        return out
+
     def test(self, m: Model) -> None:
         # 42 result rows: a check result, small by construction.
         results = S.declared_suite(m).select("model", "column_name", "test", "status").collect()
