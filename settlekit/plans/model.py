@@ -2,7 +2,8 @@
 -> current -> dimensions -> mart.
 
 Silver (latest version per transaction and side) is materialised like the
-lake's silver files. The fact table (reconciliation + fee, one row per
+lake's silver files, bucketed by transaction_id so the reconciliation join
+needs no shuffle. The fact table (reconciliation + fee, one row per
 transaction version) is materialised once as a Parquet table in the shared
 checkpoint folder, as the warehouse materialises it; ``reconciled`` is a projection of
 it. All dimension keys come from one more pass over the fact into one small
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,7 @@ from settlekit.operators.promote import promote
 from settlekit.operators.reconcile import (RECONCILED_COLUMNS, current_latest_nonnull,
                                            reconcile, with_fee)
 from settlekit.session import scratch_folder
+from settlekit.sources.bronze import write_bucketed
 from settlekit.sources.seeds import fee_schedule
 
 
@@ -74,15 +77,23 @@ class Model:
     def fee_schedule(self) -> DataFrame:
         return fee_schedule(self.spark)
 
+    def _silver(self, df: DataFrame, name: str) -> DataFrame:
+        """Silver as a table bucketed and sorted by transaction_id: both sides
+        share the bucketing, so the reconciliation join reads them unshuffled."""
+        if not self._materialized:
+            return df
+        path = scratch_folder(self.spark, f"tables/{name}")
+        return write_bucketed(df, path, f"{name}_{uuid.uuid4().hex[:10]}")
+
     @cached_property
     def partner_silver(self) -> DataFrame:
-        return self._table(promote(self.feed.partner_bronze(), "partner_transactions"),
-                           "silver_partner_transactions")
+        return self._silver(promote(self.feed.partner_bronze(), "partner_transactions"),
+                            "silver_partner_transactions")
 
     @cached_property
     def bank_silver(self) -> DataFrame:
-        return self._table(promote(self.feed.bank_bronze(), "bank_transactions"),
-                           "silver_bank_transactions")
+        return self._silver(promote(self.feed.bank_bronze(), "bank_transactions"),
+                            "silver_bank_transactions")
 
     @cached_property
     def fact(self) -> DataFrame:

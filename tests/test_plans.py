@@ -86,3 +86,9 @@ def test_single_version_fact_is_its_own_current_state(spark):
     assert cols == sorted(slow.columns)
     assert fast.select(*cols).exceptAll(slow.select(*cols)).count() == 0
     assert slow.select(*cols).exceptAll(fast.select(*cols)).count() == 0
+
+
+def test_bucketed_silver_reconciles_without_a_shuffle(spark):
+    m = Model(spark, SF_SMALL)
+    p = plan(reconcile(m.partner_silver, m.bank_silver))
+    assert "SortMergeJoin" in p and "FullOuter" in p and "Exchange" not in p
