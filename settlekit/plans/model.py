@@ -64,7 +64,7 @@ class Model:
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Model":
         """One built model per (Spark application, input folder): the warehouse
         tables that every chart reads, built on first use."""
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir)
         with cls._lock:
             if key not in cls._shared:
                 cls._shared[key] = cls(spark, sf_dir)

@@ -32,7 +32,7 @@ def local_session(cores: int | str = 8, app: str = "settlekit",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("ERROR")  # local sessions only
     shared_folder(spark)
     return spark
 
@@ -44,14 +44,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     setting is absent (local tests), and it is then registered as the
     session's checkpoint dir so ``DataFrame.checkpoint()`` works.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/").rsplit("/", 1)[0] if _is_session_subdir(current) else current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="settlekit-ckpt-")
-    sc.setCheckpointDir(configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
