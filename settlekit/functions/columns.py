@@ -47,6 +47,24 @@ def blank_to_null(c: str | Column) -> Column:
     return F.nullif(col_of(c), F.lit(""))
 
 
+def iso_text(c: str | Column) -> Column:
+    """TIMESTAMP_NTZ -> ISO-8601 text ('T' separator), without the session time
+    zone (``date_format`` would shift wall times inside a DST gap)."""
+    return F.regexp_replace(col_of(c).cast("string"), " ", "T")
+
+
+def truncate_ntz(c: str | Column, unit: str) -> Column:
+    """Truncate a TIMESTAMP_NTZ to ``unit`` and stay TIMESTAMP_NTZ, without the
+    session time zone (``date_trunc`` would return a zoned TIMESTAMP)."""
+    c = col_of(c)
+    if unit == "hour":
+        return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
+    d = F.to_date(c)
+    if unit != "day":
+        d = F.trunc(d, unit)
+    return d.cast("timestamp_ntz")
+
+
 # Calendar attributes ------------------------------------------------------------
 
 def date_key(d: str | Column) -> Column:
@@ -62,7 +80,7 @@ def iso_day_of_week(d: str | Column) -> Column:
 
 def week_start(d: str | Column) -> Column:
     """Monday of the week containing d, as DATE."""
-    return F.date_trunc("week", col_of(d)).cast("date")
+    return F.trunc(col_of(d), "week")
 
 
 def month_start(d: str | Column) -> Column:

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from settlekit.functions.columns import truncate_ntz
+
 # Time grains (ISO-8601 duration codes) -> date_trunc unit.
 TIME_GRAINS = {"PT1H": "hour", "P1D": "day", "P1W": "week", "P1M": "month", "P3M": "quarter", "P1Y": "year"}
 
@@ -50,7 +52,7 @@ def chart_query(df: DataFrame, metrics: Mapping[str, Column], x_axis: str | None
         return out.limit(1) if row_limit else out
     x = F.col(x_axis)
     if time_grain:
-        x = F.date_trunc(TIME_GRAINS[time_grain], x)
+        x = truncate_ntz(x, TIME_GRAINS[time_grain])
     out = df.groupBy(x.alias(x_axis), *groupby).agg(*[m.alias(n) for n, m in metrics.items()])
     if time_grain:
         first = F.col(x_axis).desc_nulls_last() if order_desc else F.col(x_axis).asc_nulls_first()

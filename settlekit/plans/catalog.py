@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from settlekit.contracts import (BANK_COLUMNS, BANK_STATES, FEE_SCHEDULE_ROWS, FEE_SCHEMA,
                                  PARTNER_COLUMNS, PARTNER_SCHEMA)
+from settlekit.functions.columns import iso_text
 from settlekit.fixtures import VERSION_COLUMNS, Feed
 from settlekit.operators import audit as A
 from settlekit.operators import canonical as C
@@ -498,7 +499,7 @@ def as_transport_text(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.TimestampNTZType):
-            c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            c = iso_text(c)
         out.append(F.coalesce(c.cast("string"), F.lit("")).alias(f.name))
     return df.select(*out)
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from settlekit.contracts import TABLE_COLUMNS, TOPIC_TABLES, text_schema
+from settlekit.functions.columns import iso_text
 from settlekit.fixtures import Feed
 from settlekit.operators import quality as Q
 from settlekit.operators.canonical import canonicalize, enforce_contract, guard_identifiers
@@ -54,7 +55,7 @@ def _text(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.TimestampNTZType):
-            c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            c = iso_text(c)
         out.append(c.cast("string").alias(f.name))
     return df.select(*out)
 

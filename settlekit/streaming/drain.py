@@ -115,7 +115,10 @@ def read_topics(spark: SparkSession, bootstrap_servers: str, topics: list[str],
     for k, v in (options or {}).items():
         r = r.option(k, v)
     df = r.load().select(
-        "topic", "partition", "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        "topic", "partition", "offset",
+        # instant -> UTC wall time, independent of the session time zone
+        F.timestamp_add("MICROSECOND", F.unix_micros("timestamp"),
+                        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("timestamp"),
         "timestampType", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
     return time_range(df, None, end_time) if end_time is not None else df
 
