@@ -44,3 +44,12 @@ def test_query_matches_duckdb(spark, con, name):
 def test_entry_runs_on_smoke_data(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "partner_id" and df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["kpi_volume_by_day", "kpi_weekly_gross_net", "canonicalize_rows", "dim_date"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_duckdb(spark, con, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
