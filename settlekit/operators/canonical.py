@@ -29,8 +29,9 @@ def canonicalize(df: DataFrame, table: str) -> DataFrame:
     """Transport text -> contract types, in one projection.
 
     '' and NULL -> NULL; timestamp fields parse ISO-8601 to TIMESTAMP_NTZ;
-    amount_cents -> BIGINT; other fields unchanged. Casts are ANSI: a value
-    that does not parse raises instead of turning into NULL. Contract columns
+    amount_cents -> BIGINT; other fields unchanged. A value that does not
+    parse fails the batch with an error naming the field (in any ANSI mode),
+    instead of turning into NULL. Contract columns
     the source does not send are NULL (missing columns are tolerated); columns
     outside the contract are kept for the contract check to judge.
     """
@@ -44,15 +45,22 @@ def canonicalize(df: DataFrame, table: str) -> DataFrame:
         c = F.col(f.name)
         if isinstance(df.schema[f.name].dataType, T.StringType):
             c = blank_to_null(c)
-        if f.name in TIMESTAMP_FIELDS:
-            c = c.cast("timestamp_ntz")
-        elif f.name == "amount_cents":
-            c = c.cast("bigint")
+        if f.name in TIMESTAMP_FIELDS or f.name == "amount_cents":
+            c = _strict_cast(c, f.name, "timestamp_ntz" if f.name in TIMESTAMP_FIELDS else "bigint")
         out.append(c.alias(f.name))
     extra = [F.col(c) for c in df.columns if c not in {f.name for f in schema.fields}]
     return df.select(*out, *extra)
 
 
+def _strict_cast(c, name: str, to: str):
+    """Cast that fails the batch on a value that does not parse, naming the
+    field, whatever the session's ANSI setting."""
+    parsed = c.try_cast(to)
+    bad = F.raise_error(F.concat(F.lit(f"field '{name}' has a value that is not a valid {to}: "),
+                                 c.cast("string")))
+    return F.when(c.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 

@@ -72,10 +72,15 @@ def test_schema_contract_freezes_columns_and_types_but_tolerates_missing(spark):
     assert kinds == {"new_column", "type_changed", "missing_ok"}
 
 
-def test_bad_timestamp_text_raises_instead_of_becoming_null(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_timestamp_text_raises_instead_of_becoming_null(spark, ansi):
     df = spark.createDataFrame([("t", "not-a-time")], "transaction_id string, updated_at string")
-    with pytest.raises(Exception):
-        canonicalize(df, "partner_transactions").collect()
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="updated_at"):
+            canonicalize(df, "partner_transactions").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_dedup_off_is_caught_by_unique_and_dedup_on_passes(spark):
