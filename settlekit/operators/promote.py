@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from settlekit.contracts import TABLE_COLUMNS
+from settlekit.operators.joins import bounded_broadcast
 
 KEY = "transaction_id"
 VERSION = "updated_at"
@@ -57,7 +58,9 @@ def merge_lookback(silver: DataFrame, increment: DataFrame, key: str = KEY,
     keep their latest version among old and new rows. Equal to a full rebuild
     whenever every change of a key lies inside the increment window.
     """
-    touched = increment.select(key).distinct()
+    # The increment's keys are usually far fewer than silver's rows: broadcast
+    # them when measured small, so silver is filtered map-side, unshuffled.
+    touched = bounded_broadcast(increment.select(key).distinct())
     untouched = silver.join(touched, key, "left_anti")
     contested = silver.join(touched, key, "left_semi").unionByName(increment.select(*silver.columns))
     return untouched.unionByName(latest_per_key(contested, key, version))
