@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from settlekit.contracts import TABLE_SCHEMAS
 from settlekit.operators.canonical import SchemaDriftError, schema_drift
-from settlekit.sources.fs import first_line, list_files
+from settlekit.sources.fs import first_line, first_lines, list_files
 
 CSV_OPTIONS = {"encoding": "UTF-8", "mode": "FAILFAST", "enforceSchema": "false",
                "nullValue": "", "emptyValue": ""}
@@ -39,23 +39,27 @@ def drop_entries(spark: SparkSession, folder: str, table: str) -> dict[str, list
     return dict(out)
 
 
-def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    line = first_line(spark, path)
+def parse_header(line: str) -> tuple[str, ...]:
     return tuple(next(csv.reader(io.StringIO(line)))) if line.strip() else ()
 
 
+def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    return parse_header(first_line(spark, path))
+
+
 def read_csv_drops(spark: SparkSession, folder: str, table: str, check_contract: bool = True) -> DataFrame:
     """All drops of ``table`` as all-string columns named from each drop's header."""
     entries = drop_entries(spark, folder, table)
     if not entries:
         raise FileNotFoundError(f"no {table}_* drops in {folder}")
+    # Headers of all files at once (one job for remote stores); a drop's header
+    # is its first non-empty part file's first line.
+    heads = first_lines(spark, [f for files in entries.values() for f in files])
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for files in entries.values():
-        for f in files:
-            header = read_header(spark, f)
-            if header:
-                groups[header].extend(files)
-                break
+        header = next((h for h in (parse_header(heads[f]) for f in files) if h), ())
+        if header:
+            groups[header].extend(files)
     frozen = TABLE_SCHEMAS[table]
     out = None
     for header, paths in groups.items():

@@ -12,6 +12,7 @@ import os
 from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def local_path(path: str) -> str | None:
@@ -30,6 +31,32 @@ def list_files(spark: SparkSession, root: str, name_glob: str = "*") -> list[str
     return sorted(r["path"] for r in df.collect())
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """First line of every file. Local files are opened directly; remote ones
+    are read in ONE Spark job: within the split that starts at offset 0, the
+    row read first (lowest position) is the file's first line."""
+    out = {p: first_line(spark, p) for p in paths if local_path(p) is not None}
+    remote = [p for p in paths if local_path(p) is None]
+    if remote:
+        lines = (spark.read.text(remote)
+                 .select(F.col("_metadata.file_path").alias("path"), "value",
+                         F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("pos"))
+                 .filter(F.col("block") == 0)
+                 .groupBy("path").agg(F.min_by("value", "pos").alias("line")))
+        found = {_key(r["path"]): r["line"] for r in lines.collect()}   # one row per file
+        for p in remote:
+            out[p] = found.get(_key(p), "")
+    return out
+
+
+def _key(path: str) -> tuple[str, str, str]:
+    """(scheme, authority, path): equal for spellings of one file (file:/x, file:///x)."""
+    u = urlparse(path)
+    scheme = u.scheme or "file"
+    return scheme, ("" if scheme == "file" else u.netloc), u.path
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     local = local_path(path)
     if local is not None:

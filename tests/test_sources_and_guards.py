@@ -121,3 +121,13 @@ def test_guard_counts_every_string_column_in_one_pass(spark):
     with pytest.raises(IdentifierGuardError, match="'a'"):
         guard_identifiers(df)
     assert guard_identifiers(df.select("b")) is not None
+
+
+def test_remote_headers_are_read_in_one_spark_job(spark, tmp_dir, monkeypatch):
+    from settlekit.sources import fs
+    paths = []
+    for i in range(3):
+        _write(os.path.join(tmp_dir, f"f{i}.csv"), [f"h{i}a,h{i}b", "1,2", "3,4"])
+        paths.append("file://" + os.path.join(tmp_dir, f"f{i}.csv"))
+    monkeypatch.setattr(fs, "local_path", lambda p: None)     # take the object-store path
+    assert fs.first_lines(spark, paths) == {p: f"h{i}a,h{i}b" for i, p in enumerate(paths)}
