@@ -707,8 +707,8 @@ def late_update_wins(spark, sf):
         if run == 2:
             versions.filter(F.col("state") == "initiated").write.parquet(f"{root}/arrivals/run=2")
         stream = spark.readStream.schema(versions_schema).parquet(f"{root}/arrivals/run=*")
-        DR.drain(stream, UP.upsert_sink(table), ckpt)
-    return UP.read_latest(spark, table).select(*VERSION_COLUMNS)
+        DR.drain(stream, UP.versions_sink(table), ckpt)     # each batch appends: O(batch)
+    return UP.read_current(spark, table).select(*VERSION_COLUMNS)
 
 
 MERGE_CUTOFF, LOOKBACK_DAYS = "1998-01-01 00:00:00", 7

@@ -83,3 +83,16 @@ def test_every_topic_lands_in_its_own_table_with_overrides(spark, tmp_dir):
     assert set(tables) == {"error_log", "events_click", "events_view", "events_purchase", "events_signup"}
     assert sum(tables.values()) == _events(spark).count()
     assert DR.read_routed(spark, root, "error_log").filter(F.col("topic") != "events.error").count() == 0
+
+
+def test_append_versions_compaction_keeps_latest_and_prunes_folded_batches(spark, tmp_dir):
+    v = Feed(spark, SF_SMALL).versions()
+    table = f"{tmp_dir}/t"
+    v.filter(F.col("state") != "initiated").write.parquet(f"{tmp_dir}/in/run=1")
+    DR.drain(spark.readStream.schema(v.schema).parquet(f"{tmp_dir}/in/run=*"), UP.versions_sink(table), f"{tmp_dir}/ck")
+    assert UP.compact(spark, table) >= 0
+    v.filter(F.col("state") == "initiated").write.parquet(f"{tmp_dir}/in/run=2")
+    DR.drain(spark.readStream.schema(v.schema).parquet(f"{tmp_dir}/in/run=*"), UP.versions_sink(table), f"{tmp_dir}/ck")
+    cur = UP.read_current(spark, table)
+    assert cur.count() == v.select("transaction_id").distinct().count()
+    assert cur.filter(F.col("state") == "initiated").count() == 0
