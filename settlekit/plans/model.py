@@ -83,7 +83,10 @@ class Model:
         if not self._materialized:
             return df
         path = scratch_folder(self.spark, f"tables/{name}")
-        return write_bucketed(df, path, f"{name}_{uuid.uuid4().hex[:10]}")
+        try:
+            return write_bucketed(df, path, f"{name}_{uuid.uuid4().hex[:10]}")
+        except Exception:  # noqa: BLE001 - a catalog that refuses tables: plain Parquet, join shuffles
+            return materialize(df, name)
 
     @cached_property
     def partner_silver(self) -> DataFrame:
