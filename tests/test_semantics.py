@@ -116,3 +116,18 @@ def test_latest_per_key_is_deterministic_on_ties(spark):
     df = spark.createDataFrame([("t", "a", TS(2024, 1, 1)), ("t", "b", TS(2024, 1, 1))],
                                "transaction_id string, state string, updated_at timestamp_ntz")
     assert [r["state"] for r in latest_per_key(df).collect()] == ["b"]
+
+
+def test_zone_free_truncation_and_iso_text(spark):
+    from settlekit.functions.columns import iso_text, truncate_ntz
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(TS(1996, 4, 7, 2, 30, 15, 120000),)], "t timestamp_ntz")  # inside a DST gap
+        r = df.select(*[truncate_ntz("t", u).alias(u) for u in ("hour", "day", "week", "month", "quarter", "year")],
+                      iso_text("t").alias("iso")).first()
+        assert r["hour"] == TS(1996, 4, 7, 2) and r["day"] == TS(1996, 4, 7)
+        assert r["week"] == TS(1996, 4, 1) and r["month"] == TS(1996, 4, 1)
+        assert r["quarter"] == TS(1996, 4, 1) and r["year"] == TS(1996, 1, 1)
+        assert r["iso"] == "1996-04-07T02:30:15.12"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
