@@ -96,3 +96,13 @@ def test_append_versions_compaction_keeps_latest_and_prunes_folded_batches(spark
     cur = UP.read_current(spark, table)
     assert cur.count() == v.select("transaction_id").distinct().count()
     assert cur.filter(F.col("state") == "initiated").count() == 0
+
+
+def test_malformed_message_body_fails_the_drain(spark, tmp_dir):
+    bad = spark.createDataFrame([("events.click", 0, 1, None, 0, "7", "{not json")],
+                                "topic string, partition int, offset long, timestamp timestamp_ntz, "
+                                "timestampType int, key string, value string")
+    MSG.write_segment(bad, f"{tmp_dir}/log")
+    with pytest.raises(Exception, match="(?i)malformed|parse|json"):
+        DR.drain(DR.read_log(spark, f"{tmp_dir}/log"), DR.append_sink(f"{tmp_dir}/out", MSG.decoded_events),
+                 f"{tmp_dir}/ck")
