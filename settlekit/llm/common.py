@@ -21,3 +21,22 @@ def salt(key: str | Column, pieces: int = SALTS) -> Column:
 def crc_bucket(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``: the fixed folds of the labelled rows."""
     return F.coalesce(F.crc32(F.encode(F.col(key).cast("string"), "UTF-8")) % modulus, F.lit(0))
+
+
+def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int) -> tuple[list, dict]:
+    """About ``per_class`` rows of each class of ``by`` (all, if fewer), collected; and the size of each class.
+
+    Rows are taken by a hash of the whole key at a rate set by the class's own
+    count, so the sample is uniform and the same for the same rows; a key that
+    repeats without bound cannot make it larger than four times its due.
+    """
+    counts = {r[by]: r["n"] for r in rows.groupBy(by).agg(F.count("*").alias("n")).collect()}  # one row a class
+    if not counts:
+        return [], {}
+    draw = F.pmod(F.xxhash64(F.lit(29), F.col(key)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rate = F.lit(0.0)
+    for value, n in counts.items():
+        rate = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(min(1.0, per_class / n))).otherwise(rate)
+    taken = rows.withColumn("__draw", draw).filter(F.col("__draw") < rate)
+    found = taken.limit(4 * per_class * len(counts) + 1000).collect()
+    return sorted(found, key=lambda r: (str(r[by]), r["__draw"])), counts

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest_index
-from .common import table
+from . import bpe, credentials, digest_index, langid
+from .common import crc_bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,13 +17,25 @@ def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.exact_dedup(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op7_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(langid.training_rows(docs)))
+    return found.select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 def op8_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op9_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_digest_index": op4_digest_index,
+    "op7_compression_langid": op7_compression_langid,
     "op8_pair_index_bpe": op8_pair_index_bpe,
+    "op9_credential_linking": op9_credential_linking,
 }
 
 ORACLE: dict[str, str] = {
@@ -32,4 +44,5 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op9_credential_linking": credentials.oracle(),
 }
