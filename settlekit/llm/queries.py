@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, credentials, digest_index, langid
+from . import bpe, credentials, digest_index, langid, warc
 from .common import crc_bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_warc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.exact_dedup(table(spark, sf_dir, "documents")).drop("copies")
 
@@ -32,6 +36,7 @@ def op9_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_warc_splits": op3_warc_splits,
     "op4_digest_index": op4_digest_index,
     "op7_compression_langid": op7_compression_langid,
     "op8_pair_index_bpe": op8_pair_index_bpe,
