@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, credentials, digest_index, knn, langid, warc
+from . import bpe, credentials, digest_index, knn, langid, quality, warc
 from .common import crc_bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_warc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -42,6 +48,7 @@ def op10_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nbsvm_quality": op1_nbsvm_quality,
     "op3_warc_splits": op3_warc_splits,
     "op4_digest_index": op4_digest_index,
     "op7_compression_langid": op7_compression_langid,
