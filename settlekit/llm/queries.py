@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, credentials, digest_index, knn, langid, quality, warc
+from . import bpe, credentials, digest_index, extract, knn, langid, quality, warc
 from .common import crc_bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,10 @@ def op1_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op2_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_warc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -49,6 +53,7 @@ def op10_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nbsvm_quality": op1_nbsvm_quality,
+    "op2_wrapper_extraction": op2_wrapper_extraction,
     "op3_warc_splits": op3_warc_splits,
     "op4_digest_index": op4_digest_index,
     "op7_compression_langid": op7_compression_langid,
