@@ -40,3 +40,25 @@ def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int) -> tuple[
     taken = rows.withColumn("__draw", draw).filter(F.col("__draw") < rate)
     found = taken.limit(4 * per_class * len(counts) + 1000).collect()
     return sorted(found, key=lambda r: (str(r[by]), r["__draw"])), counts
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read back.
+
+    Cuts lineage like a checkpoint; the copy has no partitioning of its own, so a
+    join with it exchanges both sides and Spark can split a hot key of the other side.
+    """
+    from ..session import scratch_folder
+
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_group_min(rows: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """``rows`` with the smallest ``value`` of their ``key``; a key that many rows share is dealt into pieces."""
+    keyed = rows.withColumn("__piece", salt(value))
+    parts = keyed.groupBy(key, "__piece").agg(F.min(value).alias("__least"))
+    least = parts.groupBy(key).agg(F.min("__least").alias(out))
+    back = parts.select(key, "__piece").join(least, key).select(F.col(key).alias("__key"), F.col("__piece").alias("__of"), out)
+    return keyed.join(back, (keyed[key] == back["__key"]) & (keyed["__piece"] == back["__of"])).drop("__piece", "__key", "__of")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, credentials, digest_index, extract, knn, langid, quality, warc
+from . import bpe, credentials, digest_index, extract, knn, langid, minmax, quality, warc
 from .common import crc_bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +32,14 @@ def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.exact_dedup(table(spark, sf_dir, "documents")).drop("copies")
 
 
+#: The contract's shingles and similarity.
+OP6 = minmax.MinMax(words=3, percent=85, rows=6, bands=32)
+
+
+def op6_min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), OP6).drop("copies")
+
+
 def op7_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.train(langid.training_rows(docs)))
@@ -56,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_wrapper_extraction": op2_wrapper_extraction,
     "op3_warc_splits": op3_warc_splits,
     "op4_digest_index": op4_digest_index,
+    "op6_min_max_hashing": op6_min_max_hashing,
     "op7_compression_langid": op7_compression_langid,
     "op8_pair_index_bpe": op8_pair_index_bpe,
     "op9_credential_linking": op9_credential_linking,
@@ -82,6 +91,7 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_min_max_hashing": minmax.oracle(OP6),
     "op9_credential_linking": credentials.oracle(),
     "op10_voronoi_top_k": """
         WITH v AS (
