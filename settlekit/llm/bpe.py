@@ -252,25 +252,27 @@ def decode(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id", ids_col:
     return encoded.select(id_col, ids_col).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, vocab_path: str) -> DataFrame:
+def round_trip(docs: DataFrame, vocab_path: str, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text, encoded and decoded in one pass.
 
-    Rows as in ``encode``.
+    ``with_ids`` adds token_ids. Rows as in ``encode``.
     """
-    vocabulary = Vocabulary.load(vocab_path)  # over 1 MB with the function, so Spark broadcasts it
+    vocabulary = Vocabulary.load(vocab_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = PairIndexEncoder(vocabulary)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in _chunks(texts):
-                n, sha, back = [], [], []
-                for ids in coder.encode(texts[a:b]):
-                    n.append(len(ids) // 4)
-                    sha.append(hashlib.sha256(ids).hexdigest())
-                    back.append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())],
-                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                encoded = coder.encode(texts[a:b])
+                columns = [batch.column(0).slice(a, b - a), pa.array([len(x) // 4 for x in encoded], pa.int64()),
+                           pa.array([hashlib.sha256(x).hexdigest() for x in encoded], pa.string()),
+                           pa.array([hashlib.sha256(coder.decode(x).encode()).hexdigest() for x in encoded], pa.string())]
+                if with_ids:
+                    columns.append(pa.array([np.frombuffer(x, "<i4") for x in encoded], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    kinds = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids
+    names = [k.split(" ")[0] for k in kinds.split(", ")]
+    return docs.select("doc_id", "text").mapInArrow(run, kinds)

@@ -40,18 +40,23 @@ THRESHOLD = 0.3
 MARKS = re.compile(r"[^\w\s]+\Z")
 
 
+def shape_of(word: str) -> int:
+    """Number below 128 for a word's case, the marks at its end and its length."""
+    core = word if word[-1].isalnum() else MARKS.sub("", word)
+    case = 2 if core.islower() else 0 if not core else 1 if core.isdigit() else 3 if core.isupper() and len(core) > 1 else 4 if core.istitle() else 5
+    marks = len(word) - len(core)
+    tail = 0 if not marks else 1 if word[-1] in ".,;:?" and marks == 1 else 2 + min(marks - 1, 2)
+    size = 0 if len(core) < 4 else 1 if len(core) < 13 else 2 if len(core) < 30 else 3
+    return 1 + case + 6 * tail + 30 * size
+
+
 class _Shapes(dict):
-    """Shape number of a word; a word is looked at once per task and piece of memory."""
+    """Shape of a word; a word is looked at once per task and piece of memory."""
 
     def __missing__(self, word: str) -> int:
         if len(self) > 300_000:
             self.clear()
-        core = MARKS.sub("", word)
-        case = 0 if not core else 1 if core.isdigit() else 2 if core.islower() else 3 if core.isupper() and len(core) > 1 else 4 if core.istitle() else 5
-        marks = len(word) - len(core)
-        tail = 0 if not marks else 1 if word[-1] in ".,;:?" and marks == 1 else 2 + min(marks - 1, 2)
-        size = 0 if len(core) < 4 else 1 if len(core) < 13 else 2 if len(core) < 30 else 3
-        shape = self[word] = 1 + case + 6 * tail + 30 * size
+        shape = self[word] = shape_of(word)
         return shape
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, credentials, digest_index, extract, knn, langid, minmax, quality, warc
+from . import bpe, credentials, digest_index, extract, knn, langid, minmax, mixing, quality, warc
 from .common import crc_bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +32,10 @@ def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.exact_dedup(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing.label_domains(table(spark, sf_dir, "labels")))
+
+
 #: The contract's shingles and similarity.
 OP6 = minmax.MinMax(words=3, percent=85, rows=6, bands=32)
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_wrapper_extraction": op2_wrapper_extraction,
     "op3_warc_splits": op3_warc_splits,
     "op4_digest_index": op4_digest_index,
+    "op5_soft_mixing": op5_soft_mixing,
     "op6_min_max_hashing": op6_min_max_hashing,
     "op7_compression_langid": op7_compression_langid,
     "op8_pair_index_bpe": op8_pair_index_bpe,
