@@ -4,7 +4,7 @@ A classifier learned from a labelled table gives every document a posterior over
 the domains. Document rates r >= 0 are then fitted so that the expected tokens of
 each domain, sum of tokens * p(domain) * r, meet their targets in the least-squares
 sense: projected gradient steps from r = 1, scaled by the Gram matrix of the
-documents whose rate is not at 0. A step is one vector with a number per domain;
+documents whose rate is not at a bound as long as that gains, plain ones after. A step is one vector with a number per domain;
 each iteration is one aggregation over the posteriors, and only domain totals reach
 the driver. Rates become copies by a draw that depends on the id alone.
 """
@@ -196,20 +196,29 @@ def fit_rates(members: DataFrame, shares: list[float], total: float | None = Non
         return steps
     if total is None:
         total = float(min(have[i] / want[i] for i in range(k) if want[i] > 0))
-    target, scale = want * total, 1.0
-    error = have - target
+    target, error = want * total, have - want * total
+    # A plain step of this length always descends: the totals move by at most the largest eigenvalue of the whole Gram matrix.
+    length = 1.0 / float(np.linalg.eigvalsh(gram)[-1])
+    newton, factor = True, 1.0
     for _ in range(ITERATIONS):
-        if np.abs(error).max() <= TOLERANCE * max(total, 1.0) or not gram.any():
+        if np.abs(error).max() <= TOLERANCE * max(total, 1.0):
             break
-        step = -scale * np.linalg.lstsq(gram + 1e-9 * np.trace(gram) * np.eye(k), error, rcond=None)[0]
-        tried = [*steps, step.tolist()]
-        now, new_gram = totals(tried)
-        if np.linalg.norm(now - target) < np.linalg.norm(error) * (1 - 1e-3):
-            steps, error, gram, scale = tried, now - target, new_gram, min(1.0, 2 * scale)
-        elif scale < 1e-2:
+        scaled = newton and gram.any()
+        step = -np.linalg.lstsq(gram + 1e-9 * np.trace(gram) * np.eye(k), error, rcond=None)[0] if scaled else -factor * length * error
+        now, new_gram = totals([*steps, step.tolist()])
+        gain = 1.0 - np.linalg.norm(now - target) / np.linalg.norm(error)
+        if gain > (0.1 if scaled else 0.0):
+            steps, error, gram = [*steps, step.tolist()], now - target, new_gram
+        if scaled:
+            newton = gain > 0.1
+        elif gain > 0:
+            if gain < 1e-5 and factor <= 1:
+                break
+            factor *= 2
+        elif factor <= 1:
             break
         else:
-            scale /= 2
+            factor = max(1.0, factor / 4)
     return steps
 
 
