@@ -20,6 +20,12 @@ def local_path(path: str) -> str | None:
     return u.path if u.scheme in ("", "file") else None
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the store it names (without a scheme: the session's default one)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+
 def list_files(spark: SparkSession, root: str, name_glob: str = "*") -> list[str]:
     """All data files below ``root`` (recursively) whose file name matches ``name_glob``."""
     local = local_path(root)

@@ -10,20 +10,30 @@ Spark's Kafka source (topic, partition, offset, timestamp, timestampType, key,
 value); locally the log is a folder of Parquet files read with the file
 source, on a cluster it would be ``readStream.format("kafka")``.
 
-Wiping or recreating a topic must also drop the drain's checkpoint folder:
-stored offsets past the new end would otherwise skip (or, with
-``failOnDataLoss``, fail on) the new messages.
+Sinks write below a key made of the checkpoint's own identity and the batch id:
+a retried batch replaces its own output, a new checkpoint (whose batch ids start
+at 0 again) never touches what an earlier one landed.
+
+A drain with an end bound lands what lies before it and keeps the later messages
+it has read in ``<checkpoint>-held``; the next drain on that checkpoint takes them
+first. So no message is lost between a bounded drain and the next one.
+
+Wiping or recreating a topic must also drop the drain's checkpoint folders:
+stored offsets past the new end would otherwise fail the drain.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from settlekit.sources.fs import path_exists
+
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType(), False),
     T.StructField("partition", T.IntegerType(), False),
@@ -34,8 +44,7 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("value", T.StringType(), True),
 ])
 
-# Messages per micro-batch of a drain (bounded memory per batch).
-DEFAULT_BATCH_SIZE = 3000
+Sink = Callable[[DataFrame, str], None]
 
 
 # --- message-level operators (work on batch and streaming DataFrames) ----------------
@@ -70,9 +79,9 @@ def check_time_range(start_from=None, end_time=None) -> None:
     """``end_time`` needs ``start_from``; ``start_from`` must not be after ``end_time``."""
     if end_time is not None:
         if start_from is None:
-            raise ValueError("`start_from` must be provided if `end_time` is provided")
+            raise ValueError(f"the range up to {end_time} has no beginning: start_from is missing")
         if dt.datetime.fromisoformat(str(start_from)) > dt.datetime.fromisoformat(str(end_time)):
-            raise ValueError("`start_from` must be before `end_time`")
+            raise ValueError(f"the range ends ({end_time}) before it begins ({start_from})")
 
 
 def time_range(messages: DataFrame, start_from=None, end_time=None, ts_col: str = "timestamp") -> DataFrame:
@@ -98,67 +107,93 @@ def read_log(spark: SparkSession, folder: str, files_per_batch: int | None = Non
 
 
 def read_topics(spark: SparkSession, bootstrap_servers: str, topics: list[str],
-                batch_size: int = DEFAULT_BATCH_SIZE, start_from=None, end_time=None,
+                batch_size: int | None = None, start_from=None, skip_lost: bool = False,
                 options: Mapping[str, str] | None = None) -> DataFrame:
     """Streaming read of queue topics (needs the Spark Kafka connector on the
-    classpath): at most ``batch_size`` messages per micro-batch, optionally
-    bounded by message time, columns as in MESSAGE_SCHEMA. Retriable consumer
-    errors are retried by the source; lost offsets are reported and skipped
-    (``failOnDataLoss=false``); any other failure fails the drain."""
-    check_time_range(start_from, end_time)
+    classpath), columns as in MESSAGE_SCHEMA. ``batch_size`` bounds the messages
+    per micro-batch (unset: what is there). Offsets that the queue no longer holds
+    fail the drain unless ``skip_lost``. An end bound belongs to ``drain``, which
+    keeps what it holds back."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
-         .option("subscribe", ",".join(topics)).option("maxOffsetsPerTrigger", batch_size)
-         .option("startingOffsets", "earliest").option("failOnDataLoss", "false"))
+         .option("subscribe", ",".join(topics)).option("startingOffsets", "earliest")
+         .option("failOnDataLoss", str(not skip_lost).lower()))
+    if batch_size is not None:
+        r = r.option("maxOffsetsPerTrigger", batch_size)
     if start_from is not None:
         ms = int(dt.datetime.fromisoformat(str(start_from)).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
         r = r.option("startingTimestamp", str(ms))
     for k, v in (options or {}).items():
         r = r.option(k, v)
-    df = r.load().select(
+    return from_queue(r.load())
+
+
+def from_queue(messages: DataFrame) -> DataFrame:
+    """Rows of the queue connector as MESSAGE_SCHEMA: instants as UTC wall time, key and value as text."""
+    return messages.select(
         "topic", "partition", "offset",
-        # instant -> UTC wall time, independent of the session time zone
         F.timestamp_add("MICROSECOND", F.unix_micros("timestamp"),
                         F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("timestamp"),
         "timestampType", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
-    return time_range(df, None, end_time) if end_time is not None else df
 
 
-def drain(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
-          name: str | None = None) -> int:
+def drain(stream: DataFrame, sink: Sink, checkpoint: str, name: str | None = None,
+          start_from=None, end_time=None) -> int:
     """Run one bounded drain: process everything available now, then stop.
 
-    ``sink(batch_df, batch_id)`` is called per micro-batch (``foreachBatch``);
-    it must be idempotent per batch id (a retried batch is re-delivered).
-    Returns the number of input rows processed by this drain.
+    ``sink(batch_df, batch_key)`` is called per micro-batch (``foreachBatch``);
+    it must be idempotent per key (a retried batch is re-delivered).
+    Messages before ``start_from`` are left out, those from ``end_time`` on are
+    held for the next drain. Returns the rows handed to the sink, counted from
+    the batches themselves.
     """
-    w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    check_time_range(start_from, end_time)
+    spark, checkpoint = stream.sparkSession, checkpoint.rstrip("/")
+    held = f"{checkpoint}-held"
+    landed = 0
+    if path_exists(spark, held):
+        kept = spark.readStream.schema(stream.schema).parquet(f"{held}/*")
+        landed += _drain(kept, sink, f"{checkpoint}-held-state", held, None, start_from, end_time)
+    return landed + _drain(stream, sink, checkpoint, held, name, start_from, end_time)
+
+
+def _drain(stream: DataFrame, sink: Sink, checkpoint: str, held: str, name: str | None, start_from, end_time) -> int:
+    landed: dict[str, int] = {}
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        key = f"{checkpoint_identity(batch.sparkSession, checkpoint)}-{batch_id:08d}"
+        inside = batch if start_from is None and end_time is None else time_range(batch, start_from, end_time)
+        if end_time is not None:
+            batch.filter(F.col("timestamp") >= _ts(end_time)).write.mode("overwrite").parquet(f"{held}/{key}")
+        sink(inside, key)
+        landed[key] = inside.count()
+
+    w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+    return sum(landed.values())
+
+
+def checkpoint_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint folder got when its query first started; a new folder has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
 
 
 def append_sink(path: str, mapper: Callable[[DataFrame], DataFrame] | None = None,
-                tag: Mapping[str, object] | None = None) -> Callable[[DataFrame, int], None]:
+                tag: Mapping[str, object] | None = None) -> Sink:
     """foreachBatch sink: map the batch (e.g. decode + canonicalise) and append it
-    as Parquet. Appends are keyed by batch id in the file names' folder so a
-    retried batch replaces its own output instead of duplicating it."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    as Parquet in a folder of the batch's key, which a retried batch replaces."""
+    def sink(batch: DataFrame, key: str) -> None:
         out = mapper(batch) if mapper else batch
         for k, v in (tag or {}).items():
             out = out.withColumn(k, F.lit(v))
-        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={_batch_tag(tag, batch_id)}")
+        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={key}")
     return sink
 
 
-def _batch_tag(tag, batch_id: int) -> str:
-    run = (tag or {}).get("drain_run", 0)
-    return f"{run:04d}-{batch_id:08d}"
-
-
 def topic_table(topic: Column, overrides: Mapping[str, str]) -> Column:
     """Table name of a topic: the override if one is given, else the topic name
     with every character outside [A-Za-z0-9_] replaced by '_'."""
@@ -170,16 +205,16 @@ def topic_table(topic: Column, overrides: Mapping[str, str]) -> Column:
 
 
 def routing_sink(root: str, overrides: Mapping[str, str] | None = None,
-                 mapper: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+                 mapper: Callable[[DataFrame], DataFrame] | None = None) -> Sink:
     """foreachBatch sink landing every topic in its own table
-    (``<root>/table_name=<table>/batch=<id>/``), in ONE partitioned write per
+    (``<root>/table_name=<table>/batch=<key>/``), in ONE partitioned write per
     batch; dynamic partition overwrite makes a retried batch replace only its
     own folders."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    def sink(batch: DataFrame, key: str) -> None:
         table = topic_table(F.col("topic"), overrides or {})
         routed = batch.withColumn("table_name", table)
         out = mapper(routed) if mapper else routed
-        (out.withColumn("batch", F.lit(batch_id))
+        (out.withColumn("batch", F.lit(key))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("table_name", "batch").parquet(root))
     return sink

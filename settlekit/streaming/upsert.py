@@ -1,120 +1,23 @@
-"""Upsert micro-batches into a keyed table: the latest version wins, whichever
-batch brings it (late and out-of-order milestone updates).
+"""Keyed tables fed by micro-batches: the latest version wins, whichever batch
+brings it (late and out-of-order milestone updates).
 
-Two forms. ``versions_sink`` + ``read_current`` (the scalable one): batches
-append their versions, readers resolve the newest per key. ``upsert_sink``:
-a materialised current table, rewritten per batch (O(table) per batch; for
-small tables or infrequent batches).
-
-The table is a sequence of immutable versions ``<root>/v=<n>``; each batch
-writes version n+1 = latest_per_key(version n UNION batch), untouched keys
-passing through a left-anti join without a sort. Readers take the highest
-committed version. A retried batch rewrites its own version folder.
+Batches append their versions (cost O(batch)); readers resolve the newest version
+per key with the promotion's window, whose partial limit runs before the shuffle.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-from settlekit.operators.promote import KEY, VERSION, latest_per_key, merge_lookback
-from settlekit.sources.fs import list_files
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions with data files (files of a Parquet write appear at job commit)."""
-    out = set()
-    try:
-        files = list_files(spark, root, "*.parquet")
-    except Exception:  # noqa: BLE001 - no table yet
-        return []
-    for f in files:
-        m = re.search(r"/v=(\d+)/", f)
-        if m:
-            out.add(int(m.group(1)))
-    return sorted(out)
-
-
-def read_latest(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    vs = committed_versions(spark, root)
-    if not vs:
-        return None
-    r = spark.read if schema is None else spark.read.schema(schema)
-    return r.parquet(f"{root.rstrip('/')}/v={vs[-1]}")
-
+from settlekit.operators.promote import KEY, VERSION, latest_per_key
+from settlekit.streaming.drain import Sink, append_sink
 
-def upsert_sink(root: str, key: str = KEY, version: str = VERSION,
-                mapper: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink keeping one row per key, the one with the greatest ``version``."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = mapper(batch) if mapper else batch
-        spark = rows.sparkSession
-        vs = [v for v in committed_versions(spark, root) if v <= batch_id]
-        if vs:
-            current = spark.read.schema(rows.schema).parquet(f"{root.rstrip('/')}/v={vs[-1]}")
-            merged = merge_lookback(current, rows, key, version)
-        else:
-            merged = latest_per_key(rows, key, version)
-        merged.write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={batch_id + 1}")
-    return sink
 
-
-# --- append-only versions, latest resolved at read time ------------------------------------
-#
-# Each micro-batch appends its rows (cost O(batch), not O(table)); readers take
-# the newest version per key with the promotion's window (partial
-# WindowGroupLimit before the shuffle). ``compact`` folds the versions into one
-# base periodically, like a merge of a replacing table.
-
-
-def versions_sink(root: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink appending the batch's versions under ``batch=<id>``
-    (a retried batch replaces its own folder)."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/versions/batch={batch_id:08d}")
-    return sink
-
-
-def _batches(spark: SparkSession, root: str) -> list[int]:
-    out = set()
-    for f in list_files(spark, f"{root.rstrip('/')}/versions", "*.parquet"):
-        m = re.search(r"/batch=(\d+)/", f)
-        if m:
-            out.add(int(m.group(1)))
-    return sorted(out)
+def versions_sink(root: str) -> Sink:
+    """foreachBatch sink appending the batch's versions below ``root``."""
+    return append_sink(f"{root.rstrip('/')}/versions")
 
 
 def read_current(spark: SparkSession, root: str, key: str = KEY, version: str = VERSION) -> DataFrame:
-    """Newest version per key over the compacted base (if any) and the batches
-    appended after it (older batch folders are pruned by the partition filter)."""
-    root = root.rstrip("/")
-    folded = committed_versions(spark, f"{root}/base")
-    versions = spark.read.parquet(f"{root}/versions")
-    if folded:
-        base = spark.read.parquet(f"{root}/base/v={folded[-1]}")
-        recent = versions.filter(versions["batch"] > folded[-1]).select(*base.columns)
-        rows = base.unionByName(recent)
-    else:
-        rows = versions.drop("batch")
-    return latest_per_key(rows, key, version)
-
-
-def compact(spark: SparkSession, root: str, key: str = KEY, version: str = VERSION) -> int:
-    """Fold the base and every appended batch into a new base tagged with the
-    last batch id folded; returns that id (-1 if there is nothing yet)."""
-    batches = _batches(spark, root)
-    if not batches:
-        return -1
-    last = batches[-1]
-    versions = spark.read.parquet(f"{root.rstrip('/')}/versions")
-    folded = committed_versions(spark, f"{root.rstrip('/')}/base")
-    if folded:   # fold exactly the batches up to ``last``, even if more arrive meanwhile
-        base = spark.read.parquet(f"{root.rstrip('/')}/base/v={folded[-1]}")
-        recent = versions.filter((versions["batch"] > folded[-1]) & (versions["batch"] <= last))
-        current = latest_per_key(base.unionByName(recent.select(*base.columns)), key, version)
-    else:
-        current = latest_per_key(versions.filter(versions["batch"] <= last).drop("batch"), key, version)
-    current.write.mode("overwrite").parquet(f"{root.rstrip('/')}/base/v={last}")
-    return last
+    """Newest version per key over everything that was appended; a missing table raises."""
+    return latest_per_key(spark.read.parquet(f"{root.rstrip('/')}/versions").drop("batch"), key, version)

@@ -66,13 +66,73 @@ def test_late_older_versions_do_not_override_newer(spark, tmp_dir):
     for run in (1, 2):
         if run == 2:
             v.filter(F.col("state") == "initiated").write.parquet(f"{tmp_dir}/in/run=2")
-        DR.drain(spark.readStream.schema(v.schema).parquet(f"{tmp_dir}/in/run=*"), UP.upsert_sink(table),
-                 f"{tmp_dir}/ckpt")
-    final = UP.read_latest(spark, table)
+        # every run with a checkpoint of its own: batch ids start at 0 again
+        DR.drain(spark.readStream.schema(v.schema).parquet(f"{tmp_dir}/in/run={run}"), UP.versions_sink(table),
+                 f"{tmp_dir}/ckpt-{run}")
+    final = UP.read_current(spark, table)
+    assert spark.read.parquet(f"{table}/versions").count() == v.count()
     assert final.count() == v.select("transaction_id").distinct().count()
     assert final.filter(F.col("state") == "initiated").count() == 0
 
 
+def test_a_table_that_cannot_be_read_raises(spark, tmp_dir):
+    with pytest.raises(Exception, match="(?i)path"):
+        UP.read_current(spark, f"{tmp_dir}/none")
+
+
+def _message(i, ts="2024-01-01 00:00:00"):
+    return ("t", 0, i, ts, 0, None, "{}")
+
+
+def _messages(spark, rows):
+    return spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp string, timestampType int, key string, value string").withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def test_counts_hold_beyond_the_retained_progress(spark, tmp_dir):
+    _messages(spark, [_message(i) for i in range(115)]).coalesce(1).write.option("maxRecordsPerFile", 1).parquet(f"{tmp_dir}/log")
+    import glob
+    files = len(glob.glob(f"{tmp_dir}/log/*.parquet"))
+    assert files == 115
+    seen = []
+    n = DR.drain(DR.read_log(spark, f"{tmp_dir}/log", files_per_batch=1), lambda b, key: seen.append(key), f"{tmp_dir}/ck")
+    assert n == 115 and len(set(seen)) == files          # a sink without an action, more batches than progress updates
+    two = lambda b, key: (b.count(), b.count())
+    assert DR.drain(DR.read_log(spark, f"{tmp_dir}/log"), two, f"{tmp_dir}/ck2") == 115
+
+
+def test_end_bound_holds_later_messages_for_the_next_drain(spark, tmp_dir):
+    log, out, ck = f"{tmp_dir}/log", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    _messages(spark, [_message(i, f"2024-01-{1 + i // 10:02d} 00:00:00") for i in range(50)]).write.parquet(log)
+    run = lambda **bounds: DR.drain(DR.read_log(spark, log), DR.append_sink(out), ck, **bounds)
+    assert run(start_from="2024-01-01", end_time="2024-01-02") == 10
+    assert run(start_from="2024-01-01", end_time="2024-01-04") == 20
+    _messages(spark, [_message(i, "2024-01-09 00:00:00") for i in range(50, 55)]).write.mode("append").parquet(log)
+    assert run() == 25 and run() == 0
+    got = [r["offset"] for r in DR.read_sink(spark, out).collect()]
+    assert sorted(got) == list(range(55))
+
+
+def test_a_new_checkpoint_does_not_overwrite_landed_batches(spark, tmp_dir):
+    log, out = f"{tmp_dir}/log", f"{tmp_dir}/out"
+    _messages(spark, [_message(1)]).write.parquet(log)
+    for ck in ("a", "b"):
+        DR.drain(DR.read_log(spark, log), DR.append_sink(out), f"{tmp_dir}/{ck}")
+        DR.drain(DR.read_log(spark, log), DR.routing_sink(f"{tmp_dir}/routed"), f"{tmp_dir}/{ck}-routed")
+    assert DR.read_sink(spark, out).count() == 2 and DR.read_routed(spark, f"{tmp_dir}/routed").count() == 2
+
+
+def test_queue_rows_become_utc_wall_time(spark):
+    row = spark.sql("SELECT 't' AS topic, 0 AS partition, 1L AS offset, timestamp_micros(1704067200000000) AS timestamp, 0 AS timestampType, "
+                    "CAST('k' AS BINARY) AS key, CAST('{}' AS BINARY) AS value")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = DR.from_queue(row).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert str(got["timestamp"]) == "2024-01-01 00:00:00" and (got["key"], got["value"]) == ("k", "{}")
+
+
 def test_every_topic_lands_in_its_own_table_with_overrides(spark, tmp_dir):
     log = f"{tmp_dir}/log"
     MSG.write_segment(MSG.event_messages(_events(spark)), log)
@@ -85,19 +145,6 @@ def test_every_topic_lands_in_its_own_table_with_overrides(spark, tmp_dir):
     assert DR.read_routed(spark, root, "error_log").filter(F.col("topic") != "events.error").count() == 0
 
 
-def test_append_versions_compaction_keeps_latest_and_prunes_folded_batches(spark, tmp_dir):
-    v = Feed(spark, SF_SMALL).versions()
-    table = f"{tmp_dir}/t"
-    v.filter(F.col("state") != "initiated").write.parquet(f"{tmp_dir}/in/run=1")
-    DR.drain(spark.readStream.schema(v.schema).parquet(f"{tmp_dir}/in/run=*"), UP.versions_sink(table), f"{tmp_dir}/ck")
-    assert UP.compact(spark, table) >= 0
-    v.filter(F.col("state") == "initiated").write.parquet(f"{tmp_dir}/in/run=2")
-    DR.drain(spark.readStream.schema(v.schema).parquet(f"{tmp_dir}/in/run=*"), UP.versions_sink(table), f"{tmp_dir}/ck")
-    cur = UP.read_current(spark, table)
-    assert cur.count() == v.select("transaction_id").distinct().count()
-    assert cur.filter(F.col("state") == "initiated").count() == 0
-
-
 def test_malformed_message_body_fails_the_drain(spark, tmp_dir):
     bad = spark.createDataFrame([("events.click", 0, 1, None, 0, "7", "{not json")],
                                 "topic string, partition int, offset long, timestamp timestamp_ntz, "
