@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 # Fixed values (must equal the reference's for identical results).
 # ---------------------------------------------------------------------------
 
-# Contract columns of each side, in order. This list IS the bronze->silver contract.
+# Business columns of each side in file order; promotion keeps exactly these.
 PARTNER_COLUMNS = (
     "transaction_id", "partner_id", "bank_id", "amount_cents", "currency",
     "state", "decline_reason", "initiated_at", "authorized_at",
@@ -40,9 +40,6 @@ DECLINE_REASONS = ("insufficient_funds", "fraud_suspected", "technical_error", "
 # or account number. RE2-compatible form (no look-around), equal as a predicate.
 DIGIT_RUN_PATTERN = r"(^|[^0-9])[0-9]{13,19}([^0-9]|$)"
 
-# Schema contract of every extraction channel.
-SCHEMA_CONTRACT = {"tables": "evolve", "columns": "freeze", "data_type": "freeze"}
-
 # Fee seed: partner_id, bank_id, fixed_fee_cents, percentage_bps (24 rows).
 FEE_SCHEDULE_ROWS = (
     ("partner_acme", "bank_chase", 30, 250),
@@ -71,23 +68,12 @@ FEE_SCHEDULE_ROWS = (
     ("partner_stark", "bank_goldman", 25, 220),
 )
 
-# Source channels (bronze datasets) and the entities each one carries.
-CHANNELS = ("partner_db", "bank_db", "sftp_drop", "kafka_drain")
-CHANNEL_ENTITIES = {
-    "partner_db": ("partner_acme", "partner_umbrella", "bank_chase", "bank_goldman"),
-    "sftp_drop": ("partner_globex", "partner_wonka", "bank_wells_fargo"),
-    "kafka_drain": ("partner_initech", "partner_stark", "bank_citibank"),
-}
 # Queue topics and the bronze table each one lands in.
 TOPIC_TABLES = {
     "partner-transactions": "partner_transactions",
     "bank-transactions": "bank_transactions",
 }
 
-# Freshness thresholds of the silver tables, in hours.
-FRESHNESS_WARN_HOURS = 4
-FRESHNESS_ERROR_HOURS = 8
-
 # ---------------------------------------------------------------------------
 # Spark schemas derived from the contracts.
 # ---------------------------------------------------------------------------

@@ -28,7 +28,8 @@ class SchemaDriftError(ValueError):
 def canonicalize(df: DataFrame, table: str) -> DataFrame:
     """Transport text -> contract types, in one projection.
 
-    '' and NULL -> NULL; timestamp fields parse ISO-8601 to TIMESTAMP_NTZ;
+    '' and NULL -> NULL; timestamp fields parse ISO-8601 to TIMESTAMP_NTZ, a UTC
+    offset in the text is converted to UTC wall time;
     amount_cents -> BIGINT; other fields unchanged. A value that does not
     parse fails the batch with an error naming the field (in any ANSI mode),
     instead of turning into NULL. Contract columns
@@ -52,10 +53,18 @@ def canonicalize(df: DataFrame, table: str) -> DataFrame:
     return df.select(*out, *extra)
 
 
+def _wall_time(c):
+    """Text with a UTC offset (or Z) -> TIMESTAMP_NTZ of the same instant in UTC; without
+    one, the wall time as it is. NULL where it does not parse, in any session zone."""
+    instant = F.timestamp_add("MICROSECOND", F.unix_micros(c.try_cast("timestamp")),
+                              F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.when(c.rlike(r"\d\d:\d\d.*([Zz]|[+-]\d\d(:?\d\d)?)$"), instant).otherwise(c.try_cast("timestamp_ntz"))
+
+
 def _strict_cast(c, name: str, to: str):
     """Cast that fails the batch on a value that does not parse, naming the
     field, whatever the session's ANSI setting."""
-    parsed = c.try_cast(to)
+    parsed = _wall_time(c.cast("string")) if to == "timestamp_ntz" else c.try_cast(to)
     bad = F.raise_error(F.concat(F.lit(f"field '{name}' has a value that is not a valid {to}: "),
                                  c.cast("string")))
     return F.when(c.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
@@ -89,8 +98,8 @@ def guard_identifiers(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     for i, c in enumerate(cols):
         if row[f"_m{i}"]:
             raise IdentifierGuardError(
-                f"field '{c}' contains a card-like digit run (13-19 digits) in {row[f'_m{i}']} row(s); "
-                "refusing to load this batch: sources must send masked or tokenized identifiers only")
+                f"column '{c}': {row[f'_m{i}']} row(s) hold an unmasked number of 13 to 19 digits; "
+                "nothing of this batch is loaded")
     return df
 
 
@@ -149,3 +158,27 @@ def enforce_contract(df: DataFrame, frozen: T.StructType, source: str = "source"
         desc = ", ".join(f"{d.kind}:{d.column_name}" for d in bad)
         raise SchemaDriftError(f"schema contract violated by {source} (columns and types are frozen): {desc}")
     return df
+
+
+def check_messages(messages: DataFrame, frozen: dict[str, T.StructType]) -> DataFrame:
+    """Contract and identifier guard over JSON message bodies, whatever fields they carry.
+
+    ``messages`` has ``topic`` and ``value``, ``frozen`` the contract of each topic. Every
+    key of every body is held against the topic's contract and every value is scanned,
+    before anything is projected away. One aggregation; raises or returns ``messages``.
+    """
+    body = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
+    known = F.lit(None).cast("array<string>")
+    for topic, schema in frozen.items():
+        known = F.when(F.col("topic") == topic, F.array(*map(F.lit, schema.names))).otherwise(known)
+    rows = messages.select("topic", body.alias("body"), known.alias("known"))
+    extra = F.when(F.col("known").isNotNull(), F.array_except(F.map_keys("body"), "known"))
+    digits = F.map_keys(F.map_filter("body", lambda _, v: has_digit_run(F.coalesce(v, F.lit("")))))
+    found = rows.select("topic", extra.alias("extra"), digits.alias("digits")).agg(
+        F.min(F.when(F.size("extra") > 0, F.concat_ws(":", "topic", F.array_min("extra")))).alias("extra"),
+        F.min(F.when(F.size("digits") > 0, F.concat_ws(":", "topic", F.array_min("digits")))).alias("digits")).first()
+    if found["extra"]:
+        raise SchemaDriftError(f"message field outside the frozen contract: {found['extra']}")
+    if found["digits"]:
+        raise IdentifierGuardError(f"message field '{found['digits']}' holds an unmasked number of 13 to 19 digits; nothing of this batch is loaded")
+    return messages

@@ -11,30 +11,6 @@ from settlekit.functions.columns import (date_key, iso_day_of_week, month_start,
                                          surrogate_key, week_start)
 
 
-def _natural_key_dim(df: DataFrame, natural: str, key: str) -> DataFrame:
-    # DISTINCT is a two-phase aggregate: each map task emits one row per value.
-    ids = df.select(natural).filter(F.col(natural).isNotNull()).distinct()
-    return ids.select(surrogate_key(natural).alias(key), F.col(natural))
-
-
-def dim_partner(reconciled: DataFrame) -> DataFrame:
-    return _natural_key_dim(reconciled, "partner_id", "partner_key")
-
-
-def dim_bank(reconciled: DataFrame) -> DataFrame:
-    return _natural_key_dim(reconciled, "bank_id", "bank_key")
-
-
-def dim_decline_reason(reconciled: DataFrame) -> DataFrame:
-    """UNION DISTINCT of both sides' decline reasons.
-
-    Computed in one scan: each row contributes its two reasons through
-    ``stack``, then a single DISTINCT, instead of scanning the fact twice.
-    """
-    both = reconciled.select(F.expr("stack(2, decline_reason, bank_decline_reason) AS decline_reason"))
-    return _natural_key_dim(both, "decline_reason", "decline_reason_key")
-
-
 DATE_DIM_COLUMNS = ("date_key", "date_day", "day_of_week", "is_weekend", "week_start",
                     "iso_week", "month_start", "month", "quarter", "year")
 
@@ -64,21 +40,6 @@ def activity_day(df: DataFrame):
     return F.to_date(F.coalesce(F.col("initiated_at"), F.col("updated_at")))
 
 
-def dim_date_covering(fact: DataFrame) -> DataFrame:
-    """Calendar of whole years covering every activity day of ``fact``.
-
-    The bounds are one global min/max aggregate; the calendar is generated
-    from that single row with ``sequence`` + ``explode`` (size = days spanned,
-    bounded by the years covered, not by the row count).
-    """
-    day = activity_day(fact)
-    bounds = fact.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    days = bounds.select(F.explode(F.sequence(F.trunc("lo", "year"),
-                                              F.date_add(F.add_months(F.trunc("hi", "year"), 12), -1)))
-                         .alias("date_day"))
-    return _calendar(days)
-
-
 DIMENSION_SOURCES = {
     "partner": ("partner_id",),
     "bank": ("bank_id",),

@@ -17,8 +17,6 @@ from settlekit.functions.columns import truncate_ntz
 # Time grains (ISO-8601 duration codes) -> date_trunc unit.
 TIME_GRAINS = {"PT1H": "hour", "P1D": "day", "P1W": "week", "P1M": "month", "P3M": "quarter", "P1Y": "year"}
 
-DEFAULT_ROW_LIMIT = 10000
-
 # Simple adhoc-filter operators of the chart builder.
 _FILTER_OPS = {
     "IS NOT NULL": lambda c, v: c.isNotNull(),
@@ -41,10 +39,11 @@ def filter_column(spec: Mapping) -> Column:
 
 def chart_query(df: DataFrame, metrics: Mapping[str, Column], x_axis: str | None = None,
                 time_grain: str | None = None, groupby: Sequence[str] = (),
-                filters: Sequence[Mapping] = (), row_limit: int | None = DEFAULT_ROW_LIMIT,
+                filters: Sequence[Mapping] = (), row_limit: int | None = None,
                 order_desc: bool = True) -> DataFrame:
     """Big number (no x_axis), time series (x_axis + time_grain, newest first) or
-    categorical bar (x_axis + groupby, largest first)."""
+    categorical bar (x_axis + groupby, largest first). Every group is returned
+    unless the caller passes a ``row_limit``."""
     for spec in filters:
         df = df.filter(filter_column(spec))
     if x_axis is None:
@@ -129,8 +128,8 @@ def net_volume(m: DataFrame) -> DataFrame:
 
 def weekly_gross_net(m: DataFrame) -> DataFrame:
     out = chart_query(m, {"gross_volume_usd": metric_gross_volume(), "net_volume_usd": metric_net_volume()},
-                      x_axis="week_start", row_limit=None)
-    return out.orderBy(F.col("week_start").desc_nulls_last()).limit(DEFAULT_ROW_LIMIT)
+                      x_axis="week_start")
+    return out.orderBy(F.col("week_start").desc_nulls_last())
 
 
 def auth_rate(m: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settlekit.functions.columns import epoch, fee_at_capture
-from settlekit.operators.joins import bounded_broadcast
 from settlekit.operators.promote import KEY, VERSION, latest_per_key
 
 PARTNER_KEPT = ("state", "decline_reason", "initiated_at", "authorized_at",
@@ -51,8 +50,9 @@ def reconcile(partner: DataFrame, bank: DataFrame) -> DataFrame:
 
 def with_fee(reconciled: DataFrame, fee_schedule: DataFrame) -> DataFrame:
     """Fee fact: fee at capture stored on the row, NULL when not captured on either
-    side or when no schedule row matches the (partner, bank) pair."""
-    fee = bounded_broadcast(fee_schedule.select("partner_id", "bank_id", "fixed_fee_cents", "percentage_bps"))
+    side or when no schedule row matches the (partner, bank) pair. The caller marks
+    the schedule for broadcast where its size is known."""
+    fee = fee_schedule.select("partner_id", "bank_id", "fixed_fee_cents", "percentage_bps")
     r, f = reconciled.alias("r"), fee.alias("f")
     j = r.join(f, (F.col("r.partner_id") == F.col("f.partner_id")) & (F.col("r.bank_id") == F.col("f.bank_id")), "left")
     captured = F.col("r.bank_captured_at").isNotNull() | F.col("r.captured_at").isNotNull()
@@ -66,8 +66,8 @@ def current_latest_nonnull(fact: DataFrame, key: str = KEY, version: str = VERSI
     """Per key, each column's value from the newest version where it is not NULL
     (argMax semantics: NULL arguments are skipped), plus max(version).
 
-    One hash aggregation with map-side partial aggregation, so a hot key is
-    pre-reduced in every map task. Ties on ``version`` pick the greater value.
+    One aggregation, partial on the map side, so a hot key is pre-reduced in
+    every map task (its buffers hold text, so it sorts by key on both sides). Ties on ``version`` pick the greater value.
     """
     cols = [c for c in (columns or fact.columns) if c not in (key, version)]
     aggs = []

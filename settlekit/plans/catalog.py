@@ -24,11 +24,11 @@ from settlekit.operators.dims import DATE_DIM_COLUMNS
 from settlekit.operators.mart import MART_COLUMNS
 from settlekit.operators.promote import merge_lookback, promote
 from settlekit.operators.reconcile import (FACT_COLUMNS, RECONCILED_COLUMNS,
-                                           current_latest_nonnull, current_latest_row, reconcile)
+                                           current_latest_nonnull, current_latest_row, reconcile, with_fee)
 from settlekit.plans import oracle as O
 from settlekit.plans import suite as S
 from settlekit.plans.model import Model
-from settlekit.plans.pipeline import run_pipeline
+from settlekit.plans.pipeline import read_gold, run_pipeline
 from settlekit.session import scratch_folder
 from settlekit.sources import bronze as B
 from settlekit.sources import csv_drop as CSV
@@ -104,9 +104,15 @@ def fct_current_row(spark, sf):
     return current_latest_row(Feed(spark, sf).versions())
 
 
-@query("fct_current", O.on_model(f"SELECT {_cols(FACT_COLUMNS)} FROM current_fact"))
+@query("fct_current", O.on_model(f"SELECT {_cols(FACT_COLUMNS)} FROM ({O.greatest_value_sql('fact_versions', FACT_COLUMNS)})", O.EARLIER_FACT))
 def fct_current(spark, sf):
-    return Model.shared(spark, sf).current
+    """Current state over a fact that holds several versions: the one built at the merge
+    cutoff, and today's appended to it."""
+    feed, today = Feed(spark, sf), Model.shared(spark, sf)
+    before = F.col("updated_at") < F.lit(O.EARLIER).cast("timestamp_ntz")
+    earlier = with_fee(reconcile(promote(feed.partner_bronze().filter(before), "partner_transactions"),
+                                 promote(feed.bank_bronze().filter(before), "bank_transactions")), today.fee_schedule)
+    return current_latest_nonnull(earlier.unionByName(today.fact))
 
 
 # --- dimensions and mart ------------------------------------------------------------
@@ -144,7 +150,7 @@ def _mart(spark, sf) -> DataFrame:
 
 @query("kpi_volume_by_day", O.on_model(
     "SELECT date_trunc('day', initiated_at) AS initiated_at, count(*) AS count FROM mart "
-    "GROUP BY 1 ORDER BY 1 DESC NULLS LAST LIMIT 10000"))
+    "GROUP BY 1 ORDER BY 1 DESC NULLS LAST"))
 def kpi_volume_by_day(spark, sf):
     return K.volume_by_day(_mart(spark, sf))
 
@@ -161,7 +167,7 @@ def kpi_net_volume(spark, sf):
 
 @query("kpi_weekly_gross_net", O.on_model(
     f"SELECT week_start, {O.GROSS_VOLUME} AS gross_volume_usd, {O.NET_VOLUME} AS net_volume_usd "
-    "FROM mart GROUP BY week_start ORDER BY week_start DESC NULLS LAST LIMIT 10000"))
+    "FROM mart GROUP BY week_start ORDER BY week_start DESC NULLS LAST"))
 def kpi_weekly_gross_net(spark, sf):
     return K.weekly_gross_net(_mart(spark, sf))
 
@@ -188,13 +194,13 @@ def kpi_net_revenue(spark, sf):
 
 def _by(dim: str) -> str:
     return (f"SELECT {dim}, count(*) AS count FROM mart GROUP BY {dim} "
-            f"ORDER BY count DESC, {dim} LIMIT 10000")
+            f"ORDER BY count DESC, {dim}")
 
 
 def _declines_by(dim: str) -> str:
     return (f"SELECT {dim}, effective_decline_reason, count(*) AS count FROM mart "
             f"WHERE effective_decline_reason IS NOT NULL GROUP BY {dim}, effective_decline_reason "
-            f"ORDER BY count DESC, {dim}, effective_decline_reason LIMIT 10000")
+            f"ORDER BY count DESC, {dim}, effective_decline_reason")
 
 
 @query("kpi_volume_by_bank", O.on_model(_by("bank_id")))
@@ -238,15 +244,19 @@ def revenue_by_partner(spark, sf):
     return K.revenue_by_partner(_mart(spark, sf))
 
 
+#: The chart's own row limit (a top-k report).
+CHART_ROW_LIMIT = 10000
+
+
 @query("chart_query", O.on_model(
     "SELECT date_trunc('month', initiated_at) AS initiated_at, bank_id, count(*) AS count, "
     f"{O.GROSS_REVENUE} AS gross_revenue_usd FROM mart WHERE initiated_at IS NOT NULL "
-    "GROUP BY 1, 2 ORDER BY 1 DESC NULLS LAST, 2 LIMIT 10000"))
+    f"GROUP BY 1, 2 ORDER BY 1 DESC NULLS LAST, 2 LIMIT {CHART_ROW_LIMIT}"))
 def chart_query(spark, sf):
     """The generic chart operator with every knob: filter, time grain, group-by, limit."""
     return K.chart_query(_mart(spark, sf), {"count": K.count_rows(), "gross_revenue_usd": K.metric_gross_revenue()},
                          x_axis="initiated_at", time_grain="P1M", groupby=["bank_id"],
-                         filters=[{"col": "initiated_at", "op": "IS NOT NULL"}])
+                         filters=[{"col": "initiated_at", "op": "IS NOT NULL"}], row_limit=CHART_ROW_LIMIT)
 
 
 # --- audits ------------------------------------------------------------------------------
@@ -506,11 +516,25 @@ def as_transport_text(df: DataFrame) -> DataFrame:
 
 @query("canonicalize_rows", O.with_fixture(f"SELECT {_CONTRACT_SELECT} FROM fx_partner_bronze"))
 def canonicalize_rows(spark, sf):
-    """Transport text of every bronze row -> contract types (round trip is exact)."""
-    text = as_transport_text(Feed(spark, sf).partner_bronze().select(*PARTNER_COLUMNS))
+    """Transport text of every bronze row -> contract types (round trip is exact). A third
+    of the rows carry their times with Z, a third at +02:00, the rest without an offset."""
+    text = as_transport_text(with_offsets(Feed(spark, sf).partner_bronze().select(*PARTNER_COLUMNS)))
     return C.canonicalize(text, "partner_transactions")
 
 
+def with_offsets(df: DataFrame) -> DataFrame:
+    """The same instants as text, by row with ``Z``, at ``+02:00`` or as bare UTC wall time."""
+    kind = F.pmod(F.xxhash64("transaction_id", "updated_at"), F.lit(3))
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.TimestampNTZType):
+            shifted = iso_text(c + F.make_dt_interval(hours=F.lit(2)))
+            c = F.when(kind == 0, F.concat(iso_text(c), F.lit("Z"))).when(kind == 1, F.concat(shifted, F.lit("+02:00"))).otherwise(iso_text(c))
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
 @query("csv_drop_roundtrip", O.with_fixture(
     f"SELECT {_CONTRACT_SELECT} FROM fx_partner_bronze WHERE channel = 'sftp_drop'"))
 def csv_drop_roundtrip(spark, sf):
@@ -603,16 +627,18 @@ def _events(spark, sf) -> DataFrame:
 SELECT CAST(user_id % 4 AS INTEGER) AS partition, 'events.' || event_type AS topic,
   CASE WHEN user_id % 10 <> 0 THEN CAST(user_id AS VARCHAR) END AS key, event_id AS "offset",
   0 AS ts_type, ts AS ts_value,
+  '{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","user_id":' || user_id
+    || ',"event_type":"' || event_type || '","value":' || CAST(value AS VARCHAR)
+    || ',"props":"' || replace(props, '"', '\\"') || '"}' AS data,
   md5('events.' || event_type || CAST(CAST(user_id % 4 AS INTEGER) AS VARCHAR)
       || coalesce(CASE WHEN user_id % 10 <> 0 THEN CAST(user_id AS VARCHAR) END, 'None')) AS _kafka_msg_id
 FROM events""")
 def message_envelope(spark, sf):
-    """Default message record of every event message (body omitted from the
-    comparison; it is checked by json_decode)."""
+    """Default message record of every event message, body included."""
     env = DR.envelope(MSG.event_messages(_events(spark, sf)))
     return env.select("_kafka.partition", "_kafka.topic", "_kafka.key", "_kafka.offset",
                       F.col("_kafka.ts.type").alias("ts_type"), F.col("_kafka.ts.value").alias("ts_value"),
-                      "_kafka_msg_id")
+                      "_kafka.data", "_kafka_msg_id")
 
 
 @query("json_decode", f"SELECT {_EVENT_SQL} FROM events")
@@ -659,8 +685,17 @@ SELECT {_EVENT_SQL} FROM events WHERE ts >= TIMESTAMP '{RANGE_START}' AND ts < T
 def drain_time_range(spark, sf):
     """Drain bounded by start_from <= message time < end_time."""
     log, root = _log(spark, sf, "drain-range")
-    stream = DR.time_range(DR.read_log(spark, log), RANGE_START, RANGE_END)
-    DR.drain(stream, DR.append_sink(f"{root}/bronze", MSG.decoded_events), f"{root}/checkpoint")
+    DR.drain(DR.read_log(spark, log), DR.append_sink(f"{root}/bronze", MSG.decoded_events), f"{root}/checkpoint",
+             start_from=RANGE_START, end_time=RANGE_END)
+    return DR.read_sink(spark, f"{root}/bronze").select(*_EVENT_OUT)
+
+
+@query("drain_range_then_rest", f"SELECT {_EVENT_SQL} FROM events")
+def drain_range_then_rest(spark, sf):
+    """A drain up to RANGE_END and then an open one on the same checkpoint land every message once."""
+    log, root = _log(spark, sf, "drain-rest")
+    for bounds in ({"start_from": "1970-01-01", "end_time": RANGE_END}, {}):
+        DR.drain(DR.read_log(spark, log), DR.append_sink(f"{root}/bronze", MSG.decoded_events), f"{root}/checkpoint", **bounds)
     return DR.read_sink(spark, f"{root}/bronze").select(*_EVENT_OUT)
 
 
@@ -693,6 +728,21 @@ def drain_replay_dedup(spark, sf):
     return landed.dropDuplicates(list(keep)).select(*_EVENT_OUT)
 
 
+@query("drain_replay_same_sink", f"SELECT {_EVENT_SQL} FROM events")
+def drain_replay_same_sink(spark, sf):
+    """State loss without any tag of the run: the replay lands beside the first drain's
+    batches, and dedup on the message coordinates leaves every event once."""
+    log, root = _log(spark, sf, "drain-same")
+    keep = ("topic", "partition", "offset")
+    mapper = lambda b: MSG.decoded_events(b, keep=keep)
+    landed = [DR.drain(DR.read_log(spark, log), DR.append_sink(f"{root}/bronze", mapper), f"{root}/{ckpt}")
+              for ckpt in ("checkpoint-a", "checkpoint-b")]
+    rows = DR.read_sink(spark, f"{root}/bronze")
+    if rows.count() != sum(landed):
+        raise AssertionError(f"{sum(landed)} messages were landed, {rows.count()} are there")
+    return rows.dropDuplicates(list(keep)).select(*_EVENT_OUT)
+
+
 @query("late_update_wins", O.with_fixture(O.latest_sql("fx_versions", VERSION_COLUMNS)))
 def late_update_wins(spark, sf):
     """Milestone versions arrive newest first, older ones a run later; the
@@ -761,3 +811,11 @@ def pipeline_run(spark, sf):
     """The whole daily job end to end (four channels, promote, build, test gate,
     freshness) into a fresh folder; one summary row per step and table."""
     return run_pipeline(spark, sf, scratch_folder(spark, "pipeline"), FRESHNESS_NOW)
+
+
+@query("pipeline_gold", REVENUE_BY_PARTNER_SQL)
+def pipeline_gold(spark, sf):
+    """Volume and revenue per partner from the mart that a whole daily job wrote and published."""
+    root = scratch_folder(spark, "pipeline-gold")
+    run_pipeline(spark, sf, root, FRESHNESS_NOW)
+    return K.revenue_by_partner(read_gold(spark, root, "mart_transactions"))

@@ -8,10 +8,9 @@ transaction version) is materialised once as a Parquet table in the shared
 checkpoint folder, as the warehouse materialises it; ``reconciled`` is a projection of
 it. All dimension keys come from one more pass over the fact into one small
 materialised table, whose sizes are checked by a single aggregate before any
-dimension is broadcast. The current state (the warehouse's argMax view) is the
-fact itself when the fact has one version per key (a full rebuild), else the
-aggregation materialised once; the mart stays a lazy view (broadcast joins to
-the dimensions).
+dimension is broadcast. The current state (the warehouse's argMax view) is
+aggregated from the fact and materialised once; the mart stays a lazy view
+(broadcast joins to the dimensions).
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from settlekit.contracts import FEE_SCHEDULE_ROWS
 from settlekit.fixtures import Feed
 from settlekit.operators import dims as D
-from settlekit.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
+from settlekit.operators.joins import bounded_broadcast
 from settlekit.operators.mart import mart
 from settlekit.operators.promote import promote
 from settlekit.operators.reconcile import (RECONCILED_COLUMNS, current_latest_nonnull,
@@ -53,12 +52,10 @@ class Model:
     _shared: dict = {}
     _lock = threading.Lock()
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool = True,
-                 multi_version: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialized: bool = True):
         self.spark, self.sf_dir = spark, sf_dir
         self.feed = Feed(spark, sf_dir)
         self._materialized = materialized
-        self.multi_version = multi_version
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Model":
@@ -83,10 +80,7 @@ class Model:
         if not self._materialized:
             return df
         path = scratch_folder(self.spark, f"tables/{name}")
-        try:
-            return write_bucketed(df, path, f"{name}_{uuid.uuid4().hex[:10]}")
-        except Exception:  # noqa: BLE001 - a catalog that refuses tables: plain Parquet, join shuffles
-            return materialize(df, name)
+        return write_bucketed(df, path, f"{name}_{uuid.uuid4().hex[:10]}")
 
     @cached_property
     def partner_silver(self) -> DataFrame:
@@ -110,18 +104,8 @@ class Model:
 
     @cached_property
     def current(self) -> DataFrame:
-        """Latest non-NULL value per column and transaction.
-
-        The fact built here joins two sides that were each reduced to one row
-        per transaction, so it holds exactly one version per key and the
-        per-column argMax is the identity: the fact is returned as is (no
-        shuffle and sort of the whole fact). The declared ``unique`` check on
-        this table verifies the invariant on every run. A fact assembled from
-        several versions (``multi_version=True``, e.g. after incremental
-        merges) gets the aggregation, materialised once for all charts.
-        """
-        if not self.multi_version:
-            return self.fact
+        """Latest non-NULL value per column and transaction, whatever number of
+        versions the fact holds; materialised once for all charts."""
         return self._table(current_latest_nonnull(self.fact), "fct_transactions_current", ("transaction_id",))
 
     # dimensions -------------------------------------------------------------------
@@ -173,10 +157,9 @@ class Model:
 
     @cached_property
     def mart(self) -> DataFrame:
-        b = BROADCAST_MAX_ROWS
         return mart(self.current,
-                    bounded_broadcast(self.dim_date, b, known_rows=self._calendar_span[1]),
-                    bounded_broadcast(self.dim_partner, b, known_rows=self._rows("partner")),
-                    bounded_broadcast(self.dim_bank, b, known_rows=self._rows("bank")),
-                    bounded_broadcast(self.dim_decline_reason, b, known_rows=self._rows("decline_reason")),
+                    bounded_broadcast(self.dim_date, known_rows=self._calendar_span[1]),
+                    bounded_broadcast(self.dim_partner, known_rows=self._rows("partner")),
+                    bounded_broadcast(self.dim_bank, known_rows=self._rows("bank")),
+                    bounded_broadcast(self.dim_decline_reason, known_rows=self._rows("decline_reason")),
                     checked=True)

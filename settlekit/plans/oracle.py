@@ -8,6 +8,8 @@ BIGINT calendar parts, TIMESTAMP date_trunc of DATE).
 
 from __future__ import annotations
 
+import re
+
 from settlekit.contracts import BANK_COLUMNS, PARTNER_COLUMNS
 from settlekit.fixtures import with_fixture
 from settlekit.operators.reconcile import BANK_KEPT, FACT_COLUMNS, PARTNER_KEPT
@@ -65,6 +67,14 @@ def current_sql(source: str, cols) -> str:
             f"FROM {source} GROUP BY transaction_id")
 
 
+def greatest_value_sql(source: str, cols) -> str:
+    """As ``current_sql``, but of several values with the newest version the greatest."""
+    parts = [f"(max(struct_pack(v := updated_at, c := {c})) FILTER (WHERE {c} IS NOT NULL)).c AS {c}"
+             for c in cols if c not in ("transaction_id", "updated_at")]
+    return (f"SELECT transaction_id, {', '.join(parts)}, max(updated_at) AS updated_at "
+            f"FROM {source} GROUP BY transaction_id")
+
+
 CURRENT = f"current_fact AS ({current_sql('fact', FACT_COLUMNS)})"
 
 
@@ -112,6 +122,22 @@ def on_model(body: str, *extra: str) -> str:
     return with_fixture(body, *MODEL_CTES, *extra)
 
 
+#: When the earlier of the two versions of the fact was built.
+EARLIER = "1998-01-01 00:00:00"
+
+
+def _renamed(cte: str) -> str:
+    for name in ("silver_partner", "silver_bank", "reconciled", "fact"):
+        cte = re.sub(rf"\b{name}\b", f"earlier_{name}", cte)
+    return cte
+
+
+EARLIER_FACT = ",\n".join([
+    f"earlier_silver_partner AS ({latest_sql(f'(SELECT * FROM fx_partner_bronze WHERE updated_at < TIMESTAMP {EARLIER!r})', PARTNER_COLUMNS)})",
+    f"earlier_silver_bank AS ({latest_sql(f'(SELECT * FROM fx_bank_bronze WHERE updated_at < TIMESTAMP {EARLIER!r})', BANK_COLUMNS)})",
+    _renamed(RECONCILED), _renamed(FACT),
+    "fact_versions AS (SELECT * FROM earlier_fact UNION ALL SELECT * FROM fact)"])
+
 # KPI expressions (DuckDB spelling of settlekit.operators.metrics).
 SETTLED = "settled_at IS NOT NULL AND refunded_at IS NULL"
 GROSS_VOLUME = "CAST(sum(amount_cents) AS DOUBLE) / 100.0"

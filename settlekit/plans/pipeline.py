@@ -1,11 +1,11 @@
 """The daily job: extract (4 channels) -> promote (2 tables) -> build -> tests -> freshness.
 
-Each step is a set of DataFrame writes under ``out_root``; every write is a
-full overwrite of its own folder (or an append keyed by micro-batch for the
-queue), so re-running the whole job is safe. Extraction validates a batch
-(identifier guard, frozen contract) before writing it. The declared tests are
-the gate: an error-level failure stops the job before anything downstream of
-the tests runs; freshness runs last so a stale source never blocks data.
+Each step is a set of DataFrame writes under ``out_root``. Extraction validates a
+batch (identifier guard, frozen contract; for queue messages over every field of
+the body) before writing it. Tests run in dependency order: the staging tests
+before anything is built, the rest over gold, which is built in a folder of the
+run's own and published only after they pass; a failure leaves the published gold
+as it was. Freshness runs last so a stale source never blocks data.
 
 The upstream systems are simulated from the fixture feed (``orders``): the
 partner and bank databases as DataFrames (a JDBC snapshot in production, see
@@ -17,15 +17,15 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from settlekit.contracts import TABLE_COLUMNS, TOPIC_TABLES, text_schema
+from settlekit.contracts import TABLE_COLUMNS, TABLE_SCHEMAS, TOPIC_TABLES, text_schema
 from settlekit.functions.columns import iso_text
 from settlekit.fixtures import Feed
 from settlekit.operators import quality as Q
-from settlekit.operators.canonical import canonicalize, enforce_contract, guard_identifiers
+from settlekit.operators.canonical import canonicalize, check_messages
 from settlekit.operators.promote import promote
 from settlekit.plans import suite as S
 from settlekit.plans.model import Model
@@ -98,18 +98,14 @@ class DailyPipeline:
                 F.to_json(F.struct(*TABLE_COLUMNS[table])).alias("value"))
             msgs.write.mode("overwrite").parquet(f"{log}/{table}")
 
-        def to_bronze(batch: DataFrame, batch_id: int) -> None:
-            batch.persist()
-            try:
-                for topic, table in TOPIC_TABLES.items():
-                    body = F.from_json("value", text_schema(table), {"mode": "FAILFAST"})
-                    rows = canonicalize(batch.filter(F.col("topic") == topic).select(body.alias("m")).select("m.*"), table)
-                    enforce_contract(rows, rows.schema)
-                    guard_identifiers(rows)
-                    rows.write.mode("overwrite").parquet(
-                        f"{B.bronze_path(self.root, 'kafka_drain', table)}/batch={batch_id:08d}")
-            finally:
-                batch.unpersist()
+        frozen = {topic: TABLE_SCHEMAS[table] for topic, table in TOPIC_TABLES.items()}
+
+        def to_bronze(batch: DataFrame, key: str) -> None:
+            check_messages(batch, frozen)
+            for topic, table in TOPIC_TABLES.items():
+                body = F.from_json("value", text_schema(table), {"mode": "FAILFAST"})
+                rows = canonicalize(batch.filter(F.col("topic") == topic).select(body.alias("m")).select("m.*"), table)
+                rows.write.mode("overwrite").parquet(f"{B.bronze_path(self.root, 'kafka_drain', table)}/batch={key}")
 
         stream = DR.read_log(self.spark, f"{log}/*")
         DR.drain(stream, to_bronze, f"{self.root}/state/kafka_drain")
@@ -121,44 +117,56 @@ class DailyPipeline:
         build's full outer join reads both without a shuffle."""
         out = {}
         for table in TABLES:
-            bronze = B.read_bronze(self.spark, self.root, table)
-            self.results.append(StepResult("extract", table, bronze.count(), "ok"))
-            out[table] = B.write_bucketed(promote(bronze, table), B.silver_path(self.root, table),
+            seen, kept = Observation(), Observation()
+            bronze = B.read_bronze(self.spark, self.root, table).observe(seen, F.count(F.lit(1)).alias("n"))
+            silver = promote(bronze, table).observe(kept, F.count(F.lit(1)).alias("n"))
+            out[table] = B.write_bucketed(silver, B.silver_path(self.root, table),
                                           f"silver_{table}_{self.run_id}", buckets=self.buckets)
-            self.results.append(StepResult("promote", table, out[table].count(), "ok"))
+            self.results.append(StepResult("extract", table, seen.get["n"], "ok"))
+            self.results.append(StepResult("promote", table, kept.get["n"], "ok"))
         return out
 
     def build(self, silver: dict[str, DataFrame]) -> Model:
-        """Gold tables, each written once; later tables read the written fact."""
+        """Gold tables in the run's own folder, each written once; later tables read the written fact."""
         m = Model(self.spark, self.sf_dir, materialized=False)
         m.partner_silver = silver["partner_transactions"].select(*TABLE_COLUMNS["partner_transactions"])
         m.bank_silver = silver["bank_transactions"].select(*TABLE_COLUMNS["bank_transactions"])
         m.fact = self._write_gold("fct_transactions", m.fact)
-        if m.multi_version:
-            m.current = self._write_gold("fct_transactions_current", m.current)
-        else:  # one version per key: the current-state view is the fact itself
-            self.results.append(StepResult("build", "fct_transactions_current", m.current.count(), "ok"))
+        m.current = self._write_gold("fct_transactions_current", m.current)
         m._dim_values = self._write_gold("dimension_values", m._dim_values, record=False)
         for name in ("dim_partner", "dim_bank", "dim_decline_reason", "dim_date"):
             setattr(m, name, self._write_gold(name, getattr(m, name)))
+        m.mart = self._write_gold("mart_transactions", m.mart, record=False)
         return m
 
     def _write_gold(self, name: str, df: DataFrame, record: bool = True) -> DataFrame:
-        path = f"{self.root}/gold/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out = self.spark.read.parquet(path)
+        path, written = f"{self.root}/gold/runs/{self.run_id}/{name}", Observation()
+        df.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
         if record:
-            self.results.append(StepResult("build", name, out.count(), "ok"))
-        return out
+            self.results.append(StepResult("build", name, written.get["n"], "ok"))
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def publish(self) -> None:
+        """Point readers at this run's gold: one appended row, the newest one counts."""
+        (self.spark.range(1).select(F.lit(self.run_id).alias("run_id"), F.unix_micros(F.current_timestamp()).alias("published_at"))
+         .coalesce(1).write.mode("append").parquet(f"{self.root}/gold/published"))
+
+    def test_staging(self, silver: dict[str, DataFrame]) -> None:
+        """The tests declared on staging, before anything is built from it."""
+        staging = {f"stg_{table}": df for table, df in silver.items()}
+        self._gate(Q.run_checks(staging, [spec for spec in S.DECLARED if spec.name in staging]))
 
     def test(self, m: Model) -> None:
-        # 42 result rows: a check result, small by construction.
-        results = S.declared_suite(m).select("model", "column_name", "test", "status").collect()
+        n = self._gate(S.declared_suite(m))
+        self.results.append(StepResult("test", "declared_checks", n, "ok"))
+
+    def _gate(self, checks: DataFrame) -> int:
+        results = checks.select("model", "column_name", "test", "status").collect()  # one row per declared check
         failed = [r for r in results if r["status"] == "fail"]
-        self.results.append(StepResult("test", "declared_checks", len(results), "ok" if not failed else "fail"))
         if failed:
             desc = ", ".join(f"{r['test']}({r['model']}.{r['column_name']})" for r in failed)
             raise PipelineFailed(f"{len(failed)} error-level data test(s) failed: {desc}; downstream steps not run")
+        return len(results)
 
     def freshness(self, silver: dict[str, DataFrame]) -> None:
         for table, df in silver.items():
@@ -171,12 +179,21 @@ class DailyPipeline:
         self.extract_sftp()
         self.extract_queue()
         silver = self.promote_all()
+        self.test_staging(silver)
         m = self.build(silver)
         self.test(m)
+        self.publish()
         self.freshness(silver)
         schema = "step string, table_name string, rows bigint, status string"
         return self.spark.createDataFrame([(r.step, r.table_name, r.rows, r.status) for r in self.results], schema)
 
 
+def read_gold(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """A gold table of the run published last."""
+    root = out_root.rstrip("/")
+    run_id = spark.read.parquet(f"{root}/gold/published").agg(F.max_by("run_id", "published_at")).first()[0]
+    return spark.read.parquet(f"{root}/gold/runs/{run_id}/{name}")
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str, now: str) -> DataFrame:
     return DailyPipeline(spark, sf_dir, out_root, now).run()

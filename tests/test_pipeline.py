@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from settlekit.plans.pipeline import DailyPipeline, PipelineFailed, run_pipeline
+from settlekit.plans.pipeline import DailyPipeline, PipelineFailed, read_gold, run_pipeline
 
 from conftest import SF_SMALL
 
@@ -36,3 +36,23 @@ def test_failed_gate_stops_the_job(spark, tmp_dir):
     m = p.build(silver)
     with pytest.raises(PipelineFailed, match="unique"):
         p.test(m)
+
+
+def test_failing_staging_test_leaves_the_published_gold(spark, tmp_dir):
+    run_pipeline(spark, SF_SMALL, tmp_dir, NOW)
+    before = sorted(map(tuple, read_gold(spark, tmp_dir, "mart_transactions").select("transaction_id", "state").collect()), key=str)
+    p = DailyPipeline(spark, SF_SMALL, tmp_dir, NOW)
+    promote_all = p.promote_all
+
+    def doubled():
+        silver = promote_all()
+        silver["bank_transactions"] = silver["bank_transactions"].unionByName(silver["bank_transactions"])
+        return silver
+
+    p.promote_all = doubled
+    built = []
+    p.build = lambda silver: built.append(1)
+    with pytest.raises(PipelineFailed, match="unique"):
+        p.run()
+    after = sorted(map(tuple, read_gold(spark, tmp_dir, "mart_transactions").select("transaction_id", "state").collect()), key=str)
+    assert before == after and before and not built

@@ -7,10 +7,13 @@ import re
 from pyspark.sql import functions as F
 
 from settlekit.fixtures import Feed
-from settlekit.operators.joins import bounded_broadcast
+from settlekit.operators import audit as A
+from settlekit.operators import metrics as K
+from settlekit.operators.joins import bounded_broadcast, measured_bytes
 from settlekit.operators.promote import latest_per_key, promote
 from settlekit.operators.reconcile import current_latest_nonnull, reconcile
 from settlekit.plans.model import Model
+from settlekit.sources import bronze as B
 
 from conftest import SF_SMALL
 
@@ -59,8 +62,8 @@ def test_broadcast_only_under_the_measured_bound(spark):
     base = spark.range(100).withColumnRenamed("id", "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan(base.join(bounded_broadcast(small, max_rows=100), "k"))
-        assert "BroadcastHashJoin" not in plan(base.join(bounded_broadcast(big, max_rows=100), "k"))
+        assert "BroadcastHashJoin" in plan(base.join(bounded_broadcast(small, max_bytes=4_000), "k"))
+        assert "BroadcastHashJoin" not in plan(base.join(bounded_broadcast(big, max_bytes=4_000), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -79,13 +82,30 @@ def test_hot_key_with_a_third_of_rows_is_reduced_correctly(spark):
     assert "partial_max_by" in plan(current_latest_nonnull(df))
 
 
-def test_single_version_fact_is_its_own_current_state(spark):
-    fast = Model(spark, SF_SMALL).current
-    slow = Model(spark, SF_SMALL, multi_version=True).current
-    cols = sorted(fast.columns)
-    assert cols == sorted(slow.columns)
-    assert fast.select(*cols).exceptAll(slow.select(*cols)).count() == 0
-    assert slow.select(*cols).exceptAll(fast.select(*cols)).count() == 0
+def test_current_state_of_a_single_version_fact_is_the_fact(spark):
+    m = Model(spark, SF_SMALL)
+    cols = sorted(m.fact.columns)
+    assert m.current is not m.fact and cols == sorted(m.current.columns)
+    assert m.fact.select(*cols).exceptAll(m.current.select(*cols)).count() == 0
+    assert m.current.select(*cols).exceptAll(m.fact.select(*cols)).count() == 0
+
+
+def test_day_chart_is_not_truncated(spark):
+    mart = spark.range(10_050).select(F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).cast("timestamp_ntz").alias("initiated_at"))
+    row = A.chart_total_audit(K.volume_by_day(mart), "count", mart).first()
+    assert (row["chart_total"], row["fact_total"], row["matches"]) == (10_050, 10_050, True)
+    assert K.chart_query(mart, {"count": K.count_rows()}, x_axis="initiated_at", row_limit=7).count() == 7
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 10_000).alias("t"))
+    assert measured_bytes(wide) > 1_000_000
+    assert "broadcast" in bounded_broadcast(wide)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in bounded_broadcast(wide, max_bytes=900_000)._jdf.queryExecution().logical().toString()
+
+
+def test_buckets_follow_the_bytes():
+    assert [B.buckets_for_bytes(n) for n in (0, 1, 256 << 20, (256 << 20) + 1, 100 << 40)] == [1, 1, 1, 2, 524_288]
 
 
 def test_bucketed_silver_reconciles_without_a_shuffle(spark):

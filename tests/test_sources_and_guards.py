@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from settlekit.contracts import PARTNER_COLUMNS, PARTNER_SCHEMA
 from settlekit.fixtures import Feed
 from settlekit.operators import quality as Q
-from settlekit.operators.canonical import (IdentifierGuardError, SchemaDriftError, canonicalize,
+from settlekit.operators.canonical import (IdentifierGuardError, SchemaDriftError, canonicalize, check_messages,
                                            enforce_contract, guard_identifiers, schema_drift)
 from settlekit.operators.promote import promote
 from settlekit.sources import bronze as B
@@ -131,3 +131,57 @@ def test_remote_headers_are_read_in_one_spark_job(spark, tmp_dir, monkeypatch):
         paths.append("file://" + os.path.join(tmp_dir, f"f{i}.csv"))
     monkeypatch.setattr(fs, "local_path", lambda p: None)     # take the object-store path
     assert fs.first_lines(spark, paths) == {p: f"h{i}a,h{i}b" for i, p in enumerate(paths)}
+
+
+def test_offsets_in_timestamps_are_honoured(spark):
+    texts = ["2026-01-01T10:00:00+02:00", "2026-01-01T10:00:00Z", "2026-01-01T10:00:00", "2026-01-01 10:00:00.5-0330", "2026-01-01", ""]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "transaction_id string, updated_at string")
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = {r["transaction_id"]: r["updated_at"] for r in canonicalize(df, "partner_transactions").collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        at = lambda *a: dt.datetime(2026, 1, 1, *a)
+        assert [got[str(i)] for i in range(6)] == [at(8), at(10), at(10), at(13, 30, 0, 500_000), at(), None]
+
+
+@pytest.mark.parametrize(("body", "error", "match"), [
+    ('{"transaction_id": "t1", "state": "settled", "surprise_risk_score": 0.9}', SchemaDriftError, "surprise_risk_score"),
+    ('{"transaction_id": "t1", "state": "settled", "note": "4111111111111111"}', SchemaDriftError, "note"),
+    ('{"transaction_id": "t1", "state": "4111111111111111"}', IdentifierGuardError, "state")])
+def test_every_field_of_a_message_is_checked(spark, body, error, match):
+    good = '{"transaction_id": "t0", "state": null, "amount_cents": 5}'
+    df = spark.createDataFrame([("a", good), ("a", body), ("unrouted", '{"x": 1}')], "topic string, value string")
+    with pytest.raises(error, match=match):
+        check_messages(df, {"a": PARTNER_SCHEMA})
+    check_messages(df.filter(F.col("value") != body), {"a": PARTNER_SCHEMA})
+
+
+def test_refused_queue_batch_leaves_the_earlier_bronze(spark, tmp_dir):
+    from settlekit.plans.pipeline import DailyPipeline
+
+    p = DailyPipeline(spark, SF_SMALL, tmp_dir, "2001-08-03 06:00:00")
+    p.extract_queue()
+    path = B.bronze_path(tmp_dir, "kafka_drain", "partner_transactions")
+    before = spark.read.parquet(path).count()
+    bad = spark.createDataFrame([("partner-transactions", 0, 1, None, 0, "k", '{"transaction_id": "t", "extra": "1"}')],
+                                "topic string, partition int, offset long, timestamp timestamp_ntz, timestampType int, key string, value string")
+    bad.write.parquet(f"{tmp_dir}/landing/queue/late")
+    rows = p._channel_rows
+    p._channel_rows = lambda table, channel: rows(table, channel).limit(0)
+    with pytest.raises(Exception, match="extra"):
+        p.extract_queue()
+    assert spark.read.parquet(path).count() == before > 0
+
+
+def test_jdbc_slices_by_predicates(spark):
+    url = "jdbc:derby:memory:settlekit_slices;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    src = Feed(spark, SF_SMALL).partner().select("transaction_id", "partner_id")
+    write_jdbc(src, url, "T", properties=props)
+    slices = ['CAST("partner_id" AS VARCHAR(64)) ' + c for c in ("< 'partner_h'", ">= 'partner_h'")]
+    back = snapshot_jdbc(spark, url, "T", predicates=slices, properties=props)
+    assert back.rdd.getNumPartitions() == 2 and back.count() == src.count()
+    with pytest.raises(ValueError, match="bound"):
+        snapshot_jdbc(spark, url, "T", "ID")
