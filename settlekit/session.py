@@ -40,9 +40,9 @@ def local_session(cores: int | str = 8, app: str = "settlekit",
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by spark.checkpoint.dir.
 
-    Read from the session; a private temporary folder is only used when the
-    setting is absent (local tests), and it is then registered as the
-    session's checkpoint dir so ``DataFrame.checkpoint()`` works.
+    Read from the session; only a local master may go without the setting and
+    gets a private temporary folder, registered as the session's checkpoint dir
+    so ``DataFrame.checkpoint()`` works. A cluster without it fails here.
     """
     try:
         sc = spark.sparkContext
@@ -53,6 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/").rsplit("/", 1)[0] if _is_session_subdir(current) else current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is not None and not sc.master.startswith("local") or sc is None:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="settlekit-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)

@@ -58,7 +58,9 @@ def write_bucketed(df: DataFrame, path: str, table_name: str, key: str = "transa
     Two tables bucketed the same way join on ``key`` without any shuffle or
     sort (the bucketed scans already have the join's distribution and order).
     The table is registered in the session catalog under ``table_name``; its
-    files stay in ``path``.
+    files stay in ``path``. Tables that are to join without a shuffle need one
+    number of buckets; without one given it is the session's shuffle partitions, so
+    a job over tables of known size passes it (``buckets_for_bytes``).
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -67,6 +69,11 @@ def write_bucketed(df: DataFrame, path: str, table_name: str, key: str = "transa
     return spark.table(table_name)
 
 
+def buckets_for_bytes(total: int, bucket_bytes: int = 256 << 20) -> int:
+    """Number of buckets, a power of two, that keeps each at about ``bucket_bytes`` or less."""
+    return 1 << (max(1, -(-total // bucket_bytes)) - 1).bit_length()
+
+
 def union_channels(frames: Mapping[str, DataFrame], table: str, keep_channel: bool = True) -> DataFrame:
     """Union every channel's rows BY NAME (channels differ in metadata columns),
     then keep the contract's business columns (plus the channel name)."""
