@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from settlekit.contracts import TABLE_COLUMNS
-from settlekit.operators.joins import bounded_broadcast
 
 KEY = "transaction_id"
 VERSION = "updated_at"
@@ -54,13 +53,20 @@ def merge_lookback(silver: DataFrame, increment: DataFrame, key: str = KEY,
                    version: str = VERSION) -> DataFrame:
     """Upsert an increment (e.g. the last N days of bronze) into existing silver.
 
-    Keys the increment does not touch pass through without a sort; touched keys
-    keep their latest version among old and new rows. Equal to a full rebuild
-    whenever every change of a key lies inside the increment window.
+    The increment is reduced to its newest row per key and joined to silver's one
+    row per key; the newer of the two stays, ties as in ``latest_per_key``. Only the
+    increment is windowed; silver is read once and, stored bucketed by the key, not
+    shuffled. Equal to a full rebuild whenever every change of a key lies inside
+    the increment window.
     """
-    # The increment's keys are usually far fewer than silver's rows: broadcast
-    # them when measured small, so silver is filtered map-side, unshuffled.
-    touched = bounded_broadcast(increment.select(key).distinct())
-    untouched = silver.join(touched, key, "left_anti")
-    contested = silver.join(touched, key, "left_semi").unionByName(increment.select(*silver.columns))
-    return untouched.unionByName(latest_per_key(contested, key, version))
+    columns = silver.columns
+    order = [version, *[c for c in columns if c not in (key, version)]]
+    newest = latest_per_key(increment.select(*columns), key, version)
+    s, i = silver.alias("s"), newest.alias("i")
+    both = s.join(i, F.col(f"s.{key}") == F.col(f"i.{key}"), "full_outer")
+
+    def packed(side: str) -> Column:  # NULL if that side has no such key; structs compare field by field, NULL lowest
+        return F.when(F.col(f"{side}.{key}").isNotNull(), F.struct(*[F.col(f"{side}.{c}").alias(c) for c in order]))
+
+    return (both.select(F.coalesce(f"s.{key}", f"i.{key}").alias(key), F.greatest(packed("s"), packed("i")).alias("row"))
+            .select(*[F.col(key) if c == key else F.col(f"row.{c}").alias(c) for c in columns]))

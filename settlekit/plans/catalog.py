@@ -148,6 +148,11 @@ def _mart(spark, sf) -> DataFrame:
     return Model.shared(spark, sf).mart
 
 
+def _current(spark, sf) -> DataFrame:
+    """For charts of measures alone: the mart's rows without the joins to the dimensions."""
+    return Model.shared(spark, sf).current
+
+
 @query("kpi_volume_by_day", O.on_model(
     "SELECT date_trunc('day', initiated_at) AS initiated_at, count(*) AS count FROM mart "
     "GROUP BY 1 ORDER BY 1 DESC NULLS LAST"))
@@ -157,12 +162,12 @@ def kpi_volume_by_day(spark, sf):
 
 @query("kpi_gross_volume", O.on_model(f"SELECT {O.GROSS_VOLUME} AS gross_volume_usd FROM mart"))
 def kpi_gross_volume(spark, sf):
-    return K.gross_volume(_mart(spark, sf))
+    return K.gross_volume(_current(spark, sf))
 
 
 @query("kpi_net_volume", O.on_model(f"SELECT {O.NET_VOLUME} AS net_volume_usd FROM mart"))
 def kpi_net_volume(spark, sf):
-    return K.net_volume(_mart(spark, sf))
+    return K.net_volume(_current(spark, sf))
 
 
 @query("kpi_weekly_gross_net", O.on_model(
@@ -174,22 +179,22 @@ def kpi_weekly_gross_net(spark, sf):
 
 @query("kpi_auth_rate", O.on_model(f"SELECT {O.AUTH_RATE} AS auth_rate_pct FROM mart"))
 def kpi_auth_rate(spark, sf):
-    return K.auth_rate(_mart(spark, sf))
+    return K.auth_rate(_current(spark, sf))
 
 
 @query("kpi_settlement_rate", O.on_model(f"SELECT {O.SETTLEMENT_RATE} AS settlement_rate_pct FROM mart"))
 def kpi_settlement_rate(spark, sf):
-    return K.settlement_rate(_mart(spark, sf))
+    return K.settlement_rate(_current(spark, sf))
 
 
 @query("kpi_gross_revenue", O.on_model(f"SELECT {O.GROSS_REVENUE} AS gross_revenue_usd FROM mart"))
 def kpi_gross_revenue(spark, sf):
-    return K.gross_revenue(_mart(spark, sf))
+    return K.gross_revenue(_current(spark, sf))
 
 
 @query("kpi_net_revenue", O.on_model(f"SELECT {O.NET_REVENUE} AS net_revenue_usd FROM mart"))
 def kpi_net_revenue(spark, sf):
-    return K.net_revenue(_mart(spark, sf))
+    return K.net_revenue(_current(spark, sf))
 
 
 def _by(dim: str) -> str:
@@ -229,7 +234,7 @@ def kpi_declines_by_partner(spark, sf):
     f"{O.GROSS_REVENUE} AS gross_revenue_usd, {O.NET_REVENUE} AS net_revenue_usd, "
     "count(*) AS transactions FROM mart"))
 def kpi_headline(spark, sf):
-    return K.headline(_mart(spark, sf))
+    return K.headline(_current(spark, sf))
 
 
 REVENUE_BY_PARTNER_SQL = O.on_model(
@@ -450,7 +455,7 @@ def dq_freshness(spark, sf):
 
 @query("dq_suite", O.on_model(S.suite_sql()))
 def dq_suite(spark, sf):
-    return S.declared_suite(Model.shared(spark, sf))
+    return S.suite_results(Model.shared(spark, sf))
 
 
 def _freshness_rows_sql(name: str, source: str) -> str:
@@ -473,7 +478,7 @@ def dq_severity(spark, sf):
     m = Model.shared(spark, sf)
     fresh = Q.freshness_results({"silver_partner_transactions": m.partner_silver,
                                  "silver_bank_transactions": m.bank_silver}, "updated_at", FRESHNESS_NOW)
-    return Q.severity_rollup(S.declared_suite(m).unionByName(fresh))
+    return Q.severity_rollup(S.suite_results(m).unionByName(fresh))
 
 
 @query("dq_dup_caught", O.with_fixture("""

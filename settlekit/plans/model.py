@@ -56,6 +56,7 @@ class Model:
         self.spark, self.sf_dir = spark, sf_dir
         self.feed = Feed(spark, sf_dir)
         self._materialized = materialized
+        self.suite: DataFrame | None = None  # results of the declared checks, once they ran
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Model":

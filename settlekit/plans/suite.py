@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from settlekit.contracts import BANK_STATES, DECLINE_REASONS, PARTNER_STATES
 from settlekit.operators.quality import Check, ModelChecks, run_checks
-from settlekit.plans.model import Model
+from settlekit.plans.model import Model, materialize
 
 # Which test applies to which model column.
 DECLARED = [
@@ -61,6 +61,13 @@ def declared_suite(m: Model) -> DataFrame:
     return run_checks(model_tables(m), DECLARED)
 
 
+def suite_results(m: Model) -> DataFrame:
+    """The declared suite's results, written once per model (a row per declared check)."""
+    if m.suite is None:
+        m.suite = materialize(declared_suite(m), "declared_checks")
+    return m.suite
+
+
 # DuckDB oracle of each check kind (same semantics, written independently).
 def check_sql(model: str, c: Check) -> str:
     if c.kind == "not_null":
