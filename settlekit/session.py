@@ -77,5 +77,21 @@ def shared_folder(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "settlekit", *parts])
 
 
+_dropped_at_exit: set[str] = set()
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    return shared_folder(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder for intermediate tables; all of an application's are dropped when it ends."""
+    try:
+        base = shared_folder(spark, f"app-{spark.sparkContext.applicationId}")
+    except RuntimeError:
+        raise
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        return shared_folder(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    if base not in _dropped_at_exit:
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _dropped_at_exit.add(base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"

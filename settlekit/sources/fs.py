@@ -15,9 +15,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-def local_path(path: str) -> str | None:
+def local_path(path: str, spark: SparkSession) -> str | None:
+    """The path on local disk, if that is where it lies; without a scheme the session's default store decides."""
     u = urlparse(path)
-    return u.path if u.scheme in ("", "file") else None
+    scheme = u.scheme or urlparse(spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")).scheme
+    return u.path if scheme == "file" else None
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -28,7 +30,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def list_files(spark: SparkSession, root: str, name_glob: str = "*") -> list[str]:
     """All data files below ``root`` (recursively) whose file name matches ``name_glob``."""
-    local = local_path(root)
+    local = local_path(root, spark)
     if local is not None:
         found = _glob.glob(os.path.join(local, "**", name_glob), recursive=True)
         return sorted(f for f in found if os.path.isfile(f) and not os.path.basename(f).startswith(("_", ".")))
@@ -41,8 +43,8 @@ def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     """First line of every file. Local files are opened directly; remote ones
     are read in ONE Spark job: within the split that starts at offset 0, the
     row read first (lowest position) is the file's first line."""
-    out = {p: first_line(spark, p) for p in paths if local_path(p) is not None}
-    remote = [p for p in paths if local_path(p) is None]
+    out = {p: first_line(spark, p) for p in paths if local_path(p, spark) is not None}
+    remote = [p for p in paths if local_path(p, spark) is None]
     if remote:
         lines = (spark.read.text(remote)
                  .select(F.col("_metadata.file_path").alias("path"), "value",
@@ -64,7 +66,7 @@ def _key(path: str) -> tuple[str, str, str]:
 
 
 def first_line(spark: SparkSession, path: str) -> str:
-    local = local_path(path)
+    local = local_path(path, spark)
     if local is not None:
         with open(local, encoding="utf-8", newline="") as fh:
             return fh.readline()

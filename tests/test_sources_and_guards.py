@@ -129,7 +129,7 @@ def test_remote_headers_are_read_in_one_spark_job(spark, tmp_dir, monkeypatch):
     for i in range(3):
         _write(os.path.join(tmp_dir, f"f{i}.csv"), [f"h{i}a,h{i}b", "1,2", "3,4"])
         paths.append("file://" + os.path.join(tmp_dir, f"f{i}.csv"))
-    monkeypatch.setattr(fs, "local_path", lambda p: None)     # take the object-store path
+    monkeypatch.setattr(fs, "local_path", lambda p, spark: None)     # take the object-store path
     assert fs.first_lines(spark, paths) == {p: f"h{i}a,h{i}b" for i, p in enumerate(paths)}
 
 
@@ -185,3 +185,16 @@ def test_jdbc_slices_by_predicates(spark):
     assert back.rdd.getNumPartitions() == 2 and back.count() == src.count()
     with pytest.raises(ValueError, match="bound"):
         snapshot_jdbc(spark, url, "T", "ID")
+
+
+def test_paths_without_a_scheme_belong_to_the_default_store(spark):
+    from settlekit.sources import fs
+
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        assert fs.local_path("/data/x", spark) == "/data/x"
+        conf.set("fs.defaultFS", "hdfs://namenode")
+        assert fs.local_path("/data/x", spark) is None and fs.local_path("file:///data/x", spark) == "/data/x"
+    finally:
+        conf.set("fs.defaultFS", before)
