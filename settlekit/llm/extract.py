@@ -57,7 +57,10 @@ NO_ROLE = frozenset("navigation contentinfo complementary search alert alertdial
 NO_NAME = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs "
     "footer cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related "
-    "recommended comment comments disqus reply replies respond discussion pagination pager toolbar search masthead topbar copyright".split())
+    "recommended comment comments disqus reply replies respond discussion pagination pager toolbar search masthead topbar copyright "
+    "adbox adslot adsense adunit sidenav sidemenu topnav mainnav subnav cookiebar cookiebanner gdpr commentlist usercomments".split())
+#: Of these, the ones that make even an article's element something else.
+NO_ARTICLE_NAME = frozenset("ad ads advert promo sponsored related recommended comment comments reply replies".split())
 NAME_PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
@@ -82,9 +85,11 @@ class Node:
             return True
         if not within and (self.tag == "header" or self.role == "banner"):
             return True
-        if not self.names or self.tag in ("html", "body", "article", "main"):
+        if not self.names or self.tag in ("html", "body", "main"):
             return False
         words = {w.lower() for w in NAME_PART.findall(self.names)}
+        if self.tag == "article":
+            return not words.isdisjoint(NO_ARTICLE_NAME)
         return not words.isdisjoint(NO_NAME) or (not within and "header" in words)
 
 
@@ -322,10 +327,11 @@ def main_parts(root: Node) -> list[Node]:
     def look(node: Node) -> None:
         for c in node.children:
             if isinstance(c, Node):
+                if c.no_article(False):
+                    continue
                 if c.tag in ("article", "main") or c.role in ("main", "article"):
-                    if not c.hidden:
-                        found.append(c)
-                elif not c.no_article(False):
+                    found.append(c)
+                else:
                     look(c)
 
     look(root)

@@ -34,6 +34,12 @@ def test_semantic_parts():
     assert extract.main_text(PAGE, None) == "Head & line\n\nFirst boldtext line\n\nSecond — <p>\n\none\n\ntwo\n\na\n\nb"
 
 
+def test_articles_of_readers_and_sponsors_are_no_article():
+    page = ("<body class=has-sidebar><article class='post has-sidebar'><h2>A</h2><p>Text</p><article class=comment><p>First!</p></article></article>"
+            "<article class='comment reply'><p>Second</p></article><article id=sponsored><p>Buy</p></article><p class=notice>x</p></body>")
+    assert extract.main_text(page, None) == "A\n\nText"
+
+
 def test_constant_slots_are_template_and_varying_ones_content(spark):
     def page(i):
         return (f"<html><body><div class=box>Read more on our great site</div><div class=main><h2>Title {i}</h2><p>Body {i} of the text.</p><p>Shared line.</p></div>"
