@@ -555,6 +555,16 @@ def csv_drop_roundtrip(spark, sf):
     return C.canonicalize(text, "partner_transactions").select(*PARTNER_COLUMNS)
 
 
+@query("csv_drop_roundtrip_bank", O.with_fixture(
+    f"SELECT {_cols(BANK_COLUMNS)} FROM fx_bank_bronze WHERE channel = 'sftp_drop'"))
+def csv_drop_roundtrip_bank(spark, sf):
+    """File channel, bank side: its drops written as CSV and read back by header name."""
+    folder = scratch_folder(spark, "csv-drop-bank")
+    rows = Feed(spark, sf).bank_bronze().filter(F.col("channel") == "sftp_drop").select(*BANK_COLUMNS)
+    CSV.write_csv_drop(rows, folder, "bank_transactions", "20010801_020000000000", tuple(reversed(BANK_COLUMNS)))
+    return C.canonicalize(CSV.read_csv_drops(spark, folder, "bank_transactions"), "bank_transactions").select(*BANK_COLUMNS)
+
+
 _DIGIT_RUN = r"'(^|[^0-9])[0-9]{13,19}([^0-9]|$)'"
 
 

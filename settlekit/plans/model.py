@@ -33,6 +33,7 @@ from settlekit.operators.reconcile import (RECONCILED_COLUMNS, current_latest_no
                                            reconcile, with_fee)
 from settlekit.session import scratch_folder
 from settlekit.sources.bronze import write_bucketed
+from settlekit.sources.fs import fingerprint
 from settlekit.sources.seeds import fee_schedule
 
 
@@ -60,9 +61,9 @@ class Model:
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Model":
-        """One built model per (Spark application, input folder): the warehouse
-        tables that every chart reads, built on first use."""
-        key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir)
+        """One built model per Spark application and state of the input folder: the
+        warehouse tables that every chart reads, built on first use."""
+        key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir, fingerprint(spark, f"{sf_dir}/orders.parquet"))
         with cls._lock:
             if key not in cls._shared:
                 cls._shared[key] = cls(spark, sf_dir)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from settlekit.contracts import TABLE_COLUMNS, TABLE_SCHEMAS, TOPIC_TABLES, text_schema
 from settlekit.functions.columns import iso_text
-from settlekit.fixtures import Feed
+from settlekit.fixtures import Feed, queue_messages
 from settlekit.operators import quality as Q
 from settlekit.operators.canonical import canonicalize, check_messages
 from settlekit.operators.promote import promote
@@ -90,12 +90,7 @@ class DailyPipeline:
         log = f"{self.root}/landing/queue"
         topic_of = {t: topic for topic, t in TOPIC_TABLES.items()}
         for table in TABLES:
-            msgs = _text(self._channel_rows(table, "kafka_drain")).select(
-                F.lit(topic_of[table]).alias("topic"), F.lit(0).alias("partition"),
-                F.xxhash64("transaction_id", "updated_at").alias("offset"),
-                F.col("updated_at").cast("timestamp_ntz").alias("timestamp"), F.lit(0).alias("timestampType"),
-                F.col("transaction_id").alias("key"),
-                F.to_json(F.struct(*TABLE_COLUMNS[table])).alias("value"))
+            msgs = queue_messages(_text(self._channel_rows(table, "kafka_drain")), topic_of[table])
             msgs.write.mode("overwrite").parquet(f"{log}/{table}")
 
         frozen = {topic: TABLE_SCHEMAS[table] for topic, table in TOPIC_TABLES.items()}

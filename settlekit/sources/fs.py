@@ -28,6 +28,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Files, bytes and newest change below a path: differs once its data was written again."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    n = size = newest = 0
+    while found.hasNext():
+        status = found.next()
+        n, size, newest = n + 1, size + status.getLen(), max(newest, status.getModificationTime())
+    return n, size, newest
+
+
 def list_files(spark: SparkSession, root: str, name_glob: str = "*") -> list[str]:
     """All data files below ``root`` (recursively) whose file name matches ``name_glob``."""
     local = local_path(root, spark)
