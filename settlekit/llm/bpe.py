@@ -24,11 +24,16 @@ from pyspark.sql import DataFrame
 #: The split pattern of byte-level BPE vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Marks that the pattern takes as a piece of their own where they follow a letter and end the unit.
+PLAIN_MARKS = frozenset(".,;:!?")
+
 #: Units that a task remembers; beyond it the memory starts anew, results stay the same.
 REMEMBERED = 600_000
 
 #: A space or line end before further white space or the end, or a NUL: such texts are split whole.
 AWKWARD = re.compile(r"[ \n](?=\s|\Z)|\A\s|\0")
+#: What an ASCII text without any of these, and without white space at its ends, has none of.
+ASCII_AWKWARD = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\0")
 
 
 def byte_letters() -> dict[str, int]:
@@ -166,20 +171,33 @@ class PairIndexEncoder:
 
     def units(self, text: str) -> list[str]:
         """The text cut where no piece can go across: before a space and around a line end, if text follows."""
-        if AWKWARD.search(text):
+        if text.isascii() and text and not (text[0].isspace() or text[-1].isspace()):
+            awkward = any(map(text.__contains__, ASCII_AWKWARD))
+        else:
+            awkward = AWKWARD.search(text)
+        if awkward:
             return self.split(text)
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
+    def pieces(self, unit: str) -> list[str]:
+        """The pieces of a unit; words of letters, alone or with one mark after them, without the pattern."""
+        word = unit[1:] if unit[:1] == " " else unit
+        if word.isalpha():
+            return [unit]
+        if word[-1:] in PLAIN_MARKS and word[:-1].isalpha():
+            return [unit[:-1], word[-1]]
+        return self.split(unit)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         if len(self.known) > REMEMBERED:
             self.known = {}
         parts = [self._units(t) for t in texts]
         fresh = list(set().union(*parts) - self.known.keys())
-        pieces = [self.split(u) for u in fresh]
+        pieces = list(map(self.pieces, fresh))
         distinct = list(set().union(*pieces))
         ids = dict(zip(distinct, self.encode_pieces(distinct), strict=True)).__getitem__
-        self.known.update(zip(fresh, (b"".join(map(ids, p)) for p in pieces), strict=True))
+        self.known.update(zip(fresh, (ids(p[0]) if len(p) == 1 else b"".join(map(ids, p)) for p in pieces), strict=True))
         get = self.known.__getitem__
         return [b"".join(map(get, units)) for units in parts]
 
@@ -201,7 +219,7 @@ class PairIndexEncoder:
 
 
 #: Characters that are encoded together, so that a batch of very long texts stays small.
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 4_000_000
 
 
 def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -215,6 +233,11 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def _lists(encoded: list[bytes]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in encoded]))).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(encoded), "<i4")))
+
+
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, token_ids: the ids of every whole text, null text as the empty one.
 
@@ -229,10 +252,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in _chunks(texts):
-                ids = [np.frombuffer(x, "<i4") for x in coder.encode(texts[a:b])]
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                values = pa.array(np.concatenate([*ids, np.empty(0, "<i4")]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(offsets, values)], ["id", "token_ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _lists(coder.encode(texts[a:b]))], ["id", "token_ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, token_ids array<int>").withColumnRenamed("id", id_col)
@@ -269,7 +289,7 @@ def round_trip(docs: DataFrame, vocab_path: str, with_ids: bool = False) -> Data
                            pa.array([hashlib.sha256(x).hexdigest() for x in encoded], pa.string()),
                            pa.array([hashlib.sha256(coder.decode(x).encode()).hexdigest() for x in encoded], pa.string())]
                 if with_ids:
-                    columns.append(pa.array([np.frombuffer(x, "<i4") for x in encoded], pa.list_(pa.int32())))
+                    columns.append(_lists(encoded))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
