@@ -8,25 +8,25 @@ from pyspark.sql import functions as F
 from .common import with_group_min
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root and no root hangs on another node."""
+    ends = edges.select("u", F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    seen = ends.groupBy("u").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return seen.filter((F.col("hangs") > 1) | ((F.col("hangs") > 0) & (F.col("holds") > 0))).isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
     """u, root for every end of a link (columns a, b) but the roots: the smallest node that can be reached.
 
-    Each round links every node with the smallest one that it sees; the rounds end when no edge changes.
-    Neither links nor components are gathered anywhere; every round is checkpointed.
+    Each round links every node with the smallest one that it sees; the rounds end when all edges lead
+    straight to a root. Neither links nor components are gathered anywhere; every round is checkpointed.
     """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
-    state = _state(edges)
-    while state[0]:
+    while not _is_forest_of_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (with_group_min(both, "u", "v", "m").filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
         seen = with_group_min(large, "u", "v", "m")
         edges = (seen.select("u", F.col("m").alias("v")).unionByName(seen.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")))
                  .distinct().checkpoint())
-        if (now := _state(edges)) == state:
-            break
-        state = now
     return edges.select("u", F.col("v").alias("root"))
