@@ -24,7 +24,7 @@ from .common import bounded_sample
 from .quality import HALF, QualityModel, _mixed, calibrate, dual_coordinate_descent, log_count_ratios, shape_of
 
 #: Labelled rows of each domain that the classifier is fitted on, and how many of them calibrate it (one in so many).
-SAMPLE_ROWS, CALIBRATE_EVERY = 2_000, 4
+SAMPLE_ROWS, CALIBRATE_EVERY = 1_000, 4
 SHAPE_ORDER = 3
 #: Added to the shape (below 128) of a word that repeats the one before.
 REPEATED = 128
@@ -33,6 +33,8 @@ MARKED = ".,;:!?\"'()*#$%&|-"
 REMEMBERED = 300_000
 #: Iterations at most, and the miss of a target, as a share of all tokens, that ends them.
 ITERATIONS, TOLERANCE = 60, 1e-7
+#: A plain step that shrinks the miss by less than this share is the last one.
+LEAST_GAIN = 1e-3
 
 #: Domains of the labels table and their share of the tokens.
 TARGETS = {"good": 0.94, "poor": 0.04, "toxic": 0.02}
@@ -212,9 +214,9 @@ def fit_rates(members: DataFrame, shares: list[float], total: float | None = Non
         if scaled:
             newton = gain > 0.1
         elif gain > 0:
-            if gain < 1e-5 and factor <= 1:
+            if gain < LEAST_GAIN:
                 break
-            factor *= 2
+            factor *= 4
         elif factor <= 1:
             break
         else:
