@@ -237,7 +237,8 @@ def near_duplicates(docs: DataFrame, p: MinMax = MinMax()) -> DataFrame:
     firsts = parts.groupBy("digest").agg(F.min("least").alias("id"))
     groups = parts.select("digest", "piece").join(firsts, "digest").checkpoint()
     standing = groups.filter(F.col("piece") == salt("id")).select("id", F.col("digest").alias("d"))
-    keys = (signed.filter(has).join(standing, (F.col("doc_id") == F.col("id")) & (F.col("digest") == F.col("d")))
+    # a row that repeats is one member: the buckets' members are compared by their xor
+    keys = (signed.filter(has).join(standing, (F.col("doc_id") == F.col("id")) & (F.col("digest") == F.col("d"))).dropDuplicates(["id", "d"])
             .select("id", F.explode("bands").alias("key")))
     heads = written(keys.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).filter("head <> last")
                     .select(F.col("key").alias("bucket"), "head"), "minmax-heads")
@@ -273,7 +274,8 @@ def oracle(p: MinMax) -> str:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return rf"""
         WITH RECURSIVE w AS (
-          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^ 	-]+') AS ws FROM documents),
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^ 	-
+]+') AS ws FROM documents),
         s AS MATERIALIZED (
           SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < {p.words} THEN [array_to_string(ws, ' ')]
             ELSE list_transform(range(1, len(ws) - {p.words} + 2), lambda i: array_to_string(ws[i:i + {p.words} - 1], ' ')) END)) AS sh FROM w),

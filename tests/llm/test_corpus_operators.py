@@ -112,6 +112,22 @@ def test_chains_and_large_buckets(spark, monkeypatch):
     assert got == want and len({v[1] for v in want.values()}) < 60
 
 
+def test_repeated_rows_do_not_cancel_out(spark):
+    random.seed(2)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for _ in range(300):
+        text = list(base)
+        for at in random.sample(range(120), random.randrange(1, 8)):
+            text[at] = f"w{random.randrange(10**6)}"
+        texts.append(" ".join(text))
+    rows = list(enumerate(texts))
+    p = minmax.MinMax(3, 85, 6, 32)
+    want = brute(rows, p.words, p.percent)
+    assert result(frame(spark, rows * 2), p) == want and len({v[1] for v in want.values()}) > 1
+    assert {r.copies for r in minmax.near_duplicates(frame(spark, rows * 2), p).collect()} == {2}
+
+
 def test_near_duplicate_edges(spark, edges, nothing):
     p = minmax.MinMax(3, 85, 6, 32)
     rows = {r.doc_id: r for r in minmax.near_duplicates(edges, p).collect()}
