@@ -36,8 +36,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay by their rate, at most 1, so that the domains' tokens come to the target shares."""
-    return mixing.keep_mixed(docs, mixing.label_domains(table(spark, sf_dir, "labels")), most=1.0)
+    """Documents stay by their rate, at most 1: good ones set the total, of which poor and toxic ones are at most their shares."""
+    return mixing.keep_mixed(docs, mixing.label_domains(table(spark, sf_dir, "labels")), most=1.0, keep="good")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

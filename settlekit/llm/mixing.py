@@ -95,6 +95,8 @@ class DomainModel:
 
     domains: list[str]
     models: list[QualityModel]
+    #: Domains with labelled rows.
+    seen: frozenset[str] = frozenset()
 
     def posterior(self, features: np.ndarray) -> np.ndarray:
         if not self.models:
@@ -143,7 +145,7 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DomainMod
         margins = np.array([model.margin(r) for r, h in zip(rows, held, strict=True) if h])
         model.slope, model.offset = calibrate(margins, y[held], (1 - share, share))
         models.append(model)
-    return DomainModel(domains, models)
+    return DomainModel(domains, models, frozenset(counts))
 
 
 def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
@@ -170,11 +172,13 @@ def rate(steps: list[list[float]], most: float | None = None) -> Column:
     return F.aggregate(F.array(*(F.array(*map(F.lit, s)) for s in steps)), F.lit(1.0), lambda r, s: within(r + dot(s)))
 
 
-def fit_rates(members: DataFrame, shares: list[float], total: float | None = None, most: float | None = None) -> list[list[float]]:
+def fit_rates(members: DataFrame, shares: list[float], total: float | None = None, most: float | None = None, keep: int | None = None) -> list[list[float]]:
     """Steps of the projected gradient for ``posteriors`` rows, towards ``shares`` (they are normalised) of ``total`` tokens.
 
     ``total`` defaults to the most tokens that need no domain beyond what there is of it, ``most`` bounds the
-    rates. Targets that cannot be met are met as nearly as the steps get.
+    rates. Targets that cannot be met are met as nearly as the steps get. With ``keep``, a place in ``shares``,
+    the total is that of which this domain's tokens are its share, and the other shares are ceilings: a domain
+    with fewer tokens stays as it is.
     """
     k = len(shares)
     want = np.asarray(shares, float) / sum(shares)
@@ -196,9 +200,12 @@ def fit_rates(members: DataFrame, shares: list[float], total: float | None = Non
     have, gram = totals(steps)
     if not have.sum():
         return steps
-    if total is None:
+    if keep is not None:
+        total = float(have[keep] / want[keep])
+    elif total is None:
         total = float(min(have[i] / want[i] for i in range(k) if want[i] > 0))
-    target, error = want * total, have - want * total
+    target = want * total if keep is None else np.minimum(want * total, have)
+    error = have - target
     # A plain step of this length always descends: the totals move by at most the largest eigenvalue of the whole Gram matrix.
     length = 1.0 / float(np.linalg.eigvalsh(gram)[-1])
     newton, factor = True, 1.0
@@ -230,21 +237,26 @@ def copies(rate_col: str = "rate", key: str = "doc_id") -> Column:
     return (F.floor(rate_col) + (draw < F.col(rate_col) - F.floor(rate_col)).cast("int")).cast("int")
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, total: float | None = None, most: float | None = None) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, total: float | None = None, most: float | None = None,
+        keep: str | None = None) -> DataFrame:
     """doc_id, tokens, posterior, rate, copies of every document: one row per input row.
 
     A document without an id has no draw and stays once. Repeated rows get the same rate and copies. An
-    empty table gives no rows; without labels every posterior is uniform. Only doc_id and text are read.
+    empty table gives no rows; without labels every posterior is uniform. With ``keep``, this domain's tokens set
+    the total and the others' shares are ceilings; without a label of it nothing tells it apart, and every rate
+    is 1. Only doc_id and text are read.
     """
     domains = sorted(targets)
-    members = posteriors(docs, train(docs, labelled, domains)).checkpoint()
-    steps = fit_rates(members, [targets[d] for d in domains], total, most)
+    model = train(docs, labelled, domains)
+    members = posteriors(docs, model).checkpoint()
+    steps = fit_rates(members, [targets[d] for d in domains], total, most, None if keep is None else domains.index(keep)) if keep is None or keep in model.seen else []
     return members.withColumn("rate", rate(steps, most)).withColumn("copies", F.when(F.col("doc_id").isNull(), 1).otherwise(copies()))
 
 
-def keep_mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, total: float | None = None, most: float | None = None) -> DataFrame:
+def keep_mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, total: float | None = None, most: float | None = None,
+               keep: str | None = None) -> DataFrame:
     """The rows of ``docs`` (all their columns), each as often as its copies."""
-    changed = mix(docs, labelled, targets, total, most).filter("copies <> 1").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).distinct()
+    changed = mix(docs, labelled, targets, total, most, keep).filter("copies <> 1").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).distinct()
     dealt = docs.join(changed, docs["doc_id"] == changed["__id"], "left").withColumn("__copies", F.coalesce("__copies", F.lit(1)))
     return dealt.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__copies")))).filter("__copy > 0").select(docs.columns)
 

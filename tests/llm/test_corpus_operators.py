@@ -234,6 +234,32 @@ def test_mixing_edges(spark, edges, nothing):
     assert sum(r.copies for r in rows) == mixing.keep_mixed(edges, labelled).count()
 
 
+@pytest.mark.parametrize("few", [0, 6])
+def test_clean_documents_stay_when_a_domain_is_scarce(spark, few):
+    sf = "/root/testdata/sf0.01"
+    labelled = mixing.label_domains(table(spark, sf, "labels"))
+    toxic = [r.doc_id for r in labelled.filter("domain = 'toxic'").orderBy("doc_id").collect()][few:]
+    docs, labelled = (df.filter(~F.col("doc_id").isin(toxic)) for df in (table(spark, sf, "documents"), labelled))
+    rows = mixing.mix(docs, labelled, most=1.0, keep="good").join(labelled, "doc_id").collect()
+    kept = {d: [r.tokens * r.copies for r in rows if r.domain == d] for d in mixing.TARGETS}
+    assert np.mean([r.copies for r in rows if r.domain == "good"]) > 0.95
+    assert sum(kept["poor"]) < 0.07 * sum(map(sum, kept.values()))
+
+
+def test_kept_domain_sets_the_total(spark):
+    rows = [(i, 100, [0.98, 0.01, 0.01]) for i in range(90)] + [(90 + i, 100, [0.01, 0.98, 0.01]) for i in range(30)] + [(120, 10, [0.01, 0.01, 0.98])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens long, posterior array<double>")
+    steps = mixing.fit_rates(df, [0.94, 0.04, 0.02], most=1.0, keep=0)
+    rates = np.array([r.r for r in df.withColumn("r", mixing.rate(steps, 1.0)).orderBy("doc_id").collect()])
+    assert rates[:90].min() > 0.95 and rates[90:120].max() < 0.2 and rates[120] > 0.9
+
+
+def test_without_a_label_of_the_kept_domain_all_stay(spark, docs):
+    labelled = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, "poor").otherwise("toxic").alias("domain"))
+    for labels in (labelled, labelled.limit(0)):
+        assert mixing.keep_mixed(docs, labels, most=1.0, keep="good").count() == docs.count()
+
+
 # ---- pipeline --------------------------------------------------------------
 def test_pipeline_stages_against_brute_force(spark, sf):
     docs = table(spark, sf, "documents")
