@@ -2,7 +2,8 @@
 
 Pages of one host are aligned by simple tree matching. A wrapper is a tree of
 slots: like-named neighbours share one slot, and a slot keeps on how many pages
-it stands and its commonest texts. Tasks build partial wrappers of the pages they
+it stands and its commonest texts. Across pages the tag decides, names only count
+as a preference where the rest agrees. Tasks build partial wrappers of the pages they
 scan; partial wrappers of a host are small and merge by the same matching, in two
 steps, so a host with a third of all pages is no hot group. Slots whose text is
 the same on nearly all pages are template, varying ones can be content.
@@ -19,6 +20,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -61,6 +63,9 @@ NO_NAME = frozenset(
     "adbox adslot adsense adunit sidenav sidemenu topnav mainnav subnav cookiebar cookiebanner gdpr commentlist usercomments".split())
 #: Of these, the ones that make even an article's element something else.
 NO_ARTICLE_NAME = frozenset("ad ads advert promo sponsored related recommended comment comments reply replies".split())
+#: Elements that stand once on a page, whatever their names.
+ONCE = frozenset(("html", "head", "body", "main"))
+DIGITS = re.compile(r"\d+")
 NAME_PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
@@ -184,7 +189,7 @@ def _fill(slot: Slot, node: Node) -> None:
             if not child.isspace():
                 slot.own.append(child)
             continue
-        label = f"{child.tag}.{child.names.lower()}" if child.names else child.tag
+        label = f"{child.tag} {child.names.lower()}" if child.names else child.tag
         # the next slot of this label, from the place where the last child of this node went
         for i in range(max(place - 1, 0), len(slot.children)):
             if slot.children[i].label == label:
@@ -203,24 +208,45 @@ def _settle(slot: Slot) -> None:
         _settle(c)
 
 
-def matching(a: Slot, b: Slot, memo: dict) -> int:
-    """Simple tree matching: the size of the largest order-keeping match of two trees with one root label."""
-    if a.label != b.label:
+def tag_of(label: str) -> str:
+    return label.partition(" ")[0]
+
+
+@lru_cache(1 << 16)
+def numberless(label: str) -> str:
+    return DIGITS.sub("0", label)
+
+
+def matching(a: Slot, b: Slot, memo: dict) -> float:
+    """Simple tree matching: the size of the largest order-keeping match of two trees with one root label.
+
+    Elements of one tag but other names match at half their size, if they stand once on a page, their names
+    differ by numbers only, they share a text, or half of what is below them matches.
+    """
+    same = a.label == b.label
+    if not same and tag_of(a.label) != tag_of(b.label):
         return 0
     key = (id(a), id(b))
     if key not in memo:
-        memo[key] = 1 + (_table(a.children, b.children, memo)[-1][-1] if a.children and b.children and len(a.children) * len(b.children) <= MAX_TABLE else 0)
+        below = _table(a.children, b.children, memo)[-1][-1] if a.children and b.children and len(a.children) * len(b.children) <= MAX_TABLE else 0
+        if same:
+            memo[key] = 1 + below
+        else:
+            alike = (tag_of(a.label) in ONCE or numberless(a.label) == numberless(b.label) or not a.texts.keys().isdisjoint(b.texts)
+                     or (below > 0 and 2 * below >= max(len(a.children), len(b.children))))
+            memo[key] = (1 + below) / 2 if alike else 0
     return memo[key]
 
 
-def _table(xs: list[Slot], ys: list[Slot], memo: dict) -> list[list[int]]:
+def _table(xs: list[Slot], ys: list[Slot], memo: dict) -> list[list[float]]:
     rows = [[0] * (len(ys) + 1)]
     for x in xs:
         above, row = rows[-1], [0]
         for j, y in enumerate(ys):
             best = max(above[j + 1], row[j])
-            if x.label == y.label:
-                best = max(best, above[j] + matching(x, y, memo))
+            match = matching(x, y, memo)
+            if match:
+                best = max(best, above[j] + match)
             row.append(best)
         rows.append(row)
     return rows
@@ -235,9 +261,9 @@ def aligned(a: Slot, b: Slot, memo: dict) -> list[tuple[int, int]]:
         pairs, j = [], 0
         places: dict[str, list[int]] = {}
         for k, y in enumerate(ys):
-            places.setdefault(y.label, []).append(k)
+            places.setdefault(numberless(y.label), []).append(k)
         for i, x in enumerate(xs):
-            later = next((k for k in places.get(x.label, ()) if k >= j), None)
+            later = next((k for k in places.get(numberless(x.label), ()) if k >= j), None)
             if later is not None:
                 pairs.append((i, later))
                 j = later + 1

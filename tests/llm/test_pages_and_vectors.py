@@ -50,6 +50,30 @@ def test_constant_slots_are_template_and_varying_ones_content(spark):
     assert got[100] == "Read more on our great site\n\nTitle 1\n\nBody 1 of the text.\n\nShared line.\n\nAll rights kept"  # copies of one page show no template
 
 
+def texts_of(spark, pages, host="c.example"):
+    rows = [(i, f"http://{host}/{i}", p) for i, p in enumerate(pages)]
+    return [r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_names_that_differ_on_each_page_hide_no_template(spark):
+    slugs = "alpha beta gamma delta omega kappa sigma lambda theta zeta iota rho".split()
+
+    def page(i):
+        return (f"<html><body class='single postid-{i} about-{slugs[i]}'><div class='{slugs[i]}' id='wrap-{slugs[i]}'><div class=box>Read more on our great site</div>"
+                f"<article id='post-{i}' class='post tag-{slugs[i]}'><h2>Title {slugs[i]}</h2><p class=by>Written for our readers</p><p>Body {i} of the text.</p></article>"
+                f"<p>All rights kept</p></div></body></html>")
+
+    assert texts_of(spark, map(page, range(12))) == [f"Title {slugs[i]}\n\nBody {i} of the text." for i in range(12)]
+    plain = [page(i).replace("article", "div") for i in range(12)]
+    assert texts_of(spark, plain) == [f"Title {slugs[i]}\n\nBody {i} of the text." for i in range(12)]
+
+
+def test_other_names_keep_their_own_slots():
+    a, b = (extract.slots_of(extract.parse(f"<body>{x}<div class=main><p>{t}</p></div></body>")) for x, t in (("<div class=box>One</div>", "x"), ("", "y")))
+    extract.merge(a, b)
+    assert [(c.label, c.pages) for c in a.children[0].children] == [("div box", 1), ("div main", 2)]
+
+
 def test_wrapper_merge_is_the_same_in_any_split():
     pages = [f"<body><nav>Menu</nav>{'<div>x</div>' * (i % 3)}<p>text {i}</p><footer>End</footer></body>" for i in range(20)]
     one = [extract.Wrapper(extract.slots_of(extract.parse(p)), [extract.text_key(p)]) for p in pages]
