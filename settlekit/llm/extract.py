@@ -63,6 +63,11 @@ NO_NAME = frozenset(
     "adbox adslot adsense adunit sidenav sidemenu topnav mainnav subnav cookiebar cookiebanner gdpr commentlist usercomments".split())
 #: Of these, the ones that make even an article's element something else.
 NO_ARTICLE_NAME = frozenset("ad ads advert promo sponsored related recommended comment comments reply replies".split())
+#: Within an article, a class of one of these words, and of these beside it, is an advert or a comment list.
+UNMISTAKABLE = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored adbox adslot adsense adunit comment comments commentlist usercomments disqus reply replies".split())
+BESIDE = frozenset("slot box unit container wrapper wrap area block list section thread inline top bottom middle left right small large google user reader item body form".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that stand once on a page, whatever their names.
 ONCE = frozenset(("html", "head", "body", "main"))
 DIGITS = re.compile(r"\d+")
@@ -70,32 +75,52 @@ NAME_PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "names", "role", "hidden", "children")
+    __slots__ = ("tag", "names", "classes", "ids", "role", "hidden", "children")
 
     def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.names, self.role, self.hidden, self.children = tag, "", "", False, []
+        self.tag, self.names, self.classes, self.ids, self.role, self.hidden, self.children = tag, "", "", "", "", False, []
         if attributes and attributes != "/":
             for name, a, b, c in ATTRIBUTE.findall(attributes):
                 value, name = (a or b or c).strip().lower() if name.lower() not in ("class", "id") else (a or b or c).strip(), name.lower()
                 if name in ("class", "id"):
                     self.names = f"{self.names} {value}".strip()
+                    if name == "class":
+                        self.classes = f"{self.classes} {value}".strip()
+                    else:
+                        self.ids = f"{self.ids} {value}".strip()
                 elif name == "role":
                     self.role = value
                 elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
                     self.hidden = True
 
     def no_article(self, within: bool) -> bool:
-        """Whether it is something other than an article by its kind or name; ``within``: inside an article's element."""
+        """Whether it is something other than an article by its kind or name; ``within``: inside an article's element.
+
+        No heading is, by its name. An article's id counts if it is one word. Within an article only classes count, and
+        only those of adverts and comment lists, or on lists of links.
+        """
         if self.tag in NO_TEXT or self.hidden or self.role in NO_ROLE:
             return True
         if not within and (self.tag == "header" or self.role == "banner"):
             return True
-        if not self.names or self.tag in ("html", "body", "main"):
+        if not self.names or self.tag in ("html", "body", "main") or self.tag in HEADINGS:
             return False
-        words = {w.lower() for w in NAME_PART.findall(self.names)}
         if self.tag == "article":
-            return not words.isdisjoint(NO_ARTICLE_NAME)
-        return not words.isdisjoint(NO_NAME) or (not within and "header" in words)
+            words = words_of(self.classes)
+            slug = words_of(self.ids)
+            return not (words | slug if len(slug) == 1 else words).isdisjoint(NO_ARTICLE_NAME)
+        if within:
+            for token in self.classes.split():
+                words = words_of(token)
+                if not words.isdisjoint(UNMISTAKABLE) and words <= UNMISTAKABLE | BESIDE:
+                    return True
+            return not words_of(self.classes).isdisjoint(NO_NAME) and mostly_links(self)
+        words = words_of(self.names)
+        return not words.isdisjoint(NO_NAME) or "header" in words
+
+
+def words_of(names: str) -> set[str]:
+    return {w.lower() for w in NAME_PART.findall(names)}
 
 
 def parse(page: str) -> Node:
@@ -376,6 +401,11 @@ def _chars(node: Node, in_link: bool = False) -> tuple[int, int]:
     return total, linked
 
 
+def mostly_links(node: Node) -> bool:
+    total, linked = _chars(node, node.tag == "a")
+    return linked > 0.6 * total
+
+
 def blocks(root: Node, template: set[int]) -> list[str]:
     """Texts of the main part's blocks in page order."""
     out: list[str] = []
@@ -402,8 +432,7 @@ def blocks(root: Node, template: set[int]) -> list[str]:
             if c.no_article(within):
                 continue
             if c.tag in ("ul", "ol", "table") and not within:
-                total, linked = _chars(c)
-                if linked > 0.6 * total:  # a list of links
+                if mostly_links(c):
                     continue
             if c.tag in INLINE:
                 walk(c, within)

@@ -40,6 +40,13 @@ def test_articles_of_readers_and_sponsors_are_no_article():
     assert extract.main_text(page, None) == "A\n\nText"
 
 
+def test_article_text_with_names_of_other_things_stays():
+    page = ("<body><article id=how-to-comment class=post><h2 id=related-work>Related</h2><section id=discussion><p>Talk</p></section><h2 id='search-results'>Found</h2>"
+            "<h3 class=banner>Head</h3><div class=menu-du-jour><p>Soup</p></div><p class=ad-hoc>Plan</p><div class='ad-slot x'>Buy</div><ol class=comment-list><li>First!</ol>"
+            "<div class=related><a href=/a>Other</a> <a href=/b>More</a></div></article></body>")
+    assert extract.main_text(page, None) == "Related\n\nTalk\n\nFound\n\nHead\n\nSoup\n\nPlan"
+
+
 def test_constant_slots_are_template_and_varying_ones_content(spark):
     def page(i):
         return (f"<html><body><div class=box>Read more on our great site</div><div class=main><h2>Title {i}</h2><p>Body {i} of the text.</p><p>Shared line.</p></div>"
