@@ -30,8 +30,10 @@ from .common import salt
 
 #: A slot is template if it stands on this share of the host's pages, with one text on this share of those ...
 TEMPLATE_PAGES, TEMPLATE_TEXT = 0.5, 0.9
-#: ... and the host has at least so many different pages.
+#: ... and the host has at least so many different pages. On fewer it is if it has one text on all of them, while others vary.
 MIN_PAGES = 8
+#: A page of such a host stays whole if less than this share of its text would.
+LEAST_LEFT = 0.1
 #: Texts counted per slot (the rest cancel out, as in Misra and Gries), page digests kept to tell pages apart.
 TEXTS_A_SLOT, DIGESTS = 8, 32
 #: A wrapper beyond so many slots forgets those on less than a tenth of its pages.
@@ -358,14 +360,21 @@ class Wrapper:
     def template(self, page: Slot) -> set[int]:
         """ids of the page's nodes whose own text is template."""
         found: set[int] = set()
-        if len(self.digests) >= MIN_PAGES:
+        if len(self.digests) >= MIN_PAGES or (self.few() and self._varies(self.slots)):
             self._template(self.slots, page, found, {})
         return found
 
+    def few(self) -> bool:
+        return 1 < len(self.digests) < MIN_PAGES
+
+    def _varies(self, slot: Slot) -> bool:
+        return len(slot.texts) > 1 or any(map(self._varies, slot.children))
+
     def _template(self, slot: Slot, page: Slot, found: set[int], memo: dict) -> None:
-        if slot.texts and page.texts and slot.pages >= TEMPLATE_PAGES * self.slots.pages:
+        pages_share, text_share = (1, 1) if self.few() else (TEMPLATE_PAGES, TEMPLATE_TEXT)
+        if slot.texts and page.texts and slot.pages >= pages_share * self.slots.pages:
             (key,) = page.texts
-            if slot.texts.get(key, 0) >= TEMPLATE_TEXT * slot.pages:
+            if slot.texts.get(key, 0) >= text_share * slot.pages:
                 found.update(map(id, page.nodes))
         for i, j in aligned(slot, page, memo):
             self._template(slot.children[i], page.children[j], found, memo)
@@ -449,7 +458,12 @@ def blocks(root: Node, template: set[int]) -> list[str]:
 
 def main_text(page: str, wrapper: Wrapper | None) -> str:
     root = parse(page)
-    return "\n\n".join(blocks(root, wrapper.template(slots_of(root)) if wrapper else set()))
+    template = wrapper.template(slots_of(root)) if wrapper else set()
+    text = "\n\n".join(blocks(root, template))
+    if template and wrapper.few():  # copies of one page that differ in a date or a counter
+        whole = "\n\n".join(blocks(root, set()))
+        return text if len(text) >= LEAST_LEFT * len(whole) else whole
+    return text
 
 
 def host(url_col: str = "url"):
@@ -495,8 +509,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page: the main text of the whole html, one row per input row.
 
     Blocks are joined by an empty line; white space in a block is one space. Null or empty html, or a page
-    without an article, gives the empty text. Pages whose url has no host are read without a wrapper, as are
-    those of hosts with fewer than ``MIN_PAGES`` different pages. Only page_id, url and html are read.
+    without an article, gives the empty text. Pages whose url has no host are read without a wrapper, and
+    a host with one page, or copies of one, shows no template. On hosts with fewer than ``MIN_PAGES`` different
+    pages a text is template if it stands on all of them. Only page_id, url and html are read.
     """
     wrappers = induce(pages).checkpoint()
     dealt = wrappers.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1)))).withColumnRenamed("host", "of").withColumnRenamed("piece", "share")

@@ -62,6 +62,21 @@ def texts_of(spark, pages, host="c.example"):
     return [r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
 
 
+def test_hosts_with_few_pages_show_template(spark):
+    def page(i):
+        return (f"<html><body><div class=box>Read more on our great site</div><div class=main><h2>Title {i}</h2><p>Body {i} of the text.</p></div>"
+                f"{'<div>On two pages</div>' if i < 2 else ''}<div class=end>All rights kept</div></body></html>")
+    two = "\n\nOn two pages"
+    rows = [(100 * n + i, f"http://h{n}.example/{i}", page(i)) for n in (2, 3, 7) for i in range(n)]
+    rows += [(900 + i, "http://copies.example/", "<body><p>" + "The one article here. " * 20 + f"</p><i>{i}</i></body>") for i in range(2)] + [(990, "http://one.example/", page(5))]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in (2, 3, 7):
+        for i in range(n):
+            assert got[100 * n + i] == f"Title {i}\n\nBody {i} of the text." + (two if i < 2 < n else "")
+    assert got[900].startswith("The one article here.")
+    assert got[990] == "Read more on our great site\n\nTitle 5\n\nBody 5 of the text.\n\nAll rights kept"
+
+
 def test_names_that_differ_on_each_page_hide_no_template(spark):
     slugs = "alpha beta gamma delta omega kappa sigma lambda theta zeta iota rho".split()
 
