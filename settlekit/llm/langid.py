@@ -3,7 +3,9 @@
 For each language, text of a bounded sample of labelled rows becomes a
 zstandard raw-content dictionary. A text is encoded with every dictionary; the
 language whose encoding is smallest is chosen, and the text is rejected when
-the runner-up comes within ``min_margin`` bytes. The dictionaries are a
+the runner-up comes within a margin that grows with the encoded length (a share
+of it, calibrated on labelled rows that are in no dictionary), or twice that if
+the encoding is no smaller than one without a dictionary. The dictionaries are a
 fraction of a MB each and travel with the task; there is no shuffle.
 """
 
@@ -25,11 +27,17 @@ UNKNOWN = "und"
 
 #: Bounds of the sample that a dictionary is made of, per language.
 SAMPLE_ROWS = 400
+#: Further rows of each language that the margin is calibrated on, and how many are needed for it.
+CALIBRATION_ROWS, MIN_CALIBRATION = 100, 50
 SAMPLE_CHARS = 1_000
 DICTIONARY_BYTES = 200_000
 LEVEL = 3
-#: Bytes by which the runner-up must be longer; a tie is narrow.
+#: Bytes by which the runner-up must be longer at any length; a tie is narrow.
 MIN_MARGIN = 1
+#: Share of the encoded length by which it must be longer: this part of the share that all but ``LOW`` of the calibration
+#: rows reach, or ``MARGIN_SHARE`` without enough of them. The length counts up to ``LONG`` bytes, as a long text
+#: comes to be encoded from itself.
+PART_OF_LOW, LOW, MARGIN_SHARE, LONG = 0.4, 0.02, 0.03, 2_000
 #: Nats that a byte of difference is worth in the score.
 NATS_A_BYTE = 0.5
 
@@ -48,6 +56,7 @@ class LanguageModel:
     """A dictionary for each language, the most frequent language first."""
 
     dictionaries: dict[str, bytes]
+    margin_share: float = MARGIN_SHARE
 
     def compressors(self) -> dict[str, zstandard.ZstdCompressor]:
         plain = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
@@ -55,50 +64,80 @@ class LanguageModel:
                 for lang, d in self.dictionaries.items()}
 
 
-def decide(text: str | None, compressors: dict[str, zstandard.ZstdCompressor]) -> tuple[str, float, int]:
-    """Language, score and margin in bytes (ties go to the more frequent language)."""
+def plain() -> zstandard.ZstdCompressor:
+    """The encoding without a dictionary."""
+    return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+
+def decide(text: str | None, compressors: dict[str, zstandard.ZstdCompressor], bare: zstandard.ZstdCompressor, share: float) -> tuple[str, float, int, bool]:
+    """Language, score, margin in bytes (ties go to the more frequent language) and whether it is rejected."""
     form = normal_form(text or "")
     if not form or not compressors:
-        return UNKNOWN, 0.0, 0
+        return UNKNOWN, 0.0, 0, True
     sizes = [len(c.compress(form)) for c in compressors.values()]
     best = min(sizes)
     lang = list(compressors)[sizes.index(best)]
     rest = sorted(sizes)[1:]
     score = 1.0 / math.fsum([1.0, *(math.exp(-NATS_A_BYTE * min(s - best, 1000)) for s in rest)])
-    return lang, score, rest[0] - best if rest else len(form)
+    margin = rest[0] - best if rest else len(form)
+    need = max(MIN_MARGIN, share * min(best, LONG))
+    # the bare encoding is only asked where it decides
+    rejected = margin < need or (margin < 2 * share * min(best, LONG) and best >= len(bare.compress(form)))
+    return lang, score, margin, rejected
+
+
+def margin_share(rows: list[tuple[str, str]], compressors: dict[str, zstandard.ZstdCompressor]) -> float:
+    """The share of the encoded length that is narrow, from labelled (lang, text) rows that are in no dictionary."""
+    shares = []
+    for lang, text in rows:
+        form = normal_form(text)
+        if form and lang in compressors and len(compressors) > 1:
+            sizes = {k: len(c.compress(form)) for k, c in compressors.items()}
+            own = sizes.pop(lang)
+            if own < min(sizes.values()):
+                shares.append((min(sizes.values()) - own) / min(own, LONG))
+    return PART_OF_LOW * sorted(shares)[int(LOW * len(shares))] if len(shares) >= MIN_CALIBRATION else MARGIN_SHARE
 
 
 def train(labelled: DataFrame, key: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Dictionaries from the rows with a text and a language, a bounded sample of each (``SAMPLE_*``).
 
-    Without such rows there is no language, and everything is ``und``.
+    The margin is calibrated on rows beyond those. Without such rows there is no language, and everything is ``und``.
     """
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(key).alias("key"), F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
     parts: dict[str, list[bytes]] = {}
-    sample, frequent = bounded_sample(rows, "lang", "key", SAMPLE_ROWS)
+    sample, frequent = bounded_sample(rows, "lang", "key", SAMPLE_ROWS + CALIBRATION_ROWS)
+    taken: dict[str, int] = {}
+    further = []
     for r in sample:
+        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
+        if taken[r["lang"]] > SAMPLE_ROWS:
+            further.append((r["lang"], r["text"]))
+            continue
         form = normal_form(r["text"])
         if form and form not in parts.setdefault(r["lang"], []):
             parts[r["lang"]].append(form)
     order = sorted(parts, key=lambda k: (-frequent[k], k))
-    return LanguageModel({k: b"".join(parts[k])[:DICTIONARY_BYTES] for k in order if parts[k]})
+    model = LanguageModel({k: b"".join(parts[k])[:DICTIONARY_BYTES] for k in order if parts[k]})
+    model.margin_share = margin_share(further, model.compressors())
+    return model
 
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key, lang_pred, score, margin, rejected of every whole text.
 
     ``und`` (score 0, rejected) if the text is null or has no letter. Rejected too
-    if the two smallest encodings differ by less than ``MIN_MARGIN`` bytes. One row
-    per input row, repeated ones included; only the key and the text are read.
+    if the two smallest encodings differ by less than the model's share of the smallest (``MIN_MARGIN`` bytes at
+    least), or by less than twice that where no dictionary helps. One row per input row, repeated ones included; only the key and the text are read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = model.compressors()
+        compressors, bare = model.compressors(), plain()
         for batch in batches:
-            found = [decide(t.as_py(), compressors) for t in batch.column(1)]
+            found = [decide(t.as_py(), compressors, bare, model.margin_share) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
-                 pa.array([f[2] for f in found], pa.int64()), pa.array([f[0] == UNKNOWN or f[2] < MIN_MARGIN for f in found], pa.bool_())],
+                 pa.array([f[2] for f in found], pa.int64()), pa.array([f[3] for f in found], pa.bool_())],
                 ["key", "lang_pred", "score", "margin", "rejected"])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -111,11 +150,11 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text
     at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = model.compressors()
+        compressors, bare = model.compressors(), plain()
         for batch in batches:
-            found = [decide(t.as_py(), compressors) for t in batch.column(at)]
+            found = [decide(t.as_py(), compressors, bare, model.margin_share) for t in batch.column(at)]
             batch = batch.set_column(lang_at, batch.schema.field(lang_at).name, pa.array([f[0] for f in found], pa.string()))
-            yield batch.filter(pa.array([f[0] != UNKNOWN and f[2] >= MIN_MARGIN for f in found], pa.bool_()))
+            yield batch.filter(pa.array([not f[3] for f in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
