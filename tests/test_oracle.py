@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from settlekit.plans import catalog
 from tools.check_oracle import duck, rows_key
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 CORE = ["promote_latest", "reconcile", "fct_transactions", "fct_current_argmax", "fct_current_row",
         "dim_date", "mart_transactions", "kpi_volume_by_day", "kpi_headline", "revenue_by_partner",

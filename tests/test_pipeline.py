@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from settlekit.plans.pipeline import DailyPipeline, PipelineFailed, read_gold, run_pipeline
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 NOW = "2001-08-03 06:00:00"
 

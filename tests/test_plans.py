@@ -15,7 +15,7 @@ from settlekit.operators.reconcile import current_latest_nonnull, reconcile
 from settlekit.plans.model import Model
 from settlekit.sources import bronze as B
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def plan(df, mode="simple") -> str:

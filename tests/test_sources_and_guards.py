@@ -17,7 +17,7 @@ from settlekit.sources import bronze as B
 from settlekit.sources import csv_drop as CSV
 from settlekit.sources.jdbc import snapshot_jdbc, write_jdbc
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 HEADER = ",".join(PARTNER_COLUMNS)
 ROW = ("txn-1,partner_acme,bank_chase,1234,USD,settled,,2024-01-01T00:00:00,2024-01-01T00:00:01,"

@@ -8,7 +8,7 @@ from settlekit.streaming import drain as DR
 from settlekit.streaming import messages as MSG
 from settlekit.streaming import upsert as UP
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _events(spark):
