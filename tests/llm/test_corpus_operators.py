@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from settlekit.llm import components, digest_index, minmax, mixing
 from settlekit.llm.common import table
-from tests.llm.conftest import EDGES, frame
+from edge_rows import EDGES, frame
 
 
 # ---- op4 -------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from settlekit.llm import bpe, credentials, langid, quality
 from settlekit.llm.queries import BYTE_BPE
-from tests.llm.conftest import EDGES, frame
+from edge_rows import EDGES, frame
 
 
 # ---- op1 -------------------------------------------------------------------
