@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, credentials, digest_index, extract, knn, langid, minmax, mixing, quality, warc
+from . import bpe, credentials, digest_index, extract, knn, langid, merkle, minmax, mixing, quality, warc
 from .common import crc_bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,6 +63,10 @@ def op10_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.voronoi_top_k(data.filter(F.col("vec_id") % 50 == 0), data)
 
 
+def op11_path_copying_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nbsvm_quality": op1_nbsvm_quality,
     "op2_wrapper_extraction": op2_wrapper_extraction,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pair_index_bpe": op8_pair_index_bpe,
     "op9_credential_linking": op9_credential_linking,
     "op10_voronoi_top_k": op10_voronoi_top_k,
+    "op11_path_copying_manifest": op11_path_copying_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -109,4 +114,5 @@ ORACLE: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         WHERE rank <= 5
     """,
+    "op11_path_copying_manifest": merkle.oracle(),
 }
