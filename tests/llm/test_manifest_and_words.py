@@ -5,8 +5,10 @@ from hashlib import sha256
 
 import pytest
 from edge_rows import EDGES, frame
+from pyspark.sql import functions as F
 
-from settlekit.llm import merkle
+from settlekit.llm import chat, merkle
+from settlekit.llm.queries import BYTE_BPE
 
 
 # ---- op11 ------------------------------------------------------------------
@@ -97,3 +99,76 @@ def test_a_version_copies_only_ancestors(spark, docs):
     root, copied = tree.changed(12, b"x" * 32)
     assert tree.digest[:n] == before and len(tree.digest) == n + 5 == n + len(copied) and root == copied[-1]
     assert tree.changed(12, bytes([12]) * 32)[0] != root and tree.digest[-1] == tree.digest[tree.root]  # the first version again
+
+
+# ---- op13 ------------------------------------------------------------------
+CONV = "conv_id long, turn long, role string, text string"
+
+ODD_TURNS = ["", "\\", "\\\\", "###", "\\###", "</turn>", "\\</turn>", "\n", "\n\n</turn>\n### assistant:\nx", "#" * 7, "</turn</turn>", "é😀 ünï\u0000 ﻿",
+             "<|endoftext|>", " leading and trailing \n", "😀" * 50, "\\" * 1001 + "</turn>", "x" * 100_000, "word " * 20_000, chat.TRICKY, "</tur", "n>"]
+
+
+def plain_chat(rows):
+    """What the contract asks of the rows, without formatting; by conversation."""
+    convs = {}
+    for conv, turn, role, text in rows:
+        convs.setdefault(conv, []).append(((turn is not None, turn or 0), (role is not None, role or ""), (text is not None, text or "")))
+    out = {}
+    for conv, turns in convs.items():
+        turns = [(r[1], t[1]) for _, r, t in sorted(turns)]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        said = "".join(f"{r}\n{t}\n" for r, t in turns)
+        out[conv] = (len(turns), sha256(said.encode()).hexdigest(), len(loss), sha256(loss.encode()).hexdigest())
+    return out
+
+
+def chat_rows(df):
+    return chat.format_conversations(df, BYTE_BPE)
+
+
+def test_chat_reads_back_odd_turns(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(ODD_TURNS)]
+    rows += [(2, i, "user" if i % 2 else "assistant", t) for i, t in enumerate(reversed(ODD_TURNS))]
+    rows += [(3, 0, "assistant", None), (3, None, None, "no turn"), (3, 0, "a:\n\\###</turn>", "role"), (None, 0, "assistant", "no id"), (4, 1, "user", "tie"),
+             (4, 1, "assistant", "tie"), (4, 1, "assistant", "tie")]
+    rows += [(5 + i, 0, "assistant", t) for i, t in enumerate(ODD_TURNS)]
+    df = spark.createDataFrame(rows, CONV)
+    formatted = chat_rows(df).cache()
+    found = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat.read_back(formatted).collect()}
+    assert found == plain_chat(rows)
+    for r in formatted.collect():
+        assert len(r["input_ids"]) == len(r["token_start"]) == len(r["token_end"]) == len(r["loss_mask"])
+        spans = [s for s in zip(r["turn_start"], r["turn_end"], r["turn_learned"], strict=True) if s[2]]
+        tokens = list(zip(r["token_start"], r["token_end"], r["loss_mask"], strict=True))
+        for a, b, m in tokens if len(tokens) < 2_000 else tokens[:500]:
+            assert m == any(a < y and x < b for x, y, _ in spans)
+    formatted.unpersist()
+
+
+def test_chat_tokens_are_those_of_the_whole_text(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(BYTE_BPE)
+    t.encode_special_tokens = True
+    rows = [(1, 0, "user", "What is <|endoftext|>?"), (1, 1, "assistant", "A name.")]
+    (r,) = chat_rows(spark.createDataFrame(rows, CONV).withColumn("formatted", F.lit(1)).withColumn("turns", F.lit(2))).collect()
+    assert r["formatted"] == "### user:\nWhat is <|endoftext|>?\n</turn>\n### assistant:\nA name.\n</turn>\n"
+    assert r["input_ids"] == t.encode(r["formatted"], add_special_tokens=False).ids and 50256 not in r["input_ids"]
+    assert t.decode([i for i, m in zip(r["input_ids"], r["loss_mask"], strict=True) if m]) == "A name."
+
+
+def test_chat_of_nothing_and_of_the_table(spark, sf):
+    assert chat.read_back(chat_rows(spark.createDataFrame([], CONV))).collect() == []
+    table = chat.with_tricky(spark.read.parquet(f"{sf}/conversations.parquet"))
+    rows = [tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()]
+    found = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat.read_back(chat_rows(table)).collect()}
+    assert found == plain_chat(rows) and -7 in found
+
+
+def test_chat_parse_is_linear_and_refuses_other_text():
+    long = "\\" * 1_000_000 + "</turn>" * 50_000
+    assert chat.parse(chat.render([("user", long), ("assistant", "ok")])[0]) == [("user", long), ("assistant", "ok")]
+    with pytest.raises(ValueError):
+        chat.parse("hello")
+    with pytest.raises(ValueError):
+        chat.parse("### user:\nno end")
