@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, credentials, digest_index, extract, knn, langid, merkle, minmax, mixing, quality, warc
+from . import bpe, chat, credentials, digest_index, extract, knn, langid, merkle, minmax, mixing, quality, variants, warc
 from .common import crc_bucket, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,6 +67,10 @@ def op11_path_copying_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(table(spark, sf_dir, "documents"))
 
 
+def op12_kd_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_offset_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(chat.with_tricky(table(spark, sf_dir, "conversations")), BYTE_BPE))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_credential_linking": op9_credential_linking,
     "op10_voronoi_top_k": op10_voronoi_top_k,
     "op11_path_copying_manifest": op11_path_copying_manifest,
+    "op12_kd_variants": op12_kd_variants,
     "op13_offset_masks": op13_offset_masks,
 }
 
@@ -120,5 +125,6 @@ ORACLE: dict[str, str] = {
         WHERE rank <= 5
     """,
     "op11_path_copying_manifest": merkle.oracle(),
+    "op12_kd_variants": variants.oracle(),
     "op13_offset_masks": chat.oracle(),
 }

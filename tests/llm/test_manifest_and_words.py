@@ -1,13 +1,17 @@
 """Merkle manifest, spelling variants and chat formatting against plain forms of the same contracts."""
 
+import itertools
+import random
+import re
 import zlib
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from edge_rows import EDGES, frame
 from pyspark.sql import functions as F
 
-from settlekit.llm import chat, merkle
+from settlekit.llm import chat, merkle, variants
 from settlekit.llm.queries import BYTE_BPE
 
 
@@ -172,3 +176,92 @@ def test_chat_parse_is_linear_and_refuses_other_text():
         chat.parse("hello")
     with pytest.raises(ValueError):
         chat.parse("### user:\nno end")
+
+
+# ---- op12 ------------------------------------------------------------------
+def plain_words(rows):
+    """word -> n for (doc_id, text) rows."""
+    counts = {}
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if h % 97 == 0:
+                word = word[:h % len(word)] + word[h % len(word) + 1:]
+            counts[word] = counts.get(word, 0) + 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def is_near(u, v):
+    if len(u) > len(v):
+        u, v = v, u
+    if len(u) == len(v):
+        return sum(a != b for a, b in zip(u, v, strict=True)) == 1
+    return len(v) == len(u) + 1 and any(v[:i] + v[i + 1:] == u for i in range(len(v)))
+
+
+def plain_variants(counts):
+    near = {w: [v for v in counts if abs(len(v) - len(w)) <= 1 and is_near(w, v)] for w in counts}
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= 2 * counts[w] else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), counts[form[w]] if form[w] else None))
+    return out
+
+
+def variant_rows(df):
+    return [tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect()]
+
+
+@pytest.mark.parametrize("cell", [4, 64, 8192])
+def test_variants_of_made_words(spark, cell):
+    rng = random.Random(cell)
+    counts = {}
+    for _ in range(60):
+        word = "".join(rng.choice("abcdeé×Ä") for _ in range(rng.randint(5, 9)))
+        for _ in range(12):
+            counts[word] = rng.choice([3, 3, 4, 6, 8, 16, 40, 100])
+            at, kind = rng.randrange(len(word)), rng.randrange(3)
+            word = word[:at] + ("" if kind == 0 else rng.choice("abcdeéÿ")) + word[at + (kind != 2):]
+            if len(word) < 5:
+                break
+    counts |= {"".join(p): 3 + i % 5 for i, p in enumerate(itertools.permutations("abcdef"))}  # one vector for 720 words
+    counts |= {"abcdeg": 50, "abcde": 9, "x" * 300: 3, "x" * 299: 6, "x" * 200 + "y" + "x" * 99: 4, "y" * 130 + "x" * 170: 3}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert in_any_order(variant_rows(variants.group(df, cell=cell, sample=500))) == in_any_order(plain_variants(counts))
+
+
+def test_variants_of_documents_edges_and_nothing(spark, docs, edges, nothing):
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").limit(60).collect()]
+    found = variants.spelling_variants(docs.join(spark.createDataFrame([(r[0],) for r in rows], "doc_id long"), "doc_id"))
+    assert in_any_order(variant_rows(found)) == in_any_order(plain_variants(plain_words(rows)))
+    assert in_any_order(variant_rows(variants.spelling_variants(edges))) == in_any_order(plain_variants(plain_words(EDGES)))
+    assert variants.spelling_variants(nothing).collect() == []
+
+
+def test_variants_follow_long_chains(spark):
+    steps = [("aaaaa" + "b" * i, 3 * 2 ** i) for i in range(20)]
+    df = spark.createDataFrame(steps, "word string, n long")
+    found = {r["word"]: r["root"] for r in variants.group(df).collect()}
+    assert set(found.values()) == {steps[-1][0]}
+
+
+def test_cells_hold_all_near_vectors():
+    rng = np.random.default_rng(5)
+    found = sorted({"".join(rng.choice(list("abcdefg"), 7)) for _ in range(3000)})
+    v = variants.vectors(found)
+    tree = variants.fit(v[::7], 7, 100)
+    cells = variants.places(tree, v)
+    assert len(set(cells.tolist())) > 10
+    to = {}
+    for row, cell in zip(*variants.reached(tree, v, 1), strict=True):
+        to.setdefault(int(row), set()).add(int(cell))
+    pairs = [(i, j) for i in range(0, len(found), 4) for j in range(len(found)) if is_near(found[i], found[j])]
+    assert len(pairs) > 50 and all(int(cells[j]) in to[i] for i, j in pairs)
+    assert np.mean([len(c) for c in to.values()]) < 0.7 * len(set(cells.tolist()))
