@@ -171,9 +171,9 @@ def versions(orders: DataFrame) -> DataFrame:
 
 
 def queue_messages(rows: DataFrame, topic: str) -> DataFrame:
-    """Text rows of a table as messages of ``topic``, with offsets derived from their key and version."""
+    """Text rows of a table as messages of ``topic``, with offsets that ascend in the order of the rows."""
     return rows.select(
-        F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.xxhash64("transaction_id", "updated_at").alias("offset"),
+        F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"),
         F.col("updated_at").cast("timestamp_ntz").alias("timestamp"), F.lit(0).alias("timestampType"),
         F.col("transaction_id").alias("key"), F.to_json(F.struct(*rows.columns)).alias("value"))
 

@@ -32,8 +32,10 @@ from settlekit.plans.pipeline import read_gold, run_pipeline
 from settlekit.session import scratch_folder
 from settlekit.sources import bronze as B
 from settlekit.sources import csv_drop as CSV
+from settlekit.sources.commits import CommitLog
 from settlekit.sources.seeds import read_seed_csv
 from settlekit.streaming import drain as DR
+from settlekit.streaming import ledger as LD
 from settlekit.streaming import messages as MSG
 from settlekit.streaming import upsert as UP
 
@@ -594,6 +596,52 @@ def schema_drift_report(spark, sf):
     return C.drift_report(PARTNER_SCHEMA, {"partner_db": clean, "sftp_drop": drifted, "kafka_drain": retyped})
 
 
+_FREEZE_SQL = """
+SELECT step, channel, table_name, outcome, frozen_columns, versions, CAST(visible_rows AS BIGINT) AS visible_rows FROM (VALUES
+  (1, 'partner_db', 'partner_transactions', 'loaded', 13, 1, (SELECT count(*) FROM fx_partner)),
+  (2, 'partner_db', 'partner_transactions', 'refused', 13, 1, (SELECT count(*) FROM fx_partner)),
+  (3, 'partner_db', 'partner_transactions', 'refused', 13, 1, (SELECT count(*) FROM fx_partner)),
+  (4, 'partner_db', 'partner_transactions', 'refused', 13, 1, (SELECT count(*) FROM fx_partner)),
+  (5, 'partner_db', 'partner_transactions', 'loaded', 13, 1, (SELECT count(*) FROM fx_partner WHERE amount_cents % 2 = 0)),
+  (6, 'sftp_drop', 'partner_transactions', 'loaded', 14, 1, (SELECT count(*) FROM fx_partner)),
+  (7, 'partner_db', 'chargebacks', 'loaded', 2, 1, (SELECT count(*) FROM fx_partner WHERE state = 'refunded')),
+  (8, 'partner_db', 'partner_transactions', 'loaded', 14, 2, (SELECT count(*) FROM fx_partner))
+) t(step, channel, table_name, outcome, frozen_columns, versions, visible_rows)"""
+
+
+@query("schema_freeze", O.with_fixture(_FREEZE_SQL))
+def schema_freeze(spark, sf):
+    """Loads against the schema registry: a channel's first load freezes its columns; new and retyped columns are
+    refused before a write; a missing column passes; another channel and a new table freeze by themselves; an approved
+    version lets the new column in. After each attempt: the outcome, the registry, the rows that readers see."""
+    root = scratch_folder(spark, "schema-freeze")
+    full = Feed(spark, sf).partner().select(*PARTNER_COLUMNS)
+    first = full.drop("refunded_at")  # what the channel's first run happened to have
+    refunds = full.filter(F.col("state") == "refunded").select("transaction_id", F.col("amount_cents").alias("disputed_cents"))
+    attempts = [
+        ("partner_db", "partner_transactions", first),
+        ("partner_db", "partner_transactions", full),  # in the code's contract, but not in what was frozen
+        ("partner_db", "partner_transactions", first.withColumn("surprise_risk_score", F.lit(0.97))),
+        ("partner_db", "partner_transactions", first.withColumn("amount_cents", F.col("amount_cents").cast("string"))),
+        ("partner_db", "partner_transactions", first.drop("failed_at").filter("amount_cents % 2 = 0")),
+        ("sftp_drop", "partner_transactions", full),
+        ("partner_db", "chargebacks", refunds),
+        ("partner_db", "partner_transactions", full)]
+    rows = []
+    for step, (channel, table, df) in enumerate(attempts, 1):
+        if step == len(attempts):
+            B.approve_schema(spark, root, channel, table, full.schema)
+        try:
+            B.write_bronze(df, root, channel, table)
+            outcome = "loaded"
+        except C.SchemaDriftError:
+            outcome = "refused"
+        frozen = B.frozen_schema(spark, root, channel, table)
+        visible = spark.read.parquet(*B.named_folders(spark, root, table)[channel]).count()
+        rows.append((step, channel, table, outcome, len(frozen), len(B.schema_versions(spark, root, channel, table)), visible))
+    return spark.createDataFrame(rows, "step int, channel string, table_name string, outcome string, frozen_columns int, versions int, visible_rows bigint")
+
+
 @query("bronze_union_by_name", O.with_fixture(f"SELECT channel, {_CONTRACT_SELECT} FROM fx_partner_bronze"))
 def bronze_union_by_name(spark, sf):
     """Channels with different metadata columns, unioned by name, contract kept."""
@@ -698,20 +746,49 @@ def drain_available_now(spark, sf):
 @query("drain_time_range", f"""
 SELECT {_EVENT_SQL} FROM events WHERE ts >= TIMESTAMP '{RANGE_START}' AND ts < TIMESTAMP '{RANGE_END}'""")
 def drain_time_range(spark, sf):
-    """Drain bounded by start_from <= message time < end_time."""
+    """Drain bounded by start_from <= message time < end_time, both turned into offsets first."""
     log, root = _log(spark, sf, "drain-range")
-    DR.drain(DR.read_log(spark, log), DR.append_sink(f"{root}/bronze", MSG.decoded_events), f"{root}/checkpoint",
-             start_from=RANGE_START, end_time=RANGE_END)
-    return DR.read_sink(spark, f"{root}/bronze").select(*_EVENT_OUT)
+    drain, bronze = _ledger(spark, log, root), f"{root}/bronze"
+    drain.run(LD.landing_sink(bronze, MSG.decoded_events), start_from=RANGE_START, end_time=RANGE_END)
+    return LD.read_landed(spark, bronze, drain.commits).select(*_EVENT_OUT)
+
+
+def _ledger(spark, log: str, root: str) -> LD.LedgerDrain:
+    return LD.LedgerDrain(LD.MessageLog(spark, log, f"{root}/segments"), CommitLog(spark, f"{root}/ledger"))
 
 
 @query("drain_range_then_rest", f"SELECT {_EVENT_SQL} FROM events")
 def drain_range_then_rest(spark, sf):
-    """A drain up to RANGE_END and then an open one on the same checkpoint land every message once."""
+    """A drain up to RANGE_END and then an open one on the same ledger land every message once."""
     log, root = _log(spark, sf, "drain-rest")
+    drain, bronze = _ledger(spark, log, root), f"{root}/bronze"
     for bounds in ({"start_from": "1970-01-01", "end_time": RANGE_END}, {}):
-        DR.drain(DR.read_log(spark, log), DR.append_sink(f"{root}/bronze", MSG.decoded_events), f"{root}/checkpoint", **bounds)
-    return DR.read_sink(spark, f"{root}/bronze").select(*_EVENT_OUT)
+        drain.run(LD.landing_sink(bronze, MSG.decoded_events), **bounds)
+    return LD.read_landed(spark, bronze, drain.commits).select(*_EVENT_OUT)
+
+
+@query("drain_offsets", f"""
+SELECT 'events.' || event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, min(event_id) AS first_offset,
+  coalesce(min(event_id) FILTER (WHERE ts >= TIMESTAMP '{RANGE_END}'), max(event_id) + 1) AS bound_offset,
+  max(event_id) + 1 AS next_offset, count(*) FILTER (WHERE ts < TIMESTAMP '{RANGE_END}') AS landed_to_bound,
+  count(*) FILTER (WHERE ts >= TIMESTAMP '{RANGE_END}') AS landed_after, CAST(0 AS BIGINT) AS landed_again
+FROM events GROUP BY ALL""")
+def drain_offsets(spark, sf):
+    """The ledger per topic and partition: first offset, the offset that RANGE_END stands for, the next offset, and
+    the messages that a drain to the bound, one to the end and one more have landed."""
+    log, root = _log(spark, sf, "drain-offsets")
+    drain, bronze = _ledger(spark, log, root), f"{root}/bronze"
+    sink = LD.landing_sink(bronze, lambda b: b.select("topic", "partition", "offset"))
+    first = {part: b[0] for part, b in drain.log.bounds(drain.log.segments()).items()}
+    runs = []
+    for bounds in ({"start_from": "1970-01-01", "end_time": RANGE_END}, {}, {}):
+        runs.append((drain.run(sink, **bounds), drain.offsets()))
+    landed = LD.read_landed(spark, bronze, drain.commits).groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n")).collect()
+    if {(r["topic"], r["partition"]): r["n"] for r in landed} != {p: sum(d.landed.get(p, 0) for d, _ in runs) for p in first}:
+        raise AssertionError("what lies in the sink is not what the drains have counted")
+    rows = [(*part, first[part], runs[0][1].get(part, first[part]), runs[1][1][part], *[d.landed.get(part, 0) for d, _ in runs]) for part in first]
+    return spark.createDataFrame(rows, "topic string, partition int, first_offset bigint, bound_offset bigint, next_offset bigint, "
+                                       "landed_to_bound bigint, landed_after bigint, landed_again bigint")
 
 
 # Table-name overrides of the routing drain (other topics keep their own name).

@@ -31,7 +31,7 @@ from settlekit.plans import suite as S
 from settlekit.plans.model import Model
 from settlekit.sources import bronze as B
 from settlekit.sources import csv_drop as CSV
-from settlekit.streaming import drain as DR
+from settlekit.streaming import ledger as LD
 
 TABLES = ("partner_transactions", "bank_transactions")
 SIDE_BRONZE = {"partner_transactions": "partner_bronze", "bank_transactions": "bank_bronze"}
@@ -100,10 +100,17 @@ class DailyPipeline:
             for topic, table in TOPIC_TABLES.items():
                 body = F.from_json("value", text_schema(table), {"mode": "FAILFAST"})
                 rows = canonicalize(batch.filter(F.col("topic") == topic).select(body.alias("m")).select("m.*"), table)
-                rows.write.mode("overwrite").parquet(f"{B.bronze_path(self.root, 'kafka_drain', table)}/batch={key}")
+                rows.write.parquet(f"{B.bronze_path(self.root, 'kafka_drain', table)}/batch={key}")
 
-        stream = DR.read_log(self.spark, f"{log}/*")
-        DR.drain(stream, to_bronze, f"{self.root}/state/kafka_drain")
+        def on_commit(document: dict, key: str) -> None:
+            for table in TABLES:  # offsets and landed folders in one commit
+                B.publish(document, "kafka_drain", table, f"batch={key}", TABLE_SCHEMAS[table], "append")
+
+        commits = B.channel_log(self.spark, self.root, "kafka_drain")
+        queue = LD.MessageLog(self.spark, log, f"{self.root}/state/kafka_drain/segments")
+        LD.LedgerDrain(queue, commits, on_commit).run_with_retries(to_bronze)
+        for table in TABLES:
+            B.drop_unnamed(self.spark, self.root, "kafka_drain", table, commits)
 
     # promote / build ------------------------------------------------------------------------
 

@@ -14,12 +14,9 @@ Sinks write below a key made of the checkpoint's own identity and the batch id:
 a retried batch replaces its own output, a new checkpoint (whose batch ids start
 at 0 again) never touches what an earlier one landed.
 
-A drain with an end bound lands what lies before it and keeps the later messages
-it has read in ``<checkpoint>-held``; the next drain on that checkpoint takes them
-first. So no message is lost between a bounded drain and the next one.
-
-Wiping or recreating a topic must also drop the drain's checkpoint folders:
-stored offsets past the new end would otherwise fail the drain.
+A drain with an end bound, with offsets per partition, or of a log that may be wiped
+and filled anew is ``streaming.ledger``'s: it plans ranges of offsets, so later messages
+stay unread. Here, wiping a topic must also drop the drain's checkpoint folder.
 """
 
 from __future__ import annotations
@@ -32,8 +29,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from settlekit.sources.fs import path_exists
-
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType(), False),
     T.StructField("partition", T.IntegerType(), False),
@@ -112,8 +107,8 @@ def read_topics(spark: SparkSession, bootstrap_servers: str, topics: list[str],
     """Streaming read of queue topics (needs the Spark Kafka connector on the
     classpath), columns as in MESSAGE_SCHEMA. ``batch_size`` bounds the messages
     per micro-batch (unset: what is there). Offsets that the queue no longer holds
-    fail the drain unless ``skip_lost``. An end bound belongs to ``drain``, which
-    keeps what it holds back."""
+    fail the drain unless ``skip_lost``. An end bound needs a read by ranges
+    (``streaming.ledger.queue_range_options``)."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", ",".join(topics)).option("startingOffsets", "earliest")
          .option("failOnDataLoss", str(not skip_lost).lower()))
@@ -136,34 +131,20 @@ def from_queue(messages: DataFrame) -> DataFrame:
         "timestampType", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-def drain(stream: DataFrame, sink: Sink, checkpoint: str, name: str | None = None,
-          start_from=None, end_time=None) -> int:
+def drain(stream: DataFrame, sink: Sink, checkpoint: str, name: str | None = None, start_from=None) -> int:
     """Run one bounded drain: process everything available now, then stop.
 
     ``sink(batch_df, batch_key)`` is called per micro-batch (``foreachBatch``);
     it must be idempotent per key (a retried batch is re-delivered).
-    Messages before ``start_from`` are left out, those from ``end_time`` on are
-    held for the next drain. Returns the rows handed to the sink, counted from
-    the batches themselves.
+    Messages before ``start_from`` are left out. Returns the rows handed to the
+    sink, counted from the batches themselves.
     """
-    check_time_range(start_from, end_time)
-    spark, checkpoint = stream.sparkSession, checkpoint.rstrip("/")
-    held = f"{checkpoint}-held"
-    landed = 0
-    if path_exists(spark, held):
-        kept = spark.readStream.schema(stream.schema).parquet(f"{held}/*")
-        landed += _drain(kept, sink, f"{checkpoint}-held-state", held, None, start_from, end_time)
-    return landed + _drain(stream, sink, checkpoint, held, name, start_from, end_time)
-
-
-def _drain(stream: DataFrame, sink: Sink, checkpoint: str, held: str, name: str | None, start_from, end_time) -> int:
+    checkpoint = checkpoint.rstrip("/")
     landed: dict[str, int] = {}
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         key = f"{checkpoint_identity(batch.sparkSession, checkpoint)}-{batch_id:08d}"
-        inside = batch if start_from is None and end_time is None else time_range(batch, start_from, end_time)
-        if end_time is not None:
-            batch.filter(F.col("timestamp") >= _ts(end_time)).write.mode("overwrite").parquet(f"{held}/{key}")
+        inside = batch if start_from is None else time_range(batch, start_from)
         sink(inside, key)
         landed[key] = inside.count()
 

@@ -101,18 +101,6 @@ def test_counts_hold_beyond_the_retained_progress(spark, tmp_dir):
     assert DR.drain(DR.read_log(spark, f"{tmp_dir}/log"), two, f"{tmp_dir}/ck2") == 115
 
 
-def test_end_bound_holds_later_messages_for_the_next_drain(spark, tmp_dir):
-    log, out, ck = f"{tmp_dir}/log", f"{tmp_dir}/out", f"{tmp_dir}/ck"
-    _messages(spark, [_message(i, f"2024-01-{1 + i // 10:02d} 00:00:00") for i in range(50)]).write.parquet(log)
-    run = lambda **bounds: DR.drain(DR.read_log(spark, log), DR.append_sink(out), ck, **bounds)
-    assert run(start_from="2024-01-01", end_time="2024-01-02") == 10
-    assert run(start_from="2024-01-01", end_time="2024-01-04") == 20
-    _messages(spark, [_message(i, "2024-01-09 00:00:00") for i in range(50, 55)]).write.mode("append").parquet(log)
-    assert run() == 25 and run() == 0
-    got = [r["offset"] for r in DR.read_sink(spark, out).collect()]
-    assert sorted(got) == list(range(55))
-
-
 def test_a_new_checkpoint_does_not_overwrite_landed_batches(spark, tmp_dir):
     log, out = f"{tmp_dir}/log", f"{tmp_dir}/out"
     _messages(spark, [_message(1)]).write.parquet(log)
