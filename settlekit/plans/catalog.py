@@ -6,6 +6,7 @@ runs over whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from settlekit.operators import metrics as K
 from settlekit.operators import quality as Q
 from settlekit.operators.dims import DATE_DIM_COLUMNS
 from settlekit.operators.mart import MART_COLUMNS
-from settlekit.operators.promote import merge_lookback, promote
+from settlekit.operators.promote import promote
 from settlekit.operators.reconcile import (FACT_COLUMNS, RECONCILED_COLUMNS,
                                            current_latest_nonnull, current_latest_row, reconcile, with_fee)
 from settlekit.plans import oracle as O
@@ -33,7 +34,9 @@ from settlekit.session import scratch_folder
 from settlekit.sources import bronze as B
 from settlekit.sources import csv_drop as CSV
 from settlekit.sources.commits import CommitLog
+from settlekit.sources.keyed import KeyedTable
 from settlekit.sources.seeds import read_seed_csv
+from settlekit.sources.silver import promote_incremental, silver_table
 from settlekit.streaming import drain as DR
 from settlekit.streaming import ledger as LD
 from settlekit.streaming import messages as MSG
@@ -850,6 +853,8 @@ def late_update_wins(spark, sf):
             versions.filter(F.col("state") == "initiated").write.parquet(f"{root}/arrivals/run=2")
         stream = spark.readStream.schema(versions_schema).parquet(f"{root}/arrivals/run=*")
         DR.drain(stream, UP.versions_sink(table), ckpt)     # each batch appends: O(batch)
+        if run == 1:
+            UP.fold(spark, table, buckets=16)               # the first run's batches; the late ones are resolved when read
     return UP.read_current(spark, table).select(*VERSION_COLUMNS)
 
 
@@ -858,14 +863,39 @@ MERGE_CUTOFF, LOOKBACK_DAYS = "1998-01-01 00:00:00", 7
 
 @query("merge_lookback", O.with_fixture(f"SELECT {_cols(PARTNER_COLUMNS)} FROM silver_partner", O.SILVER))
 def merge_lookback_q(spark, sf):
-    """Incremental merge: silver built before the cutoff, then the last
-    LOOKBACK_DAYS + new rows merged in; equal to the full rebuild."""
-    bronze = Feed(spark, sf).partner_bronze()
+    """Incremental merge: silver built before the cutoff, then the last LOOKBACK_DAYS + new rows merged into the
+    buckets that they touch; equal to the full rebuild."""
+    bronze = Feed(spark, sf).partner_bronze().select(*PARTNER_COLUMNS)
     cutoff = F.lit(MERGE_CUTOFF).cast("timestamp_ntz")
-    old = promote(bronze.filter(F.col("updated_at") < cutoff), "partner_transactions")
-    window_start = F.lit(MERGE_CUTOFF).cast("timestamp_ntz") - F.make_dt_interval(F.lit(LOOKBACK_DAYS))
-    increment = bronze.filter(F.col("updated_at") >= window_start).select(*PARTNER_COLUMNS)
-    return merge_lookback(old, increment)
+    silver = KeyedTable(spark, scratch_folder(spark, "merge-lookback"), buckets=16)
+    silver.merge(bronze.filter(F.col("updated_at") < cutoff))
+    silver.merge(bronze.filter(F.col("updated_at") >= cutoff - F.make_dt_interval(F.lit(LOOKBACK_DAYS))))
+    return silver.read()
+
+
+@query("silver_incremental", O.with_fixture(f"SELECT {_cols(PARTNER_COLUMNS)} FROM silver_partner", O.SILVER))
+def silver_incremental(spark, sf):
+    """Promotion of what bronze has gained: a day with three channels, a day on which the database is snapshotted anew
+    and the queue lands one more batch, and a run that finds nothing new; equal to the full promotion."""
+    root, bronze = scratch_folder(spark, "silver-incremental"), Feed(spark, sf).partner_bronze()
+    first_day = F.col("updated_at") < F.lit(MERGE_CUTOFF).cast("timestamp_ntz")
+
+    def load(channel: str, of, disposition: str) -> None:
+        B.write_bronze(bronze.filter((F.col("channel") == channel) & of).select(*PARTNER_COLUMNS), root, channel, "partner_transactions", disposition)
+
+    for channel in ("partner_db", "sftp_drop", "kafka_drain"):
+        load(channel, first_day, "append" if channel == "kafka_drain" else "replace")
+    back = dt.timedelta(days=LOOKBACK_DAYS)
+    promote_incremental(spark, root, "partner_transactions", back, buckets=16)
+    for channel in ("partner_db", "sftp_drop"):
+        load(channel, F.lit(True), "replace")
+    load("kafka_drain", ~first_day, "append")
+    second = promote_incremental(spark, root, "partner_transactions", back)
+    if sorted(second.loads) != ["kafka_drain", "partner_db", "sftp_drop"] or any(len(v) != 1 for v in second.loads.values()):
+        raise AssertionError(f"the second run read {second.loads}; expected one new load a channel")
+    if promote_incremental(spark, root, "partner_transactions", back).loads:
+        raise AssertionError("a run without new loads read bronze")
+    return silver_table(spark, root, "partner_transactions").read()
 
 
 # --- the daily job ------------------------------------------------------------------------------
