@@ -94,7 +94,7 @@ def _entry(check_id: int, value, child: int, parent: int):
                     F.lit(child).cast("int").alias("child"), F.lit(parent).cast("int").alias("parent"))
 
 
-def run_checks(models: dict[str, DataFrame], specs: Sequence[ModelChecks]) -> DataFrame:
+def run_checks(models: dict[str, DataFrame], specs: Sequence[ModelChecks], stored_by: dict[str, str] | None = None) -> DataFrame:
     """Every declared check -> (model, column_name, test, failures, severity, status).
 
     Each model is scanned ONCE: every row emits, through one ``explode``, an
@@ -103,11 +103,14 @@ def run_checks(models: dict[str, DataFrame], specs: Sequence[ModelChecks]) -> Da
     non-NULL key for ``relationships`` -- and each relationship's parent
     contributes its distinct keys. One aggregation by (check id, value),
     partial on the map side, then gives failing rows, values seen more than
-    once, and child rows whose key no parent has. The check list itself (one
+    once, and child rows whose key no parent has. ``stored_by`` names the column that
+    a model is bucketed by: its uniqueness is counted inside the buckets from that one
+    column, so the keys are not shuffled. The check list itself (one
     row per declared check, bounded by the suite) supplies the names and a
     zero row for checks without failures.
     """
     checks = [(spec.name, c) for spec in specs for c in spec.checks]
+    in_buckets = [c.kind == "unique" and (stored_by or {}).get(name) == c.column for name, c in checks]
     streams: list[DataFrame] = []
     i = 0
     for spec in specs:
@@ -116,18 +119,21 @@ def run_checks(models: dict[str, DataFrame], specs: Sequence[ModelChecks]) -> Da
             col = F.col(c.column)
             if c.kind in ROW_CHECKS:
                 entries.append(F.when(_row_predicate(c), _entry(i, F.lit(None), 1, 0)))
+            elif in_buckets[i]:
+                streams.append(unique(models[spec.name], c.column).select(_entry(i, F.lit(None), 1, 0).alias("e")))
             else:  # unique, relationships: the non-NULL value itself
                 entries.append(F.when(col.isNotNull(), _entry(i, col, 1, 0)))
             if c.kind == "relationships":
                 parent_keys = models[c.parent].select(F.col(c.parent_field).alias("_k")).distinct()
                 streams.append(parent_keys.select(_entry(i, F.col("_k"), 0, 1).alias("e")))
             i += 1
-        rows = models[spec.name].select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull())
-        streams.append(rows)
+        if entries:
+            streams.append(models[spec.name].select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull()))
     allrows = streams[0]
     for st in streams[1:]:
         allrows = allrows.unionByName(st)
-    kind = F.element_at(F.array(*[F.lit(c.kind) for _, c in checks]), F.col("check_id") + 1)
+    kinds = ["unique_in_buckets" if here else c.kind for (_, c), here in zip(checks, in_buckets, strict=True)]
+    kind = F.element_at(F.array(*map(F.lit, kinds)), F.col("check_id") + 1)
     per_value = (allrows.select("e.*").groupBy("check_id", "value")
                  .agg(F.sum("child").alias("n_child"), F.max("parent").alias("has_parent")))
     failing = (F.when(kind == "unique", F.when(F.col("n_child") > 1, 1).otherwise(0))

@@ -4,9 +4,9 @@
 Silver (latest version per transaction and side) is materialised like the
 lake's silver files, bucketed by transaction_id so the reconciliation join
 needs no shuffle. The fact table (reconciliation + fee, one row per
-transaction version) is materialised once as a Parquet table in the shared
-checkpoint folder, as the warehouse materialises it; ``reconciled`` is a projection of
-it. All dimension keys come from one more pass over the fact into one small
+transaction version) is materialised once in the shared checkpoint folder, as the
+warehouse materialises it, bucketed and sorted like silver, so the current state is
+aggregated inside the buckets; ``reconciled`` is a projection of it. All dimension keys come from one more pass over the fact into one small
 materialised table, whose sizes are checked by a single aggregate before any
 dimension is broadcast. The current state (the warehouse's argMax view) is
 aggregated from the fact and materialised once; the mart stays a lazy view
@@ -76,9 +76,10 @@ class Model:
     def fee_schedule(self) -> DataFrame:
         return fee_schedule(self.spark)
 
-    def _silver(self, df: DataFrame, name: str) -> DataFrame:
-        """Silver as a table bucketed and sorted by transaction_id: both sides
-        share the bucketing, so the reconciliation join reads them unshuffled."""
+    def _bucketed(self, df: DataFrame, name: str) -> DataFrame:
+        """A table bucketed and sorted by transaction_id: both sides of silver share the
+        bucketing, so the reconciliation reads them unshuffled, and its rows come out in
+        it, so the fact and the current state are written and read unshuffled too."""
         if not self._materialized:
             return df
         path = scratch_folder(self.spark, f"tables/{name}")
@@ -86,19 +87,19 @@ class Model:
 
     @cached_property
     def partner_silver(self) -> DataFrame:
-        return self._silver(promote(self.feed.partner_bronze(), "partner_transactions"),
+        return self._bucketed(promote(self.feed.partner_bronze(), "partner_transactions"),
                             "silver_partner_transactions")
 
     @cached_property
     def bank_silver(self) -> DataFrame:
-        return self._silver(promote(self.feed.bank_bronze(), "bank_transactions"),
+        return self._bucketed(promote(self.feed.bank_bronze(), "bank_transactions"),
                             "silver_bank_transactions")
 
     @cached_property
     def fact(self) -> DataFrame:
         reconciled = reconcile(self.partner_silver, self.bank_silver)
         fee = bounded_broadcast(self.fee_schedule, known_rows=len(FEE_SCHEDULE_ROWS))
-        return self._table(with_fee(reconciled, fee), "fct_transactions", ("transaction_id",))
+        return self._bucketed(with_fee(reconciled, fee), "fct_transactions")
 
     @cached_property
     def reconciled(self) -> DataFrame:
@@ -108,7 +109,7 @@ class Model:
     def current(self) -> DataFrame:
         """Latest non-NULL value per column and transaction, whatever number of
         versions the fact holds; materialised once for all charts."""
-        return self._table(current_latest_nonnull(self.fact), "fct_transactions_current", ("transaction_id",))
+        return self._bucketed(current_latest_nonnull(self.fact), "fct_transactions_current")
 
     # dimensions -------------------------------------------------------------------
 

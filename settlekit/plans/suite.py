@@ -57,8 +57,13 @@ def model_tables(m: Model, partner_silver: DataFrame | None = None) -> dict[str,
     }
 
 
+#: Models that are stored bucketed by the transaction (the mart: its current state is).
+STORED_BY = {name: "transaction_id" for name in ("stg_partner_transactions", "stg_bank_transactions", "int_reconciled_transactions",
+                                                 "fct_transactions_current", "mart_transactions")}
+
+
 def declared_suite(m: Model) -> DataFrame:
-    return run_checks(model_tables(m), DECLARED)
+    return run_checks(model_tables(m), DECLARED, STORED_BY)
 
 
 def suite_results(m: Model) -> DataFrame:

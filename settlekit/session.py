@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -95,3 +96,23 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         store.deleteOnExit(path)
         _dropped_at_exit.add(base)
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_named_tables: list[tuple[SparkSession, str]] = []
+
+
+def forget_at_exit(spark: SparkSession, table_name: str) -> None:
+    """Drop an external table's catalog entry when the program ends (its files stay), so that a lasting metastore gathers none."""
+    if not _named_tables:
+        atexit.register(_forget_tables)
+    _named_tables.append((spark, table_name))
+
+
+def _forget_tables() -> None:
+    for spark, name in _named_tables:
+        try:
+            if not spark.sparkContext._jsc.sc().isStopped():
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+        except Exception:  # noqa: BLE001 - the session or its JVM has ended before
+            return
+    _named_tables.clear()

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from settlekit.contracts import TABLE_COLUMNS, TABLE_SCHEMAS
 from settlekit.operators.canonical import Drift, SchemaDriftError, enforce_contract, guard_identifiers, schema_drift
+from settlekit.session import forget_at_exit
 from settlekit.sources.commits import CommitLog, drop_folder, folders
 
 DISPOSITIONS = ("replace", "append")
@@ -164,6 +165,7 @@ def write_bucketed(df: DataFrame, path: str, table_name: str, key: str = "transa
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.write.mode("overwrite").bucketBy(n, key).sortBy(key).format("parquet")
        .option("path", path).saveAsTable(table_name))
+    forget_at_exit(spark, table_name)
     return spark.table(table_name)
 
 

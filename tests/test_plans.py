@@ -112,3 +112,29 @@ def test_bucketed_silver_reconciles_without_a_shuffle(spark):
     m = Model(spark, SF_SMALL)
     p = plan(reconcile(m.partner_silver, m.bank_silver))
     assert "SortMergeJoin" in p and "FullOuter" in p and "Exchange" not in p
+
+
+def test_bucketed_fact_gives_the_current_state_and_uniqueness_without_a_shuffle(spark):
+    from settlekit.operators import quality as Q
+    from settlekit.plans import suite as S
+
+    m = Model(spark, SF_SMALL)
+    p = plan(current_latest_nonnull(m.fact))
+    assert "Exchange" not in p and p.count("Sort [") == 1       # one sort of rows that lie sorted
+    for name in ("stg_partner_transactions", "int_reconciled_transactions", "fct_transactions_current"):
+        assert "Exchange" not in plan(Q.unique(S.model_tables(m)[name], "transaction_id"))
+    p = plan(S.declared_suite(m))
+    assert not re.search(r"Exchange hashpartitioning\(transaction_id", p)
+    # no transaction id goes through the one aggregation by (check, value)
+    assert "transaction_id" not in "".join(re.findall(r"Exchange hashpartitioning.*", p))
+
+
+def test_uniqueness_inside_buckets_counts_what_the_plain_form_counts(spark):
+    from settlekit.operators import quality as Q
+
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 2), ("c", 3), ("c", 3), ("c", 4)], "id string, v int")
+    specs = [Q.ModelChecks("t", [Q.Check("unique", "id"), Q.Check("unique", "v"), Q.Check("not_null", "id")])]
+    found = [sorted(map(tuple, Q.run_checks({"t": rows}, specs, by).collect())) for by in (None, {"t": "id"})]
+    assert found[0] == found[1] and [r[3] for r in found[0]] == [2, 2, 3]
+    only = [Q.ModelChecks("t", [Q.Check("unique", "id")])]
+    assert [r["failures"] for r in Q.run_checks({"t": rows}, only, {"t": "id"}).collect()] == [2]
