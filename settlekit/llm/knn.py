@@ -31,13 +31,17 @@ GROUP_QUERIES, BLOCK_VECTORS = 16_384, 16_384
 #: Scores that are held at once.
 TILE = 4_000_000
 EXACT = 2.0**52
+#: Scaled components of this size or more have no finite bounds.
+TOO_LARGE = 2.0**480
+LONG = 2**63
 
 
 def integers(vectors: pa.Array, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """floor(256 x) of the usable vectors as floats, and which ones are usable.
 
     Unusable: null, of another length than ``dim`` (default: the first usable one's), or holding a
-    null or a non-finite component.
+    null, a non-finite component or one that is not below ``TOO_LARGE`` when scaled. The floats are
+    exact: scaling is by a power of two.
     """
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
@@ -47,24 +51,22 @@ def integers(vectors: pa.Array, dim: int | None = None) -> tuple[np.ndarray, np.
     usable = np.asarray(vectors.is_valid()) & (lengths == dim) & (dim > 0)
     flat = vectors.filter(pa.array(usable)).flatten()
     x = flat.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(-1, max(dim, 1))
-    finite = np.isfinite(x).all(axis=1)
+    finite = (np.abs(x) < TOO_LARGE / SCALE).all(axis=1)
     usable[np.flatnonzero(usable)[~finite]] = False
-    x = np.floor(SCALE * x[finite])
-    if x.size and np.abs(x).max() ** 2 * dim >= EXACT:
-        raise ValueError("components are too large for exact scores")
-    return x, usable
+    return np.floor(SCALE * x[finite]), usable
 
 
 def _packed(x: np.ndarray) -> pa.Array:
-    return pa.array([row.tobytes() for row in x.astype("<i4")] if np.abs(x).max(initial=0) < 2**31 else [row.tobytes() for row in x.astype("<i8")], pa.binary())
+    """Four bytes a component where all of the batch fit, else the floats."""
+    return pa.array([row.tobytes() for row in x.astype("<i4" if np.abs(x).max(initial=0) < 2**31 else "<f8")], pa.binary())
 
 
 def _unpacked(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     raw = column.to_pylist()
     wide = {len(r) for r in raw}
     if len(wide) == 1:
-        return np.frombuffer(b"".join(raw), "<i4" if wide == {4 * dim} else "<i8").reshape(-1, dim).astype(np.float64)
-    return np.stack([np.frombuffer(r, "<i4" if len(r) == 4 * dim else "<i8").astype(np.float64) for r in raw]) if raw else np.empty((0, dim))
+        return np.frombuffer(b"".join(raw), "<i4" if wide == {4 * dim} else "<f8").reshape(-1, dim).astype(np.float64)
+    return np.stack([np.frombuffer(r, "<i4" if len(r) == 4 * dim else "<f8").astype(np.float64) for r in raw]) if raw else np.empty((0, dim))
 
 
 def _assign(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +76,7 @@ def _assign(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         part = x[a:a + max(1, TILE // len(pivots))]
         near = ((pivots**2).sum(axis=1)[None, :] - 2 * part @ pivots.T).argmin(axis=1)
         cell[a:a + len(part)] = near
-        dist[a:a + len(part)] = np.sqrt(((part - pivots[near]) ** 2).sum(axis=1)) + 1e-6
+        dist[a:a + len(part)] = np.sqrt(((part - pivots[near]) ** 2).sum(axis=1)) * (1 + 1e-9) + 1e-6
     return cell, dist
 
 
@@ -95,8 +97,9 @@ def voronoi_top_k(queries: DataFrame, data: DataFrame, k: int = K, id_col: str =
     """query_id, rank, vec_id, score: each query's ``k`` best rows of ``data`` by integer inner product.
 
     ``queries`` are rows of ``data``. A query's own row (same id) is no candidate; fewer than ``k`` candidates are
-    all returned; equal scores go to the smaller id. Rows without an id, null vectors, those with a null or a
-    non-finite component and those that do not have the commonest length take no part. Repeated rows are
+    all returned; equal scores go to the smaller id. Scores are exact at any size of the components; one beyond a
+    long is returned as the nearest long, and ranked by what it is. Rows without an id, null vectors, those with a null or a
+    non-finite component (or one of 1e142 or more) and those that do not have the commonest length take no part. Repeated rows are
     candidates of their own; a repeated query id is answered once. No usable vector: no rows. Only the two
     columns are read.
     """
@@ -124,13 +127,14 @@ def voronoi_top_k(queries: DataFrame, data: DataFrame, k: int = K, id_col: str =
         return empty
     centre, count = pivots[used], np.array([cells[c]["n"] for c in used])
     radius, norm = np.array([cells[c]["radius"] for c in used]), np.array([cells[c]["norm"] for c in used])
+    reach = np.maximum(norm, np.sqrt((centre**2).sum(axis=1)))  # bounds the rounding of a cell's products
     blocks = np.ceil(count / max(1, min(BLOCK_VECTORS, count.sum() // len(used)))).astype(int)
 
     def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = _unpacked(batch.column(1), dim)
             size = np.sqrt((q**2).sum(axis=1))[:, None]
-            at_centre, slack = q @ centre.T, 1e-6 * (1 + size * norm.max())
+            at_centre, slack = q @ centre.T, 1e-6 * (1 + size * reach[None, :])
             low, high = at_centre - size * radius[None, :] - slack, np.minimum(at_centre + size * radius[None, :], size * norm[None, :]) + slack
             order = np.argsort(-low, axis=1)
             reached = np.cumsum(count[order], axis=1) >= (k + np.asarray(batch.column(2)))[:, None]
@@ -162,8 +166,8 @@ def voronoi_top_k(queries: DataFrame, data: DataFrame, k: int = K, id_col: str =
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         return _local(left, right, k, dim)
 
-    best = sent.groupBy("grp", "cell", "block").cogroup(copies.groupBy("to", "of", "piece")).applyInArrow(solve, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = sent.groupBy("grp", "cell", "block").cogroup(copies.groupBy("to", "of", "piece")).applyInArrow(solve, "query_id long, vec_id long, score long, beyond binary")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")  # scores beyond a long share its ends
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -192,16 +196,27 @@ def _pack(homes: dict[int, int], centre: np.ndarray) -> dict[int, tuple[int, int
 
 def _local(left: pa.Table, right: pa.Table, k: int, dim: int) -> pa.Table:
     """The k best rows of a block for each query of a group, without the query's own and those below its floor."""
-    found_q, found_v, found_s = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    found_q, found_v, found_s, found_o = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
     if left.num_rows and right.num_rows:
         ids = right["id"].to_numpy()
         order = np.argsort(ids, kind="stable")
         ids, x = ids[order], _unpacked(right["v"], dim)[order]
         query_ids, q, floor = left["query_id"].to_numpy(), _unpacked(left["q"], dim), left["floor"].to_numpy()
         n, step = len(ids), max(1, TILE // len(ids))
+        size_q, size_x = np.sqrt((q**2).sum(axis=1)), np.sqrt((x**2).sum(axis=1))
+        exact = float(size_q.max()) * float(size_x.max()) < EXACT  # bounds every partial sum of a product
         for a in range(0, len(q), step):
             score = q[a:a + step] @ x.T
             own = query_ids[a:a + step, None] == ids[None, :]
+            if not exact:
+                off = 2.0**-51 * dim * size_q[a:a + step, None] * size_x[None, :]
+                for i, (row, at) in enumerate(_exact_best(q[a:a + step], x, score, off, own, k)):
+                    keep = [(v, c) for v, c in zip(row, at, strict=True) if v >= floor[a + i]]
+                    found_q.append(np.full(len(keep), query_ids[a + i], np.int64))
+                    found_v.append(ids[[c for _, c in keep]].astype(np.int64))
+                    found_s.append(np.array([min(max(v, -LONG), LONG - 1) for v, _ in keep], np.int64))
+                    found_o.append(_rank_keys([v for v, _ in keep]))
+                continue
             score[own] = -np.inf
             if np.abs(score[~own]).max(initial=0) * n < EXACT:  # score and place in one number: ties go to the smaller id
                 key = score * n + (n - 1 - np.arange(n))[None, :]
@@ -214,4 +229,23 @@ def _local(left: pa.Table, right: pa.Table, k: int, dim: int) -> pa.Table:
             found_q.append(query_ids[a:a + step][row])
             found_v.append(ids[top[row, column]])
             found_s.append(value[row, column].astype(np.int64))
-    return pa.table({"query_id": np.concatenate(found_q), "vec_id": np.concatenate(found_v), "score": np.concatenate(found_s)})
+            found_o.append([None] * len(row))
+    return pa.table({"query_id": np.concatenate(found_q), "vec_id": np.concatenate(found_v), "score": np.concatenate(found_s),
+                     "beyond": pa.array([o for part in found_o for o in part], pa.binary())})
+
+
+def _exact_best(q: np.ndarray, x: np.ndarray, score: np.ndarray, off: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[list[int], list[int]]]:
+    """Scores as Python integers and places of each query's ``k`` best; ``off`` bounds the rounding of ``score``."""
+    for i in range(len(q)):
+        low = np.where(own[i], -np.inf, score[i] - off[i])
+        least = np.partition(low, -k)[-k] if len(low) > k else -np.inf
+        places = np.flatnonzero(~own[i] & (score[i] + off[i] >= least))
+        mine = [int(v) for v in q[i]]
+        values = [int(score[i, c]) if off[i, c] < 0.25 else sum(m * int(v) for m, v in zip(mine, x[c], strict=True)) for c in places]
+        best = sorted(zip(values, places.tolist(), strict=True), key=lambda p: (-p[0], p[1]))[:k]
+        yield [v for v, _ in best], [c for _, c in best]
+
+
+def _rank_keys(values: list[int]) -> list[bytes | None]:
+    """For a score beyond a long, bytes that order as the score does; null for all others."""
+    return [v.to_bytes(256, "big") if v >= LONG else (v + (1 << 2047)).to_bytes(256, "big") if v <= -LONG else None for v in values]

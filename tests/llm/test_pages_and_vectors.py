@@ -3,8 +3,10 @@
 import base64
 import hashlib
 import html
+import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -216,6 +218,26 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     assert got == _brute(rows, ids, 5)
 
 
+@pytest.mark.parametrize("large", [1e3, 1e7, 1e12, 1e40, 1e140])
+def test_top_k_is_exact_for_large_components(spark, monkeypatch, large):
+    monkeypatch.setattr(knn, "ROWS_A_PIVOT", 40)
+    monkeypatch.setattr(knn, "BLOCK_VECTORS", 40)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(200)]
+    for i in (3, 35, 70, 71, 105):
+        rows[i] = (i, [large * x if j == i % 6 else x for j, x in enumerate(rows[i][1])])
+    rows += [(300 + i, [large, -large, 1 + i / 256, 0.0, 0.0, 0.0]) for i in range(6)]  # the small part decides between them
+    rows += [(400, [1e300] + [0.0] * 5), (401, [1.7e308] * 6)]  # too large to take part
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, knn.voronoi_top_k(df.filter("vec_id % 35 = 0 OR vec_id >= 300"), df, 5).collect()))
+    ints = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in rows if i < 400}
+    want = []
+    for q in sorted(i for i in ints if i % 35 == 0 or i >= 300):
+        scores = sorted(((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items() if i != q))[:5]
+        want += [(q, r + 1, i, min(max(-s, -2**63), 2**63 - 1)) for r, (s, i) in enumerate(scores)]
+    assert got == want
+
+
 def test_top_k_few_or_no_rows(spark):
     kind = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0, 0.0, 0.0]), (1, [-1.0, 0.0, 0.0, 0.0])], kind)
