@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Pieces that a group which may be hot is dealt into before it is reduced.
 SALTS = 64
+#: Classes that a model learns at most: the commonest ones.
+MAX_CLASSES = 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +30,12 @@ def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int) -> tuple[
 
     Rows are taken by a hash of the whole key at a rate set by the class's own
     count, so the sample is uniform and the same for the same rows; a key that
-    repeats without bound cannot make it larger than four times its due.
+    repeats without bound cannot make it larger than four times its due (rows of
+    the smallest hashes stay, ties by their other columns). Of more than
+    ``MAX_CLASSES`` classes the commonest are sampled.
     """
-    counts = {r[by]: r["n"] for r in rows.groupBy(by).agg(F.count("*").alias("n")).collect()}  # one row a class
+    sizes = rows.groupBy(by).agg(F.count("*").alias("n")).orderBy(F.desc("n"), by).limit(MAX_CLASSES)
+    counts = {r[by]: r["n"] for r in sizes.collect()}
     if not counts:
         return [], {}
     draw = F.pmod(F.xxhash64(F.lit(29), F.col(key)), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -38,7 +43,7 @@ def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int) -> tuple[
     for value, n in counts.items():
         rate = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(min(1.0, per_class / n))).otherwise(rate)
     taken = rows.withColumn("__draw", draw).filter(F.col("__draw") < rate)
-    found = taken.limit(4 * per_class * len(counts) + 1000).collect()
+    found = taken.orderBy("__draw", *rows.columns).limit(4 * per_class * len(counts) + 1000).collect()
     return sorted(found, key=lambda r: (str(r[by]), r["__draw"])), counts
 
 

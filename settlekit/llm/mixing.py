@@ -3,10 +3,15 @@
 A classifier learned from a labelled table gives every document a posterior over
 the domains. Document rates r >= 0 are then fitted so that the expected tokens of
 each domain, sum of tokens * p(domain) * r, meet their targets in the least-squares
-sense: projected gradient steps from r = 1, scaled by the Gram matrix of the
-documents whose rate is not at a bound as long as that gains, plain ones after. A step is one vector with a number per domain;
-each iteration is one aggregation over the posteriors, and only domain totals reach
-the driver. Rates become copies by a draw that depends on the id alone.
+sense, by projected gradients in the lazy form: a vector s with a number per domain
+gathers the gradient steps, scaled by the Gram matrix of the documents whose rate is
+not at a bound, and the rates are the projection r = clip(1 + p . s). A round tries
+several lengths of the next step in one aggregation; only domain totals reach the
+driver. A weak pull towards r = 1, made weaker until it no longer matters, keeps the
+solution unique. A rate depends on the posterior alone, so documents with one
+posterior count as one row; posteriors are whole multiples of 1/GRID, so their number
+is bounded however many documents there are. Rates become copies by a draw that
+depends on the id alone.
 """
 
 from __future__ import annotations
@@ -14,13 +19,14 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample
+from .common import bounded_sample, written
 from .quality import HALF, QualityModel, _mixed, calibrate, dual_coordinate_descent, log_count_ratios, shape_of
 
 #: Labelled rows of each domain that the classifier is fitted on, and how many of them calibrate it (one in so many).
@@ -31,10 +37,12 @@ REPEATED = 128
 #: Marks around a word that do not belong to it; words that a task remembers.
 MARKED = ".,;:!?\"'()*#$%&|-"
 REMEMBERED = 300_000
-#: Iterations at most, and the miss of a target, as a share of all tokens, that ends them.
-ITERATIONS, TOLERANCE = 60, 1e-7
-#: A plain step that shrinks the miss by less than this share is the last one.
-LEAST_GAIN = 1e-3
+#: Posteriors are multiples of one over this.
+GRID = 4096
+#: Rounds at most (a guard; it takes some ten to forty), and the rest of the gradient, as a share of all tokens, that ends them.
+ROUNDS, TOLERANCE = 200, 1e-8
+#: Lengths of a step that a round tries, and the pulls towards 1, as a share of the largest eigenvalue of the Gram matrix.
+LENGTHS, PULLS = tuple(2.0**-i for i in range(0, 24, 2)), (1e-2, 1e-4, 1e-6, 1e-8, 1e-10)
 
 #: Domains of the labels table and their share of the tokens.
 TARGETS = {"good": 0.94, "poor": 0.04, "toxic": 0.02}
@@ -89,6 +97,14 @@ class WordFeatures:
         return distinct(np.concatenate(found)), len(words)
 
 
+def on_grid(p: np.ndarray) -> np.ndarray:
+    """The nearest multiples of 1/GRID that sum to 1: the largest remainders are rounded up."""
+    whole = np.floor(p * GRID)
+    up = np.argsort(-(p * GRID - whole), kind="stable")[:int(round(GRID - whole.sum()))]
+    whole[up] += 1
+    return whole / GRID
+
+
 @dataclass
 class DomainModel:
     """One calibrated linear model per domain, in the order of ``domains``; without models the posterior is uniform."""
@@ -102,7 +118,7 @@ class DomainModel:
         if not self.models:
             return np.full(len(self.domains), 1.0 / len(self.domains))
         p = np.array([m.score(features) for m in self.models])
-        return p / p.sum()  # scores are never 0
+        return on_grid(p / p.sum())  # scores are never 0
 
 
 def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DomainModel:
@@ -123,9 +139,10 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DomainMod
             rows = [features.of(t.as_py())[0].astype(np.int32) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int32()))], ["key", "domain", "features"])
 
-    found = (docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("key")).select("key", "domain", "text")
-             .limit(3 * SAMPLE_ROWS * len(domains)).mapInArrow(extract, "key long, domain string, features array<int>").toArrow())
-    order = np.argsort(found["key"].to_numpy(), kind="stable")
+    # an id that repeats without bound adds no more rows than a sample has; which ones stay is set by their texts
+    joined = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("key")).select("key", "domain", "text")
+    found = (joined.orderBy(F.xxhash64("key", "text"), "domain").limit(3 * SAMPLE_ROWS * len(domains)).mapInArrow(extract, "key long, domain string, features array<int>").toArrow())
+    order = np.argsort(found["key"].to_numpy(), kind="stable")  # rows of one key are in the order of their hashes
     lists = found["features"].combine_chunks()
     rows = [lists[int(i)].values.to_numpy().astype(np.int64) for i in order]
     names = np.array(found["domain"].to_pylist(), object)[order] if len(order) else np.empty(0, object)
@@ -149,18 +166,23 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DomainMod
 
 
 def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
-    """doc_id, tokens, posterior (one number per domain) of every whole text; a text without words has no tokens."""
+    """doc_id, digest (MD5 of the text), tokens, posterior (one number per domain) of every whole text; a text without words has no tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = WordFeatures()
         for batch in batches:
             tokens, p = [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 x, n = features.of(text.as_py())
                 tokens.append(n)
                 p.append(model.posterior(x))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64()), pa.array(p, pa.list_(pa.float64()))], ["doc_id", "tokens", "posterior"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(p, pa.list_(pa.float64()))],
+                                             ["doc_id", "digest", "tokens", "posterior"])
+
+    return docs.select("doc_id", text_digest().alias("digest"), "text").mapInArrow(run, "doc_id long, digest string, tokens long, posterior array<double>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, tokens long, posterior array<double>")
+def text_digest() -> Column:
+    return F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
 
 
 def rate(steps: list[list[float]], most: float | None = None) -> Column:
@@ -173,62 +195,91 @@ def rate(steps: list[list[float]], most: float | None = None) -> Column:
 
 
 def fit_rates(members: DataFrame, shares: list[float], total: float | None = None, most: float | None = None, keep: int | None = None) -> list[list[float]]:
-    """Steps of the projected gradient for ``posteriors`` rows, towards ``shares`` (they are normalised) of ``total`` tokens.
+    """The step (none, if all rates stay 1) for ``posteriors`` rows, towards ``shares`` (they are normalised) of ``total`` tokens.
 
     ``total`` defaults to the most tokens that need no domain beyond what there is of it, ``most`` bounds the
-    rates. Targets that cannot be met are met as nearly as the steps get. With ``keep``, a place in ``shares``,
-    the total is that of which this domain's tokens are its share, and the other shares are ceilings: a domain
-    with fewer tokens stays as it is.
+    rates. Targets that cannot be met are met as nearly as can be, in the least-squares sense. With ``keep``, a place
+    in ``shares``, the total is that of which this domain's tokens are its share, and the other shares are ceilings:
+    a domain with fewer tokens stays as it is.
     """
+    return fit(members, shares, total, most, keep).steps
+
+
+@dataclass
+class Fit:
+    """The steps; the target and the expected tokens of each domain; how many aggregations it took; whether they ended at the optimum."""
+
+    steps: list[list[float]]
+    target: list[float]
+    expected: list[float]
+    rounds: int
+    settled: bool
+
+
+def _tried(batches: Iterator[pa.RecordBatch], tries: np.ndarray, high: float) -> Iterator[pa.RecordBatch]:
+    """Per try s: domain tokens at the rates clip(1 + p . s), the Gram matrix of the rows between the bounds, and the tokens' sum of the
+    rate's integral (whose gradient in s the domain tokens are)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        p = batch.column(0).values.to_numpy().reshape(-1, tries.shape[1])
+        t = batch.column(1).to_numpy().astype(float)
+        out = []
+        for s in tries:
+            u = 1.0 + p @ s
+            r = np.clip(u, 0.0, high)
+            area = np.where(u > high, high * u - high * high / 2, r * r / 2) if np.isfinite(high) else r * r / 2
+            out += [p.T @ (t * r), ((p * (t * ((u >= 0) & (u <= high)))[:, None]).T @ p).ravel(), [float(t @ area)]]
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(out).tolist()], pa.list_(pa.float64()))], ["sums"])
+
+
+def fit(members: DataFrame, shares: list[float], total: float | None = None, most: float | None = None, keep: int | None = None) -> Fit:
+    """``fit_rates`` with what it reached."""
     k = len(shares)
     want = np.asarray(shares, float) / sum(shares)
-    p = [F.col("posterior")[i] for i in range(k)]
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    free = F.col("r") > 0 if most is None else (F.col("r") > 0) & (F.col("r") < most)
-
-    def totals(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
-        rows = members.withColumn("r", rate(steps, most))
-        sums = [F.sum(F.col("tokens") * p[i] * F.col("r")) for i in range(k)]
-        gram = [F.sum(F.when(free if steps else F.lit(True), F.col("tokens") * p[i] * p[j]).otherwise(0.0)) for i, j in pairs]
-        row = [x or 0.0 for x in rows.agg(*(c.alias(f"c{n}") for n, c in enumerate([*sums, *gram]))).first()]
-        g = np.zeros((k, k))
-        for (i, j), x in zip(pairs, row[k:], strict=True):
-            g[i, j] = g[j, i] = x
-        return np.array(row[:k]), g
-
-    steps: list[list[float]] = []
-    have, gram = totals(steps)
+    high = np.inf if most is None else float(most)
+    cells = written(members.groupBy("posterior").agg(F.sum("tokens").alias("tokens")).filter("tokens > 0"), "mixing-cells")
+    width, rounds = k + k * k + 1, 0
+
+    def totals(tries: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        nonlocal rounds
+        rounds += 1
+        sums = cells.mapInArrow(partial(_tried, tries=np.array(tries), high=high), "sums array<double>")
+        row = sums.select(*[F.sum(F.col("sums")[i]).alias(f"c{i}") for i in range(width * len(tries))]).first()
+        flat = np.array([x or 0.0 for x in row]).reshape(len(tries), width)
+        return [(f[:k], f[k:-1].reshape(k, k), float(f[-1])) for f in flat]
+
+    s = np.zeros(k)
+    ((have, gram, area),) = totals([s])
     if not have.sum():
-        return steps
+        return Fit([], [0.0] * k, [0.0] * k, rounds, True)
     if keep is not None:
         total = float(have[keep] / want[keep])
     elif total is None:
         total = float(min(have[i] / want[i] for i in range(k) if want[i] > 0))
     target = want * total if keep is None else np.minimum(want * total, have)
-    error = have - target
-    # A plain step of this length always descends: the totals move by at most the largest eigenvalue of the whole Gram matrix.
-    length = 1.0 / float(np.linalg.eigvalsh(gram)[-1])
-    newton, factor = True, 1.0
-    for _ in range(ITERATIONS):
-        if np.abs(error).max() <= TOLERANCE * max(total, 1.0):
-            break
-        scaled = newton and gram.any()
-        step = -np.linalg.lstsq(gram + 1e-9 * np.trace(gram) * np.eye(k), error, rcond=None)[0] if scaled else -factor * length * error
-        now, new_gram = totals([*steps, step.tolist()])
-        gain = 1.0 - np.linalg.norm(now - target) / np.linalg.norm(error)
-        if gain > (0.1 if scaled else 0.0):
-            steps, error, gram = [*steps, step.tolist()], now - target, new_gram
-        if scaled:
-            newton = gain > 0.1
-        elif gain > 0:
-            if gain < LEAST_GAIN:
+    enough, largest = TOLERANCE * max(total, 1.0), float(np.linalg.eigvalsh(gram)[-1])
+    settled = bool(np.abs(have - target).max() <= enough)
+    for pull in () if settled else PULLS:
+        pull *= largest
+        settled = False
+        while rounds < ROUNDS:
+            slope = have - target + pull * s
+            if np.abs(slope).max() <= enough:
+                settled = True
+                break
+            step = -np.linalg.solve(gram + pull * np.eye(k), slope)
+            tries = [s + a * step for a in LENGTHS]
+            found = totals(tries)
+            value = [f[2] - target @ x + pull / 2 * x @ x for x, f in zip(tries, found, strict=True)]
+            best = int(np.argmin(value))
+            if value[best] >= area - target @ s + pull / 2 * s @ s:
+                settled = True  # no length gains: the rest is rounding
                 break
-            factor *= 4
-        elif factor <= 1:
+            s, (have, gram, area) = tries[best], found[best]
+        if np.abs(have - target).max() <= enough:
             break
-        else:
-            factor = max(1.0, factor / 4)
-    return steps
+    return Fit([s.tolist()] if s.any() else [], target.tolist(), have.tolist(), rounds, settled)
 
 
 def copies(rate_col: str = "rate", key: str = "doc_id") -> Column:
@@ -239,10 +290,11 @@ def copies(rate_col: str = "rate", key: str = "doc_id") -> Column:
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, total: float | None = None, most: float | None = None,
         keep: str | None = None) -> DataFrame:
-    """doc_id, tokens, posterior, rate, copies of every document: one row per input row.
+    """doc_id, digest, tokens, posterior, rate, copies of every document: one row per input row.
 
     A document without an id has no draw and stays once. Repeated rows get the same rate and copies. An
-    empty table gives no rows; without labels every posterior is uniform. With ``keep``, this domain's tokens set
+    empty table gives no rows; without labels every posterior is uniform. ``fit`` gives the tokens that each
+    domain comes to. With ``keep``, this domain's tokens set
     the total and the others' shares are ceilings; without a label of it nothing tells it apart, and every rate
     is 1. Only doc_id and text are read.
     """
@@ -255,9 +307,11 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGET
 
 def keep_mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, total: float | None = None, most: float | None = None,
                keep: str | None = None) -> DataFrame:
-    """The rows of ``docs`` (all their columns), each as often as its copies."""
-    changed = mix(docs, labelled, targets, total, most, keep).filter("copies <> 1").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).distinct()
-    dealt = docs.join(changed, docs["doc_id"] == changed["__id"], "left").withColumn("__copies", F.coalesce("__copies", F.lit(1)))
+    """The rows of ``docs`` (all their columns), each as often as its copies: those of its id and text."""
+    changed = mix(docs, labelled, targets, total, most, keep).filter("copies <> 1").select(
+        F.col("doc_id").alias("__id"), F.col("digest").alias("__text"), F.col("copies").alias("__copies")).distinct()
+    dealt = docs.join(changed, (docs["doc_id"] == changed["__id"]) & (text_digest() == changed["__text"]), "left").withColumn(
+        "__copies", F.coalesce("__copies", F.lit(1)))
     return dealt.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__copies")))).filter("__copy > 0").select(docs.columns)
 
 

@@ -210,6 +210,51 @@ def test_bounded_rates_are_the_least_squares_optimum(spark):
     assert loss(rates) <= loss(best) + 1e-3 * (target**2).sum()
 
 
+@pytest.mark.parametrize("shares,total,most", [([0.6, 0.3, 0.1], 14_000.0, 1.0), ([0.1, 0.1, 0.8], None, 1.0), ([0.2, 0.2, 0.6], 60_000.0, 1.5), ([0.9, 0.05, 0.05], 9_000.0, None)])
+def test_fit_ends_at_the_optimum_and_says_what_it_reached(spark, shares, total, most):
+    df, rows = members(spark, 60, 3)
+    fit = mixing.fit(df, shares, total, most)
+    rates = np.array([r.r for r in df.withColumn("r", mixing.rate(fit.steps, most)).orderBy("doc_id").collect()])
+    t, p, target = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows]), np.array(fit.target)
+    a, best, at, age = t[:, None] * p, np.ones(60), np.ones(60), 1.0
+    for _ in range(100_000):  # accelerated projected gradient on the rates themselves
+        new = np.clip(at - (a @ (at @ a - target)) / np.linalg.norm(a, 2) ** 2, 0, np.inf if most is None else most)
+        grown = (1 + np.sqrt(1 + 4 * age * age)) / 2
+        at, best, age = new + (age - 1) / grown * (new - best), new, grown
+    miss = lambda r: float(np.linalg.norm(r @ a - target))
+    assert fit.settled and fit.rounds < 100 and np.allclose(fit.expected, rates @ a, rtol=1e-5)
+    assert miss(rates) <= miss(best) + 1e-4 * target.sum() * (miss(best) > 1e-6 * target.sum()) + 1e-6 * target.sum()
+
+
+def test_reachable_targets_of_a_small_table_are_met(spark, sf):
+    docs, labelled = table(spark, sf, "documents"), mixing.label_domains(table(spark, sf, "labels"))
+    rows = mixing.mix(docs, labelled).collect()
+    want = np.array([mixing.TARGETS[d] for d in sorted(mixing.TARGETS)])
+    have = np.array([np.array(r.posterior) * r.tokens * r.rate for r in rows]).sum(0)
+    assert np.allclose(have / have.sum(), want, rtol=1e-4)
+    assert all(float(x * mixing.GRID).is_integer() for r in rows for x in r.posterior)
+
+
+def test_two_texts_under_one_id_are_dealt_by_themselves(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labelled = table(spark, sf, "documents"), mixing.label_domains(table(spark, sf, "labels"))
+    good, toxic = (labelled.filter(F.col("domain") == d).select("doc_id").limit(20) for d in ("good", "toxic"))
+    pair = docs.join(good, "doc_id").select(F.lit(-5).cast("long").alias("doc_id"), "text", "lang", "source", "n_chars").unionByName(
+        docs.join(toxic, "doc_id").select(F.lit(-5).cast("long").alias("doc_id"), "text", "lang", "source", "n_chars"))
+    both = docs.unionByName(pair.dropDuplicates(["text"]))
+    rates = {r.digest: r.copies for r in mixing.mix(both, labelled, most=1.0, keep="good").filter("doc_id = -5").collect()}
+    assert set(rates.values()) == {0, 1}
+    kept = mixing.keep_mixed(both, labelled, most=1.0, keep="good").filter("doc_id = -5").select(F.md5(F.col("text").cast("binary"))).collect()
+    assert sorted(r[0] for r in kept) == sorted(d for d, n in rates.items() if n)
+
+
+def test_posteriors_on_the_grid_sum_to_one():
+    rng = np.random.default_rng(1)
+    for p in rng.dirichlet([0.3, 0.3, 0.3, 0.3], 500):
+        q = mixing.on_grid(p)
+        assert q.sum() == 1.0 and (q >= 0).all() and np.abs(q - p).max() <= 1 / mixing.GRID
+
+
 def test_copies_follow_the_rates(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") % 5 * 0.5).alias("rate")).withColumn("copies", mixing.copies())
     for r in df.groupBy("rate").agg(F.avg("copies").alias("m"), F.min("copies").alias("lo"), F.max("copies").alias("hi")).collect():
