@@ -1,14 +1,17 @@
 """Quality, language ID, BPE and credential linking."""
 
 import hashlib
+import math
+import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from settlekit.llm import bpe, credentials, langid, quality
+from settlekit.llm import bpe, common, credentials, langid, quality
 from settlekit.llm.queries import BYTE_BPE
 from edge_rows import EDGES, frame
 
@@ -87,6 +90,69 @@ def test_language_edges(spark, docs, edges, nothing):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in rows.items() if not r.rejected}
 
 
+UNLEARNED = {
+    "it": "Durante il pomeriggio i ragazzi giocavano a pallone nel cortile della scuola mentre gli anziani sedevano sulle panchine a leggere il giornale e a parlare "
+          "del tempo, che quest anno sembra non voler mai cambiare davvero.",
+    "pl": "Po południu dzieci grały w piłkę na szkolnym boisku, a starsi siedzieli na ławkach, czytali gazety i rozmawiali o pogodzie, która w tym roku zupełnie nie "
+          "chce się zmienić.",
+    "fi": "Iltapäivällä lapset pelasivat palloa koulun pihalla, kun vanhukset istuivat penkeillä lukemassa lehtiä ja puhumassa säästä, joka ei tänä vuonna tunnu "
+          "muuttuvan lainkaan.",
+    "pt": "Durante a tarde as crianças jogavam à bola no pátio da escola enquanto os idosos ficavam sentados nos bancos a ler o jornal e a falar do tempo, que este "
+          "ano parece não querer mudar."}
+
+
+def test_unlearned_languages_and_random_letters_are_rejected_and_clean_texts_stay(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.train(langid.training_rows(docs))
+    encoders = model.encoders()
+    rng = random.Random(5)
+    letters = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    for n in (25, 100, 400, 2000):
+        assert np.mean([langid.decide(letters(n), encoders)[2] < langid.MIN_MARGIN for _ in range(40)]) > 0.95
+    for text in UNLEARNED.values():
+        assert langid.decide(text, encoders)[2] < langid.MIN_MARGIN and langid.decide(f"{text} {letters(3000)}", encoders)[2] < langid.MIN_MARGIN
+    rows = langid.identify(docs, model).join(spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1 AND toxic = 0"), "doc_id").collect()
+    assert len(rows) > 250 and np.mean([r.rejected for r in rows]) < 0.02
+
+
+def test_encodings_and_choice_against_a_plain_form(spark, docs):
+    model = langid.train(langid.training_rows(docs))
+    rows = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    assert list(model.dictionaries) == ["en", "fr", "de", "es"] or set(model.dictionaries) == {"en", "de", "fr", "es"}
+    made = {lang: zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                                           write_content_size=False, write_checksum=False, write_dict_id=False) for lang, d in model.dictionaries.items()}
+    bare = zstandard.ZstdCompressor(level=langid.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
+    for r in docs.collect():
+        words, last = [], None
+        for w in re.findall(r"[^\W\d_]+", r.text.lower()):
+            if w != last:
+                words.append(w)
+            last = w
+        form, parts = f" {' '.join(words)} ".encode(), []
+        while len(form) > 8192:
+            cut = form[:8192].rfind(b" ") + 1
+            parts.append(form[:cut])
+            form = form[cut:]
+        parts.append(form)
+        sizes = [sum(len(c.compress(p)) for p in parts) for c in made.values()]
+        best = sizes.index(min(sizes))
+        got = rows[r.doc_id]
+        assert got.lang_pred == list(made)[best]
+        floor = next((s for n, s in model.floors[got.lang_pred] if len(b"".join(parts)) <= n), model.floors[got.lang_pred][-1][1])
+        none = math.floor((1 - floor) * sum(len(bare.compress(p)) for p in parts))
+        assert got.margin == min(sorted(sizes)[1], none) - sizes[best] and got.rejected == (got.margin < 1)
+
+
+def test_dictionaries_hold_whole_rows_and_a_bounded_number_of_languages(spark, monkeypatch):
+    long = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(5000))
+    rows = [(i, long + " endmark", "en") for i in range(2)] + [(10 + i, f"kurz {chr(97 + i)}", "de") for i in range(5)] + [(20, "x", f"l{i}") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.train(df).dictionaries["en"].endswith(b" endmark ")
+    monkeypatch.setattr(common, "MAX_CLASSES", 2)
+    assert list(langid.train(df).dictionaries) == ["de", "en"]
+
+
 # ---- op8 -------------------------------------------------------------------
 def test_bpe_is_the_library(spark, docs):
     from tokenizers import Tokenizer
