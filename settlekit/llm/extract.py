@@ -19,6 +19,7 @@ import hashlib
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,6 +33,8 @@ from .common import salt
 TEMPLATE_PAGES, TEMPLATE_TEXT = 0.5, 0.9
 #: ... and the host has at least so many different pages. On fewer it is if it has one text on all of them, while others vary.
 MIN_PAGES = 8
+#: A single node beside varying neighbours of its label, which may be a line that articles share, is template by the same shares on so many.
+MIN_PAGES_NODE = 16
 #: A page of such a host stays whole if less than this share of its text would.
 LEAST_LEFT = 0.1
 #: Texts counted per slot (the rest cancel out, as in Misra and Gries), page digests kept to tell pages apart.
@@ -40,16 +43,17 @@ TEXTS_A_SLOT, DIGESTS = 8, 32
 MAX_SLOTS = 3_000
 #: Hosts whose wrappers a task holds before it passes them on.
 HOSTS_A_TASK = 2_000
-#: Elements deeper than this hang on their ancestor at this depth; sibling lists longer than this are matched in one pass.
+#: The wrapper's slots go so deep (text is read at any depth); sibling lists longer than this are matched in one pass, in order.
 MAX_DEPTH, MAX_TABLE = 120, 40_000
+#: Own texts of single nodes counted per slot; beyond it those on less than half of its pages are forgotten.
+NODE_TEXTS = 256
 #: Pieces that a host's pages are dealt into for the join.
 PIECES = 32
 
-RAW = "script|style|textarea|title|noscript|template|iframe|svg|xmp|noembed|noframes"
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<({RAW})\b((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>.*?(?:</\1\s*[^>]*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S | re.I)
+#: Elements whose content is no markup.
+RAW = frozenset("script style textarea title noscript template iframe svg xmp noembed noframes".split())
+TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+TAG_MARK = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img label".split())
@@ -68,6 +72,13 @@ NO_ARTICLE_NAME = frozenset("ad ads advert promo sponsored related recommended c
 #: Within an article, a class of one of these words, and of these beside it, is an advert or a comment list.
 UNMISTAKABLE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored adbox adslot adsense adunit comment comments commentlist usercomments disqus reply replies".split())
+#: Of these, on containers of an article, newsletter forms and consent notices; and the words beside comments there.
+SIGN_UP = frozenset("newsletter subscribe subscription signup cookie cookies consent gdpr".split())
+BESIDE_COMMENTS = frozenset("post entry article page site blog respond".split())
+#: Ids of an article's containers that say comments or a form, as a whole.
+PURPOSE_IDS = frozenset("comments comment-list commentlist comment-section comments-section user-comments respond disqus-thread disqus replies newsletter newsletter-signup "
+                        "newsletter-form subscribe-form cookie-notice cookie-banner".split())
+CONTAINERS = frozenset("div section ul ol dl table details fieldset article".split())
 BESIDE = frozenset("slot box unit container wrapper wrap area block list section thread inline top bottom middle left right small large google user reader item body form".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that stand once on a page, whatever their names.
@@ -77,10 +88,11 @@ NAME_PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "names", "classes", "ids", "role", "hidden", "children")
+    __slots__ = ("tag", "names", "classes", "ids", "role", "hidden", "children", "chars", "linked")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.names, self.classes, self.ids, self.role, self.hidden, self.children = tag, "", "", "", "", False, []
+        self.chars = self.linked = 0  # of the text in it, and of what of that is in links
         if attributes and attributes != "/":
             for name, a, b, c in ATTRIBUTE.findall(attributes):
                 value, name = (a or b or c).strip().lower() if name.lower() not in ("class", "id") else (a or b or c).strip(), name.lower()
@@ -98,8 +110,9 @@ class Node:
     def no_article(self, within: bool) -> bool:
         """Whether it is something other than an article by its kind or name; ``within``: inside an article's element.
 
-        No heading is, by its name. An article's id counts if it is one word. Within an article only classes count, and
-        only those of adverts and comment lists, or on lists of links.
+        No heading is, by its name. An article's id counts if it is one word. Within an article only those classes count
+        that say adverts, comments or sign-up forms and nothing else, or any on lists of links; and on containers the
+        ids that say comments or a form as a whole.
         """
         if self.tag in NO_TEXT or self.hidden or self.role in NO_ROLE:
             return True
@@ -107,6 +120,8 @@ class Node:
             return True
         if not self.names or self.tag in ("html", "body", "main") or self.tag in HEADINGS:
             return False
+        if within and self.tag in CONTAINERS and not PURPOSE_IDS.isdisjoint(self.ids.lower().replace("_", "-").split()):
+            return True
         if self.tag == "article":
             words = words_of(self.classes)
             slug = words_of(self.ids)
@@ -116,6 +131,8 @@ class Node:
                 words = words_of(token)
                 if not words.isdisjoint(UNMISTAKABLE) and words <= UNMISTAKABLE | BESIDE:
                     return True
+                if self.tag in CONTAINERS and not words.isdisjoint(UNMISTAKABLE | SIGN_UP) and words <= UNMISTAKABLE | SIGN_UP | BESIDE | BESIDE_COMMENTS:
+                    return True
             return not words_of(self.classes).isdisjoint(NO_NAME) and mostly_links(self)
         words = words_of(self.names)
         return not words.isdisjoint(NO_NAME) or "header" in words
@@ -125,70 +142,150 @@ def words_of(names: str) -> set[str]:
     return {w.lower() for w in NAME_PART.findall(names)}
 
 
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """The page's parts in order, in one pass: ("text", text, ""), ("open", tag, attributes), ("close", tag, ""), ("raw", tag, "").
+
+    Comments, declarations and processing instructions are left out. A ``<`` that no ``>`` follows is text. Quotes hide a
+    ``>`` as long as they are balanced; from the first tag on that has no end for them, they don't.
+    """
+    at, start, last, quotes, size = 0, 0, page.rfind(">"), True, len(page)
+    while True:
+        lt = page.find("<", at)
+        if lt < 0:
+            break
+        ahead = page[lt + 1:lt + 2]
+        if ahead in ("!", "?") and ahead:
+            mark = next((m for begin, m in (("<!--", "-->"), ("<![CDATA[", "]]>")) if page.startswith(begin, lt)), ">")
+            end = page.find(mark, lt + (4 if mark == "-->" else 2))
+            if start < lt:
+                yield "text", page[start:lt], ""
+            at = start = size if end < 0 else end + len(mark)
+            continue
+        if lt > last:
+            at = lt + 1
+            if page.find("<!", at) < 0 and page.find("<?", at) < 0:
+                break
+            continue
+        closing = ahead == "/"
+        name = TAG_NAME.match(page, lt + 1 + closing)
+        if name is None:
+            at = lt + 1
+            continue
+        end = -1
+        if quotes and not closing:
+            mark = TAG_MARK.search(page, name.end())
+            while mark is not None and mark[0] != ">":
+                shut = page.find(mark[0], mark.end())
+                mark = TAG_MARK.search(page, shut + 1) if shut >= 0 else None
+            quotes, end = mark is not None, mark.start() if mark is not None else -1
+        if end < 0:
+            end = page.find(">", name.end())
+        if start < lt:
+            yield "text", page[start:lt], ""
+        at = start = end + 1
+        tag, attributes = name[0].lower(), page[name.end():end]
+        if closing:
+            yield "close", tag, ""
+        elif tag in RAW and not (tag == "svg" and attributes.endswith("/")):
+            yield "raw", tag, ""
+            shut = _raw_end(tag).search(page, at)
+            end = -1 if shut is None else page.find(">", shut.end())
+            at = start = size if end < 0 else end + 1
+        else:
+            yield "open", tag, attributes
+    if start < size:
+        yield "text", page[start:], ""
+
+
+@lru_cache(None)
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(f"</{tag}(?=[\\s/>])", re.I)
+
+
 def parse(page: str) -> Node:
-    """Tree of elements and texts (strings, character references decoded); any input gives one."""
+    """Tree of elements and texts (strings, character references decoded later); any input gives one, of any depth, in one pass."""
     root = Node("#page")
-    stack, at = [root], 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            stack[-1].children.append(page[at:m.start()])
-        at = m.end()
-        raw, tag = m[1], m[4]
-        if raw:
-            stack[-1].children.append(Node(raw.lower()))
-        elif tag:
-            tag = tag.lower()
-            if m[3]:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        del stack[i:]
-                        break
-                else:
-                    if tag == "p":
-                        stack[-1].children.append(Node("p"))
-                continue
-            if tag in CLOSES_P:
+    stack, open_tags = [root], Counter()
+
+    def pop(to: int) -> None:
+        for node in stack[to:]:
+            open_tags[node.tag] -= 1
+        del stack[to:]
+
+    for kind, tag, attributes in tokens(page):
+        if kind == "text":
+            stack[-1].children.append(tag)
+        elif kind == "raw":
+            stack[-1].children.append(Node(tag))
+        elif kind == "close":
+            if open_tags[tag]:
+                pop(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
+            elif tag == "p":
+                stack[-1].children.append(Node("p"))
+        else:
+            if tag in CLOSES_P and open_tags["p"]:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag == "p":
-                        del stack[i:]
+                        pop(i)
                         break
                     if stack[i].tag not in INLINE:
                         break
-            elif tag in SIBLINGS:
+            elif tag in SIBLINGS and any(open_tags[t] for t in SIBLINGS[tag]):
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag in SIBLINGS[tag]:
-                        del stack[i:]
+                        pop(i)
                         break
                     if stack[i].tag in ("ul", "ol", "dl", "table", "select"):
                         break
-            node = Node(tag, m[5])
+            node = Node(tag, attributes)
             stack[-1].children.append(node)
-            if tag not in VOID and not (m[5].endswith("/") and tag not in INLINE and tag not in CLOSES_P) and len(stack) < MAX_DEPTH:
+            if tag not in VOID and not (attributes.endswith("/") and tag not in INLINE and tag not in CLOSES_P):
                 stack.append(node)
-    if at < len(page):
-        stack[-1].children.append(page[at:])
+                open_tags[tag] += 1
+    _count(root)
     return root
 
 
+def _count(root: Node) -> None:
+    """Characters of text, and of linked text, in every element, from the leaves up."""
+    order, left = [], [root]
+    while left:
+        node = left.pop()
+        order.append(node)
+        left += [c for c in node.children if isinstance(c, Node)]
+    for node in reversed(order):
+        for c in node.children:
+            if isinstance(c, str):
+                node.chars += len(c.strip())
+            else:
+                node.chars, node.linked = node.chars + c.chars, node.linked + c.linked
+        if node.tag == "a":
+            node.linked = node.chars
+
+
 def text_key(text: str) -> str:
     return hashlib.blake2b(text.encode(), digest_size=8).hexdigest()
 
 
 class Slot:
-    """A node of a page's slot tree or of a wrapper: label, pages it stands on, counted texts, children."""
+    """A node of a page's slot tree or of a wrapper: label, pages it stands on, counted texts, children.
+
+    ``texts`` counts the pages by all own text of the slot, ``parts`` by the own text of each of its nodes, where it has several.
+    """
 
-    __slots__ = ("label", "pages", "texts", "children", "own", "nodes")
+    __slots__ = ("label", "pages", "texts", "parts", "children", "own", "nodes")
 
     def __init__(self, label: str, pages: int = 1):
-        self.label, self.pages, self.texts, self.children, self.own, self.nodes = label, pages, {}, [], [], []
+        self.label, self.pages, self.texts, self.parts, self.children, self.own, self.nodes = label, pages, {}, {}, [], [], []
 
     def packed(self) -> list:
-        return [self.label, self.pages, self.texts, [c.packed() for c in self.children]]
+        often = {k: n for k, n in self.parts.items() if 2 * n >= self.pages}
+        return [self.label, self.pages, self.texts, often, [c.packed() for c in self.children]]
 
     @classmethod
     def unpacked(cls, data: list) -> Slot:
         slot = cls(data[0], data[1])
-        slot.texts, slot.children = data[2], [cls.unpacked(c) for c in data[3]]
+        slot.texts, slot.parts, slot.children = data[2], data[3], [cls.unpacked(c) for c in data[4]]
         return slot
 
     def size(self) -> int:
@@ -208,7 +305,7 @@ def slots_of(root: Node) -> Slot:
     return top
 
 
-def _fill(slot: Slot, node: Node) -> None:
+def _fill(slot: Slot, node: Node, depth: int = 0) -> None:
     slot.nodes.append(node)
     place = 0
     for child in node.children:
@@ -216,6 +313,8 @@ def _fill(slot: Slot, node: Node) -> None:
             if not child.isspace():
                 slot.own.append(child)
             continue
+        if depth == MAX_DEPTH:
+            continue
         label = f"{child.tag} {child.names.lower()}" if child.names else child.tag
         # the next slot of this label, from the place where the last child of this node went
         for i in range(max(place - 1, 0), len(slot.children)):
@@ -225,12 +324,20 @@ def _fill(slot: Slot, node: Node) -> None:
         else:
             slot.children.insert(place, Slot(label))
             place += 1
-        _fill(slot.children[place - 1], child)
+        _fill(slot.children[place - 1], child, depth + 1)
+
+
+def _own_key(node: Node) -> str | None:
+    """Key of a node's own text (what stands right in it); None without any."""
+    own = " ".join(" ".join(c for c in node.children if isinstance(c, str)).split())
+    return text_key(own) if own else None
 
 
 def _settle(slot: Slot) -> None:
     own = " ".join(" ".join(slot.own).split())
     slot.texts = {text_key(own): 1} if own else {}
+    if own and len(slot.nodes) > 1:
+        slot.parts = {k: 1 for k in map(_own_key, slot.nodes) if k}
     for c in slot.children:
         _settle(c)
 
@@ -319,6 +426,10 @@ def merge(into: Slot, other: Slot, memo: dict | None = None) -> None:
         cut = sorted(texts.values(), reverse=True)[TEXTS_A_SLOT]
         texts = {k: n - cut for k, n in texts.items() if n > cut}
     into.texts = texts
+    for k, n in (other.parts or ({k: n for k, n in other.texts.items()} if into.parts else {})).items():
+        into.parts[k] = into.parts.get(k, 0) + n
+    if len(into.parts) > NODE_TEXTS:
+        into.parts = {k: n for k, n in into.parts.items() if 2 * n >= into.pages}
     if len(pairs) == len(other.children):
         for i, j in pairs:
             merge(into.children[i], other.children[j], memo)
@@ -372,47 +483,30 @@ class Wrapper:
 
     def _template(self, slot: Slot, page: Slot, found: set[int], memo: dict) -> None:
         pages_share, text_share = (1, 1) if self.few() else (TEMPLATE_PAGES, TEMPLATE_TEXT)
-        if slot.texts and page.texts and slot.pages >= pages_share * self.slots.pages:
+        if page.texts and slot.pages >= pages_share * self.slots.pages:
             (key,) = page.texts
             if slot.texts.get(key, 0) >= text_share * slot.pages:
                 found.update(map(id, page.nodes))
+            elif slot.parts and len(self.digests) >= MIN_PAGES_NODE:  # single nodes beside varying ones
+                found.update(id(node) for node in page.nodes if slot.parts.get(_own_key(node), 0) >= text_share * slot.pages)
         for i, j in aligned(slot, page, memo):
             self._template(slot.children[i], page.children[j], found, memo)
 
 
 def main_parts(root: Node) -> list[Node]:
     """The outermost article or main elements that are not within something else; the page itself if there is none."""
-    found: list[Node] = []
-
-    def look(node: Node) -> None:
-        for c in node.children:
-            if isinstance(c, Node):
-                if c.no_article(False):
-                    continue
-                if c.tag in ("article", "main") or c.role in ("main", "article"):
-                    found.append(c)
-                else:
-                    look(c)
-
-    look(root)
+    found, left = [], [root]
+    while left:
+        node = left.pop()
+        if node is not root and (node.tag in ("article", "main") or node.role in ("main", "article")):
+            found.append(node)
+            continue
+        left += [c for c in reversed(node.children) if isinstance(c, Node) and not c.no_article(False)]
     return found or [root]
 
 
-def _chars(node: Node, in_link: bool = False) -> tuple[int, int]:
-    linked = total = 0
-    for c in node.children:
-        if isinstance(c, str):
-            n = len(c.strip())
-            total, linked = total + n, linked + n * in_link
-        else:
-            t, k = _chars(c, in_link or c.tag == "a")
-            total, linked = total + t, linked + k
-    return total, linked
-
-
 def mostly_links(node: Node) -> bool:
-    total, linked = _chars(node, node.tag == "a")
-    return linked > 0.6 * total
+    return node.linked > 0.6 * node.chars
 
 
 def blocks(root: Node, template: set[int]) -> list[str]:
@@ -427,32 +521,29 @@ def blocks(root: Node, template: set[int]) -> list[str]:
             if text:
                 out.append(text)
 
-    def walk(node: Node, within: bool) -> None:
-        constant = id(node) in template
-        for c in node.children:
-            if isinstance(c, str):
+    for part in main_parts(root):
+        # (children to come, whether the node's own text is template, within an article, ends a block)
+        left = [(iter(part.children), id(part) in template, part is not root, True)]
+        while left:
+            children, constant, within, ends = left[-1]
+            c = next(children, None)
+            if c is None:
+                left.pop()
+                if ends:
+                    flush()
+            elif isinstance(c, str):
                 if not constant:
                     inline.append(c)
-                continue
-            if c.tag in ("br", "wbr"):
+            elif c.tag in ("br", "wbr"):
                 if c.tag == "br":
                     inline.append(" ")
+            elif c.no_article(within) or (c.tag in ("ul", "ol", "table") and not within and mostly_links(c)):
                 continue
-            if c.no_article(within):
-                continue
-            if c.tag in ("ul", "ol", "table") and not within:
-                if mostly_links(c):
-                    continue
-            if c.tag in INLINE:
-                walk(c, within)
+            elif c.tag in INLINE:
+                left.append((iter(c.children), id(c) in template, within, False))
             else:
                 flush()
-                walk(c, within or c.tag in ("article", "main"))
-                flush()
-
-    for part in main_parts(root):
-        walk(part, part is not root)
-        flush()
+                left.append((iter(c.children), id(c) in template, within or c.tag in ("article", "main"), True))
     return out
 
 

@@ -6,6 +6,7 @@ import html
 import math
 import random
 import re
+import time
 from fractions import Fraction
 
 import numpy as np
@@ -147,6 +148,84 @@ def test_extraction_edges(spark):
     assert extract.extract(df.limit(0)).count() == 0
 
 
+MALFORMED = {"names": "<a" * 500_000, "tags": "<div " * 200_000, "quotes": "<a href='x\">" * 80_000, "one quote": '<a title="' + "x>" * 500_000, "odd": '<a ">" ' * 150_000,
+             "scripts": "<script " * 130_000, "open scripts": "<script>" * 130_000, "comments": "<!--" * 250_000, "declarations": "<!" * 500_000, "ends": "</b" * 300_000,
+             "closed ends": "</b>" * 250_000, "deep": "<div>" * 200_000, "inline": "<b>" * 300_000, "paragraphs": "<p><b>" * 160_000, "items": "<li>" * 250_000,
+             "lists": "<ul><li>" * 120_000, "classes": "<a class" + " " * 1_000_000 + ">", "less": "<" * 1_000_000, "ends after": "<b>" * 100_000 + "</i></p>" * 60_000}
+
+
+@pytest.mark.parametrize("kind", sorted(MALFORMED))
+def test_a_megabyte_of_malformed_markup_takes_no_time(kind):
+    page = f"<article><p>Text A</p></article>{MALFORMED[kind]}"
+    started = time.process_time()
+    text = extract.main_text(page, None)
+    assert time.process_time() - started < 4 and text.startswith("Text A")  # a second or less; four on a busy machine
+    extract.slots_of(extract.parse(page[:20_000]))
+
+
+@pytest.mark.parametrize("depth", [125, 1_000, 20_000])
+def test_deep_articles_keep_their_text(depth):
+    page = "<div>" * depth + "<nav>menu</nav><article><p>Text <b>A</b></p><ul><li>B</ul></article>" + "</div>" * depth + "<footer>foot</footer>"
+    assert extract.main_text(page, None) == "Text A\n\nB"
+    inside = "<article><p>Top</p>" + "<div>" * depth + "<p>Deep</p>" + "</div>" * depth + "</article>"
+    wrapper = None
+    for i in range(10):
+        new = extract.Wrapper(extract.slots_of(extract.parse(inside.replace("Deep", f"Deep {i}").replace("Top", f"Top {i}"))), [str(i)])
+        if wrapper is None:
+            wrapper = extract.Wrapper.load(new.dump())
+        else:
+            wrapper.add(new)
+    assert extract.main_text(inside, extract.Wrapper.load(wrapper.dump())) == "Top\n\nDeep"
+
+
+COMMENTS = ['<div id="comments"><p>{c}</p></div>', '<div id="disqus_thread">{c}</div>', '<div id="respond"><p>{c}</p></div>', '<div class="post-comments"><ol><li>{c}</li></ol></div>',
+            '<div class="newsletter-signup"><p>{c}</p></div>', '<section id="comments"><article><p>{c}</p></article></section>', '<div class="cookie-consent">{c}</div>']
+
+
+@pytest.mark.parametrize("block", COMMENTS)
+@pytest.mark.parametrize("around", ["<article><h1>T{i}</h1><p>Body {i}</p>{block}</article>", "<main><article><h1>T{i}</h1><p>Body {i}</p></article>{block}</main>"])
+def test_comments_and_forms_within_the_article_go(spark, block, around):
+    pages = [(i, f"https://h.example/{i}", around.replace("{i}", str(i)).replace("{block}", block.replace("{c}", f"Reader says {i * 7}"))) for i in range(12)]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"T{i}\n\nBody {i}" for i in range(12)}
+
+
+def test_names_of_an_articles_own_sections_keep_their_text():
+    kept = ('<h2 id="comments">A</h2>', '<section id="discussion"><p>A</p></section>', '<div class="menu-du-jour">A</div>', '<p class="newsletter">A</p>',
+            '<div id="comments-on-the-budget">A</div>', '<div class="post-body">A</div>', '<section class="article-section">A</section>', '<div id="subscribe-to-reality">A</div>')
+    for part in kept:
+        assert extract.main_text(f"<article>{part}</article>", None) == "A"
+
+
+def test_constant_nodes_beside_varying_ones_are_template(spark):
+    rng = random.Random(3)
+    pages, want = [], {}
+    for i in range(40):
+        own = [f"Own {i} {k} {rng.random()}" for k in range(rng.randint(1, 6))]
+        mixed = [f"<p>{t}</p>" for t in own]
+        mixed.insert(rng.randint(0, len(own)), "<p>Standard disclaimer text here.</p>")
+        if i < 10:
+            mixed.append("<p>Said on a quarter of the pages.</p>")
+            own.append("Said on a quarter of the pages.")
+        pages.append((i, f"https://h.example/{i}", f"<article>{''.join(mixed)}</article>"))
+        want[i] = "\n\n".join(own)
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == want
+    counts = {}  # the slot's counts are those of a plain count of each page's paragraphs
+    wrapper = None
+    for _, _, page in pages:
+        for t in set(re.findall("<p>(.*?)</p>", page)):
+            counts[extract.text_key(t)] = counts.get(extract.text_key(t), 0) + 1
+        new = extract.Wrapper(extract.slots_of(extract.parse(page)), [extract.text_key(page)])
+        if wrapper is None:
+            wrapper = extract.Wrapper.load(new.dump())
+        else:
+            wrapper.add(new)
+    slot = wrapper.slots.children[0].children[0]
+    assert slot.label == "p" and slot.parts[extract.text_key("Standard disclaimer text here.")] == 40
+    assert all(slot.parts[k] == counts[k] for k in slot.parts)
+
+
 # ---- op3 -------------------------------------------------------------------
 def _expected(rows):
     first = {}
