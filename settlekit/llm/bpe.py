@@ -28,7 +28,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PLAIN_MARKS = frozenset(".,;:!?")
 
 #: Units that a task remembers; beyond it the memory starts anew, results stay the same.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 #: A space or line end before further white space or the end, or a NUL: such texts are split whole.
 AWKWARD = re.compile(r"[ \n](?=\s|\Z)|\A\s|\0")
