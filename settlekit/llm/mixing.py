@@ -230,7 +230,8 @@ def _tried(batches: Iterator[pa.RecordBatch], tries: np.ndarray, high: float) ->
             r = np.clip(u, 0.0, high)
             area = np.where(u > high, high * u - high * high / 2, r * r / 2) if np.isfinite(high) else r * r / 2
             out += [p.T @ (t * r), ((p * (t * ((u >= 0) & (u <= high)))[:, None]).T @ p).ravel(), [float(t @ area)]]
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(out).tolist()], pa.list_(pa.float64()))], ["sums"])
+        flat = np.concatenate(out)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["place", "value"])
 
 
 def fit(members: DataFrame, shares: list[float], total: float | None = None, most: float | None = None, keep: int | None = None) -> Fit:
@@ -244,9 +245,11 @@ def fit(members: DataFrame, shares: list[float], total: float | None = None, mos
     def totals(tries: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
         nonlocal rounds
         rounds += 1
-        sums = cells.mapInArrow(partial(_tried, tries=np.array(tries), high=high), "sums array<double>")
-        row = sums.select(*[F.sum(F.col("sums")[i]).alias(f"c{i}") for i in range(width * len(tries))]).first()
-        flat = np.array([x or 0.0 for x in row]).reshape(len(tries), width)
+        parts = cells.mapInArrow(partial(_tried, tries=np.array(tries), high=high), "place int, value double")
+        flat = np.zeros(len(tries) * width)
+        for r in parts.groupBy("place").agg(F.sum("value").alias("sum")).collect():  # a number per try and place
+            flat[r["place"]] = r["sum"]
+        flat = flat.reshape(len(tries), width)
         return [(f[:k], f[k:-1].reshape(k, k), float(f[-1])) for f in flat]
 
     s = np.zeros(k)
