@@ -173,7 +173,7 @@ def _star_links(edges: DataFrame, sets: DataFrame, p: MinMax) -> DataFrame:
 
 
 def _block_links(members: DataFrame, sets: DataFrame, p: MinMax) -> DataFrame:
-    """Links (a, b) between different components (column comp) within the buckets (column key).
+    """Links between different components (column comp) within the buckets (column key), as the pairs (a, b) of components.
 
     The largest component's members meet those of the others, these meet each other; members come
     in blocks, and a group is a pair of blocks.
@@ -194,10 +194,10 @@ def _block_links(members: DataFrame, sets: DataFrame, p: MinMax) -> DataFrame:
     none = F.array().cast("array<struct<i:bigint,j:bigint>>")
     dealt = (members.join(once.hint("merge"), F.col("key") == F.col("bucket")).withColumn("own", own).withColumn("is_rest", rest)
              .select("key", "id", "comp", "is_rest", F.explode(F.concat(F.coalesce(against_main, none), F.coalesce(against_rest, none))).alias("at"))
-             .select("key", "at.i", "at.j", "id", "comp", "is_rest").join(sets, "id"))
+             .select("key", "at.i", "at.j", "id", "comp", "is_rest").join(sets, "id").drop("id"))
 
     def solve(group: pa.Table) -> pa.Table:
-        ids, comp, rest_of, j = group["id"].to_pylist(), group["comp"].to_pylist(), group["is_rest"].to_pylist(), group["j"][0].as_py()
+        comp, rest_of, j = group["comp"].to_pylist(), group["is_rest"].to_pylist(), group["j"][0].as_py()
         x = [np.frombuffer(s.as_py(), np.uint64) for s in group["shingles"]]
         parent = {c: c for c in comp}
 
@@ -207,14 +207,14 @@ def _block_links(members: DataFrame, sets: DataFrame, p: MinMax) -> DataFrame:
             return c
 
         found = []
-        for a in range(len(ids)):
-            for b in range(a + 1, len(ids)):
+        for a in range(len(comp)):
+            for b in range(a + 1, len(comp)):
                 if not (rest_of[a] or rest_of[b]) or (j > 0 and rest_of[a] and rest_of[b]):
                     continue  # rest against rest within a block is looked at once, beside the first main block
                 ra, rb = root(comp[a]), root(comp[b])
                 if ra != rb and alike(x[a], x[b], percent):
                     parent[max(ra, rb)] = min(ra, rb)
-                    found.append((ids[a], ids[b]))
+                    found.append((comp[a], comp[b]))
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
     return dealt.groupBy("key", "i", "j").applyInArrow(solve, "a long, b long")
@@ -247,12 +247,14 @@ def near_duplicates(docs: DataFrame, p: MinMax = MinMax()) -> DataFrame:
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi").dropDuplicates(["doc_id"])
     sets = written(shingle_sets(texts, p), "minmax-sets")
     edges = members.filter("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    stars = components(_star_links(edges, sets, p)).withColumnRenamed("u", "id").checkpoint()
+    stars = components(_star_links(edges, sets, p)).withColumnRenamed("u", "id")
     others = (members.filter("id <> head").select("key", "id").join(stars, "id", "left")
               .select("key", "id", F.coalesce("root", "id").alias("comp")).checkpoint())
-    links = _block_links(others, sets, p).unionByName(stars.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    found = components(links).withColumnRenamed("u", "id")
-    placed = groups.join(found, "id", "left").select(F.col("digest").alias("d"), F.col("piece").alias("q"), F.coalesce("root", "id").alias("root"))
+    links = written(_block_links(others, sets, p).distinct(), "minmax-links")
+    placed = groups.join(stars, "id", "left").select(F.col("digest").alias("d"), F.col("piece").alias("q"), F.coalesce("root", "id").alias("root"))
+    if not links.isEmpty():  # stars stand for their members: only roots are joined up further
+        joined = written(components(links), "minmax-joined").select(F.col("u").alias("of"), F.col("root").alias("least"))
+        placed = placed.join(joined, F.col("root") == F.col("of"), "left").select("d", "q", F.coalesce("least", "root").alias("root"))
     return (signed.join(placed, (F.col("digest") == F.col("d")) & (F.col("piece") == F.col("q")), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
             .groupBy("doc_id", "n_shingles", "component_id").agg(F.count("*").alias("copies"))
