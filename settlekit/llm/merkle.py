@@ -201,6 +201,11 @@ def build(leaves: DataFrame, bits: int = BITS) -> Manifest:
     return Manifest(placed.drop("n").join(grown, "row").withColumn("tree", unnamed), roots.select(unnamed.alias("tree"), "subroot", "root"))
 
 
+def refolded(digest: Column, steps: Column) -> Column:
+    """The root that a leaf's digest and the nodes beside its path come to."""
+    return F.aggregate(steps, digest, lambda made, s: joined(s["beside_left"], made, s["beside_right"]))
+
+
 def proof(steps: Column) -> Column:
     """The siblings' digests as hex texts, level by level."""
     return F.aggregate(steps, F.lit(""), lambda text, s: F.concat(text, F.coalesce(shown(s["beside_left"]), F.lit("")), F.coalesce(shown(s["beside_right"]), F.lit(""))))
@@ -216,9 +221,14 @@ def document_leaves(docs: DataFrame) -> DataFrame:
 
 
 def verify(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """doc_id, leaf, subroot, root, proof_sha256, folded_root (of the document's version, if it is tampered), verified, copied_nodes."""
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified, copied_nodes.
+
+    A tampered document's ``folded_root`` is the root of its version, every other one's is folded from its leaf over its proof.
+    """
     leaves = build(document_leaves(docs), bits).leaves
-    folded = F.coalesce(F.element_at("copied", -1), F.col("root"))
+    again = F.when(F.col("copied").isNotNull(), F.element_at("copied", -1)).otherwise(refolded(F.col("digest"), F.col("steps")))
+    leaves = leaves.withColumn("folded", again)
+    folded = F.col("folded")
     return leaves.select(
         F.col("key").alias("doc_id"), shown(F.col("digest")).alias("leaf"), shown(F.col("subroot")).alias("subroot"), shown(F.col("root")).alias("root"),
         F.sha2(proof(F.col("steps")).cast("binary"), 256).alias("proof_sha256"), shown(folded).alias("folded_root"),

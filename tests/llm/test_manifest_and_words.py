@@ -105,6 +105,20 @@ def test_a_version_copies_only_ancestors(spark, docs):
     assert tree.changed(12, bytes([12]) * 32)[0] != root and tree.digest[-1] == tree.digest[tree.root]  # the first version again
 
 
+def test_every_leaf_is_folded_over_its_own_proof(spark, monkeypatch):
+    rows = [(i, f"t{i}", "en" if i % 2 else None, "s", i) for i in range(1, 20)]
+    made = merkle.build(merkle.document_leaves(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")), 2)
+    forged = F.transform("steps", lambda s, i: F.when(i == 0, F.struct(s["beside_left"].alias("beside_left"), F.unhex(F.lit("00" * 32)).alias("beside_right"))).otherwise(s))
+    bad = made.leaves.withColumn("steps", F.when(F.col("key") == 1, forged).otherwise(F.col("steps"))).withColumn(
+        "digest", F.when(F.col("key") == 4, F.unhex(F.lit("11" * 32))).otherwise(F.col("digest")))
+    untampered = {r["key"] for r in made.leaves.filter("new IS NULL").select("key").collect()}
+    assert {1, 4} <= untampered
+    monkeypatch.setattr(merkle, "build", lambda *_: merkle.Manifest(bad, made.roots))
+    found = {r["doc_id"]: r for r in merkle.verify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert {d for d, r in found.items() if r["verified"]} == untampered - {1, 4}
+    assert all((r["folded_root"] == r["root"]) == r["verified"] for r in found.values())
+
+
 # ---- op13 ------------------------------------------------------------------
 CONV = "conv_id long, turn long, role string, text string"
 
