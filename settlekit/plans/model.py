@@ -32,7 +32,7 @@ from settlekit.operators.promote import promote
 from settlekit.operators.reconcile import (RECONCILED_COLUMNS, current_latest_nonnull,
                                            reconcile, with_fee)
 from settlekit.session import scratch_folder
-from settlekit.sources.bronze import write_bucketed
+from settlekit.sources.bronze import buckets_for_rows, write_bucketed
 from settlekit.sources.fs import fingerprint
 from settlekit.sources.seeds import fee_schedule
 
@@ -76,6 +76,11 @@ class Model:
     def fee_schedule(self) -> DataFrame:
         return fee_schedule(self.spark)
 
+    @cached_property
+    def _buckets(self) -> int:
+        """One number for all tables, by the transactions there are (the count reads file footers only)."""
+        return buckets_for_rows(self.spark, self.feed.orders.count())
+
     def _bucketed(self, df: DataFrame, name: str) -> DataFrame:
         """A table bucketed and sorted by transaction_id: both sides of silver share the
         bucketing, so the reconciliation reads them unshuffled, and its rows come out in
@@ -83,7 +88,7 @@ class Model:
         if not self._materialized:
             return df
         path = scratch_folder(self.spark, f"tables/{name}")
-        return write_bucketed(df, path, f"{name}_{uuid.uuid4().hex[:10]}")
+        return write_bucketed(df, path, f"{name}_{uuid.uuid4().hex[:10]}", buckets=self._buckets)
 
     @cached_property
     def partner_silver(self) -> DataFrame:

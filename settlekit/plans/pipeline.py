@@ -63,9 +63,9 @@ def _text(df: DataFrame) -> DataFrame:
 class DailyPipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, out_root: str, now: str, buckets: int | None = None):
         self.spark, self.sf_dir, self.root, self.now = spark, sf_dir, out_root.rstrip("/"), now
-        self.buckets = buckets
         self.run_id = uuid.uuid4().hex[:10]
         self.feed = Feed(spark, sf_dir)
+        self.buckets = buckets or B.buckets_for_rows(spark, self.feed.orders.count())
         self.results: list[StepResult] = []
 
     def _channel_rows(self, table: str, channel: str) -> DataFrame:

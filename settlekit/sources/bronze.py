@@ -12,8 +12,10 @@ are independent, and a reviewed change is a new version (``approve_schema``).
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -150,6 +152,25 @@ def named_folders(spark: SparkSession, root: str, table: str) -> dict[str, list[
     return found
 
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+_writing = threading.RLock()
+
+
+@contextmanager
+def at_least_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Exchanges planned inside have at least ``n`` partitions; the session's own number is set again afterwards."""
+    with _writing:
+        own = spark.conf.get(SHUFFLE_PARTITIONS)
+        if int(own) >= n:
+            yield
+            return
+        spark.conf.set(SHUFFLE_PARTITIONS, str(n))
+        try:
+            yield
+        finally:
+            spark.conf.set(SHUFFLE_PARTITIONS, own)
+
+
 def write_bucketed(df: DataFrame, path: str, table_name: str, key: str = "transaction_id",
                    buckets: int | None = None) -> DataFrame:
     """Write ``df`` as an external table at ``path`` bucketed and sorted by ``key``.
@@ -159,12 +180,15 @@ def write_bucketed(df: DataFrame, path: str, table_name: str, key: str = "transa
     The table is registered in the session catalog under ``table_name``; its
     files stay in ``path``. Tables that are to join without a shuffle need one
     number of buckets; without one given it is the session's shuffle partitions, so
-    a job over tables of known size passes it (``buckets_for_bytes``).
+    a job over tables of known size passes it (``buckets_for_bytes``, ``buckets_for_rows``).
+    The rows are exchanged into at least as many partitions, so a task that sorts
+    them for the write holds no more than a bucket however few the session asks for.
     """
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.write.mode("overwrite").bucketBy(n, key).sortBy(key).format("parquet")
-       .option("path", path).saveAsTable(table_name))
+    n = buckets or int(spark.conf.get(SHUFFLE_PARTITIONS))
+    with at_least_partitions(spark, n):
+        (df.write.mode("overwrite").bucketBy(n, key).sortBy(key).format("parquet")
+           .option("path", path).saveAsTable(table_name))
     forget_at_exit(spark, table_name)
     return spark.table(table_name)
 
@@ -174,6 +198,16 @@ def buckets_for_bytes(total: int, bucket_bytes: int = 256 << 20) -> int:
     return 1 << (max(1, -(-total // bucket_bytes)) - 1).bit_length()
 
 
+#: Rows of a bucket: each is sorted in one task, with some 300 bytes a row and side.
+BUCKET_ROWS = 300_000
+
+
+def buckets_for_rows(spark: SparkSession, rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """The session's shuffle partitions, or as many more (a power of two) as keep a bucket at about ``bucket_rows`` or less."""
+    needed = 1 << (max(1, -(-rows // bucket_rows)) - 1).bit_length()
+    return max(int(spark.conf.get(SHUFFLE_PARTITIONS)), needed)
+
+
 def union_channels(frames: Mapping[str, DataFrame], table: str, keep_channel: bool = True) -> DataFrame:
     """Union every channel's rows BY NAME (channels differ in metadata columns),
     then keep the contract's business columns (plus the channel name)."""

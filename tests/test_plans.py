@@ -138,3 +138,19 @@ def test_uniqueness_inside_buckets_counts_what_the_plain_form_counts(spark):
     assert found[0] == found[1] and [r[3] for r in found[0]] == [2, 2, 3]
     only = [Q.ModelChecks("t", [Q.Check("unique", "id")])]
     assert [r["failures"] for r in Q.run_checks({"t": rows}, only, {"t": "id"}).collect()] == [2]
+
+
+def test_buckets_grow_with_the_transactions(spark, monkeypatch):
+    from settlekit.plans import model
+
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    assert [B.buckets_for_rows(spark, n) for n in (0, 1, 54_000_000)] == [int(own), int(own), 256]
+    monkeypatch.setattr(model, "buckets_for_rows", lambda s, rows: B.buckets_for_rows(s, rows, bucket_rows=50))
+    m = Model(spark, SF_SMALL)
+    rows = m.feed.orders.count()
+    for table in (m.partner_silver, m.fact, m.current):
+        files = {f.rsplit("_", 1)[1].split(".")[0] for f in table.inputFiles()}
+        assert len(files) > int(own) and table.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < rows / int(own) / 2
+    assert "Exchange" not in plan(current_latest_nonnull(m.fact)) and spark.conf.get("spark.sql.shuffle.partitions") == own
+    plain = Model(spark, SF_SMALL, materialized=False).current
+    assert m.current.exceptAll(plain).isEmpty() and plain.exceptAll(m.current).isEmpty()
